@@ -3,19 +3,40 @@
 from __future__ import annotations
 
 import html
+import re
 
 import pandas as pd
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, functions as F, types as T
 
 from vacantia.functions import text as tx
 
 
-@F.pandas_udf("string")
-def decode_entities(cells: pd.Series) -> pd.Series:
-    """Character references to characters; the full table is in the standard library."""
+@F.pandas_udf(T.StringType())
+def _unescape(cells: pd.Series) -> pd.Series:
     return cells.map(lambda s: html.unescape(s) if s is not None and "&" in s else s)
 
 
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _unescape_each(cells: pd.Series) -> pd.Series:
+    return cells.map(lambda xs: None if xs is None else [html.unescape(x) for x in xs])
+
+
+# Declared non-deterministic so that a filter on a decoded field is not moved below the
+# decoding, which would decode every page twice.
+_unescape = _unescape.asNondeterministic()
+_unescape_each = _unescape_each.asNondeterministic()
+
+
+def decode_entities(c: Column) -> Column:
+    """Character references to characters; the full table is in the standard library."""
+    return _unescape(c)
+
+
+def decode_each(c: Column) -> Column:
+    """The same for an array of strings."""
+    return _unescape_each(c)
+
+
 def _attr(name: str) -> str:
     return rf"""(?is)[\s"']{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
 
@@ -53,8 +74,8 @@ def bare_text(fragment: Column) -> Column:
 
 
 def page_text(page: Column) -> Column:
-    """Text of a whole page; line breaks of the source are kept."""
-    return bare_text(without_hidden(page))
+    """Text of a whole visible page; line breaks of the source are kept."""
+    return bare_text(page)
 
 
 def element_text(element: Column) -> Column:
@@ -73,3 +94,30 @@ def has_class(element: Column, *names: str) -> Column:
 def first_match(page: Column, pattern: str, group: int = 1) -> Column:
     """Group of the first match, null if the pattern is not found."""
     return F.when(page.rlike(pattern), F.regexp_extract(page, pattern, group))
+
+
+def marked_texts(page: Column, markers: list[str]) -> Column:
+    """Per marker the text of the first element whose opening tag matches it, or null.
+
+    The matching end tag is found by counting nested openings of the same tag, which a
+    Java pattern cannot do; all markers are served by one pass of the page to Python.
+    """
+    openings = [re.compile(rf"(?is)<([a-z][a-z0-9]*)(?:\s[^>]*)?\s{m}[^>]*>") for m in markers]
+
+    def text(source: str, opening: re.Pattern) -> str | None:
+        start = opening.search(source)
+        if start is None:
+            return None
+        depth, end = 1, len(source)
+        for tag in re.compile(rf"(?i)<(/?){start.group(1)}(?=[\s>/])").finditer(source, start.end()):
+            depth += -1 if tag.group(1) else 1
+            if depth == 0:
+                end = tag.start()
+                break
+        return html.unescape(re.sub(r"<[^>]+>", "", source[start.end():end])).strip()
+
+    @F.pandas_udf(T.ArrayType(T.StringType()))
+    def read(pages: pd.Series) -> pd.Series:
+        return pages.map(lambda s: None if s is None else [text(s, o) for o in openings])
+
+    return read.asNondeterministic()(page)

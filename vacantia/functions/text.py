@@ -6,6 +6,9 @@ written out so that a Java pattern accepts the same characters.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 # Members of the two character classes (fixed values).
@@ -19,6 +22,36 @@ SPACE = (
 EDGE = rf"(?:(?<=[{WORD}])(?![{WORD}])|(?<![{WORD}])(?=[{WORD}]))"
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, however often ``use`` names it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def word_bounded(body: str, right: bool = True) -> str:
+    """``\\b body \\b`` as a Java pattern, ``\\b`` and ``\\s`` being Unicode-aware.
+
+    Where the body starts with plain letters they are put first and the look-behind after
+    them: a literal start lets the matcher skip through a text, a look-behind does not.
+    """
+    while body.startswith(r"\b"):
+        body = body[2:]
+    while right and body.endswith(r"\b"):
+        body = body[:-2]
+    left, rest = EDGE, body
+    start = re.match(r"\w+(?![\w*+?{])", body)
+    if start and "|" not in body:
+        word = start.group(0)
+        left, rest = f"{word}(?<![{WORD}]{word})", body[len(word):]
+    plain_end = re.search(r"(?:^|[^\\])\w$", body) and "|" not in body
+    end = "" if not right else f"(?![{WORD}])" if plain_end else EDGE
+    return left + rest.replace(r"\b", EDGE).replace(r"\s", f"[{SPACE}]") + end
+
+
+def any_word(bodies: list[str]) -> str:
+    """One pattern for several bodies, each of which starts and ends with a word character."""
+    return "|".join(word_bounded(b) for b in bodies)
+
+
 def collapse(c: Column) -> Column:
     """Runs of whitespace become one space; ends are trimmed."""
     return F.trim(F.regexp_replace(c, f"[{SPACE}]+", " "))
@@ -51,7 +84,7 @@ def scrub_text(c: Column) -> Column:
 
 
 def capitalize_words(c: Column) -> Column:
-    return F.initcap(collapse(c))
+    return F.initcap(F.regexp_replace(collapse(c), "(^| )ß", "$1Ss"))
 
 
 def blank(c: Column) -> Column:
@@ -60,7 +93,4 @@ def blank(c: Column) -> Column:
 
 def contains_any(c: Column, words: list[str]) -> Column:
     """True if any of the literal words occurs in ``c``."""
-    hit = F.lit(False)
-    for word in words:
-        hit = hit | c.contains(word)
-    return hit
+    return c.rlike("|".join(rf"\Q{word}\E" for word in words))

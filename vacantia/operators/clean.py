@@ -49,8 +49,7 @@ def normalize_title(c: Column) -> Column:
     title = tx.strip(c)
     changed = title
     for pattern, name in TITLE_RULES:
-        spaced = pattern.replace(r"\s", f"[{tx.SPACE}]")
-        changed = F.regexp_replace(changed, f"(?iu){tx.EDGE}{spaced}{tx.EDGE}", name)
+        changed = F.regexp_replace(changed, f"(?iu){tx.word_bounded(pattern)}", name)
     return F.coalesce(
         F.when(changed == title, tx.capitalize_words(title)).otherwise(changed), F.lit("")
     )

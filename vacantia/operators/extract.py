@@ -3,13 +3,15 @@
 Input is a table of pages; each function adds columns or explodes links.  Two page
 layouts are known: the ``regional`` board (feature list, section headings) and the
 ``international`` board (elements found by id, class or data attribute).
+
+Functions of a page take its visible markup (``markup.without_hidden``), which callers
+compute once per page.
 """
 
 from __future__ import annotations
 
 from urllib.parse import urlsplit
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from vacantia.functions import markup as mk
@@ -58,13 +60,6 @@ AGE_PATTERN = r"(\d+).*?(day|week|month|hour)"
 # ------------------------------------------------------------------------------
 
 
-@F.pandas_udf("array<string>")
-def _decode_each(cells: pd.Series) -> pd.Series:
-    import html
-
-    return cells.map(lambda xs: None if xs is None else [html.unescape(x) for x in xs])
-
-
 def _space(pattern: str) -> str:
     return pattern.replace(r"\s", f"[{tx.SPACE}]")
 
@@ -156,26 +151,25 @@ def limit_offers(links: DataFrame, max_offers: int = 100) -> DataFrame:
 
 # -------------------------------------------------------------------- filters
 
-def _any_word(patterns: list[str]) -> str:
-    return f"{tx.EDGE}(?:{'|'.join(_space(p) for p in patterns)}){tx.EDGE}"
-
-
 def is_data_job(title: Column, description: Column) -> Column:
     """Broad filter; an exclusion always wins."""
     both = F.lower(F.concat(title, F.lit(" "), F.coalesce(description, F.lit(""))))
-    return ~both.rlike(_any_word(BROAD_EXCLUDE)) & both.rlike(_any_word(BROAD_INCLUDE))
+    return ~both.rlike(tx.any_word(BROAD_EXCLUDE)) & both.rlike(tx.any_word(BROAD_INCLUDE))
 
 
 def is_strict_data_job(title: Column, page: Column) -> Column:
     """Strict filter over the title and the first 3000 characters of the page text."""
     head = F.substring(F.coalesce(page, F.lit("")), 1, 3000)
     both = F.lower(F.concat(title, F.lit(" "), head))
-    return ~both.rlike(_any_word(STRICT_EXCLUDE)) & both.rlike(_any_word(STRICT_INCLUDE))
+    return ~both.rlike(tx.any_word(STRICT_EXCLUDE)) & both.rlike(tx.any_word(STRICT_INCLUDE))
 
 
-def is_challenge(page: Column, title: Column) -> Column:
+def page_title(page: Column) -> Column:
+    return F.coalesce(mk.first_match(page, r"(?is)<title[^>]*>(.*?)</title"), F.lit(""))
+
+
+def is_challenge(head: Column, title: Column) -> Column:
     """The page title or the heading asks for a verification."""
-    head = F.coalesce(mk.first_match(page, r"(?is)<title[^>]*>(.*?)</title"), F.lit(""))
     return F.lower(head).contains("verification") | F.lower(
         F.coalesce(title, F.lit(""))
     ).contains("verification")
@@ -184,7 +178,7 @@ def is_challenge(page: Column, title: Column) -> Column:
 # --------------------------------------------------------- regional board fields
 
 def _first_heading(page: Column) -> Column:
-    return F.try_element_at(mk.elements(mk.without_hidden(page), "h1"), F.lit(1))
+    return F.try_element_at(mk.elements(page, "h1"), F.lit(1))
 
 
 def heading(page: Column) -> Column:
@@ -195,12 +189,12 @@ def heading(page: Column) -> Column:
 
 def feature_items(page: Column) -> Column:
     """Cleaned ``li`` texts of the first ``ul.featureInfo``."""
-    lists = F.filter(mk.elements(mk.without_hidden(page), "ul"), lambda u: mk.has_class(u, "featureInfo"))
+    lists = F.filter(mk.elements(page, "ul"), lambda u: mk.has_class(u, "featureInfo"))
     items = F.transform(
         mk.elements(F.try_element_at(lists, F.lit(1)), "li"),
         lambda li: F.regexp_replace(mk.inner(li), "<[^>]+>", ""),
     )
-    return F.transform(_decode_each(items), tx.strip_markup)
+    return F.transform(mk.decode_each(items), tx.strip_markup)
 
 
 def location_of(items: Column, strict: bool = False) -> Column:
@@ -248,9 +242,9 @@ def company_of(page: Column, text: Column) -> Column:
 
 def contract_of(page: Column) -> Column:
     """Text of the first contract tag that names a known contract."""
-    tags = F.filter(mk.elements(mk.without_hidden(page), "span"), lambda s: mk.has_class(s, "tagContrat"))
+    tags = F.filter(mk.elements(page, "span"), lambda s: mk.has_class(s, "tagContrat"))
     texts = F.transform(
-        _decode_each(F.transform(tags, lambda s: F.regexp_replace(mk.inner(s), "<[^>]+>", ""))),
+        mk.decode_each(F.transform(tags, lambda s: F.regexp_replace(mk.inner(s), "<[^>]+>", ""))),
         tx.strip_markup,
     )
     hit = F.filter(texts, lambda s: tx.contains_any(s, CONTRACT_WORDS))
@@ -267,15 +261,9 @@ def sections_of(text: Column) -> Column:
     lines = F.filter(F.transform(F.split(text, "\n"), tx.strip_markup), lambda s: F.length(s) > 0)
 
     def flag(line: Column) -> Column:
-        low = F.lower(line)
-        starts = low.contains("poste :") | low.contains("poste:") | (
-            low.contains("profil") & low.contains("recherch")
-        )
-        return (
-            F.when(starts, F.lit("\n+"))
-            .when(tx.contains_any(low, SECTION_STOPS), F.lit("\n-"))
-            .otherwise(line)
-        )
+        starts = line.rlike(r"(?iu)poste ?:") | (line.rlike("(?iu)profil") & line.rlike("(?iu)recherch"))
+        stops = tx.contains_any(F.lower(line), SECTION_STOPS)
+        return F.when(starts, F.lit("\n+")).when(stops, F.lit("\n-")).otherwise(line)
 
     flagged = F.concat(F.array(F.lit("-")), F.transform(lines, flag))
     parts = F.filter(F.split(F.array_join(flagged, "\n"), "\n\n"), lambda p: p.startswith("+"))
@@ -295,82 +283,51 @@ def fallback_description(description: Column, title: Column, location: Column, l
 
 # ---------------------------------------------------- international board fields
 
-def element_by(page: Column, marker: str) -> Column:
-    """Inner markup of the first element whose opening tag matches ``marker``.
-
-    The matching end tag is found by counting nested openings of the same tag.
-    """
-    pattern = rf"(?is)<([a-z][a-z0-9]*)(?:\s[^>]*)?\s{marker}[^>]*>(.*)$"
-    tag = F.regexp_extract(page, pattern, 1)
-    rest = F.regexp_extract(page, pattern, 2)
-    pieces = F.split(rest, F.concat(F.lit(r"(?i)(?=</?"), tag, F.lit(r"[\s>])")))
-    end = F.aggregate(
-        pieces,
-        F.struct(F.lit(1).alias("depth"), F.lit(0).alias("kept")),
-        lambda s, p: F.struct(
-            F.when(s["depth"] == 0, 0)
-            .when(F.lower(p).startswith(F.concat(F.lit("</"), tag)), s["depth"] - 1)
-            .when(F.lower(p).startswith(F.concat(F.lit("<"), tag)), s["depth"] + 1)
-            .otherwise(s["depth"]).alias("depth"),
-            (
-                s["kept"]
-                + F.when(
-                    (s["depth"] == 0)
-                    | ((s["depth"] == 1) & F.lower(p).startswith(F.concat(F.lit("</"), tag))), 0
-                ).otherwise(1)
-            ).alias("kept"),
-        ),
-        lambda s: s["kept"],
-    )
-    return F.when(page.rlike(pattern), F.array_join(F.slice(pieces, 1, end), ""))
-
-
-def _marked(page: Column, marker: str) -> Column:
-    return tx.strip(mk.bare_text(element_by(page, marker)))
-
-
-def _class_is(name: str) -> str:
-    return rf"""class\s*=\s*["'](?:[^"']*\s)?{name}(?:\s[^"']*)?["']"""
+# Marks of the elements in an opening tag (fixed values).
+COMPANY_MARK = r"data-company-name"
+LOCATION_MARK = r"""data-testid\s*=\s*["']job-location["']"""
+DESCRIPTION_MARK = r"""id\s*=\s*["']jobDescriptionText["']"""
+DESCRIPTION_CLASS_MARK = r"""class\s*=\s*["'](?:[^"']*\s)?jobsearch-jobDescriptionText(?:\s[^"']*)?["']"""
+FOOTER_MARK = r"""class\s*=\s*["'][^"']*jobMetadataFooter[^"']*["']"""
+TITLE_MARK = r"""class\s*=\s*["'][^"']*JobInfoHeader-title[^"']*["']"""
+MARKS = [
+    COMPANY_MARK, LOCATION_MARK, DESCRIPTION_MARK, DESCRIPTION_CLASS_MARK, FOOTER_MARK,
+]
 
 
-def _class_has(name: str) -> str:
-    return rf"""class\s*=\s*["'][^"']*{name}[^"']*["']"""
+def intl_elements(page: Column) -> Column:
+    """Texts of the marked elements of a page, in the order of ``MARKS``."""
+    return mk.marked_texts(page, MARKS)
 
 
 def intl_title(page: Column) -> Column:
     """The titled header, else any ``h1``; null if empty."""
-    shown = mk.without_hidden(page)
-    header = mk.first_match(shown, rf"(?is)<h1\s(?:[^>]*\s)?{_class_has('JobInfoHeader-title')}[^>]*>(.*?)</h1")
-    plain = mk.first_match(shown, r"(?is)<h1(?:\s[^>]*)?>(.*?)</h1")
+    header = mk.first_match(page, rf"(?is)<h1\s(?:[^>]*\s)?{TITLE_MARK}[^>]*>(.*?)</h1")
+    plain = mk.first_match(page, r"(?is)<h1(?:\s[^>]*)?>(.*?)</h1")
     text = tx.strip(mk.bare_text(F.coalesce(header, plain)))
     return F.when(F.length(text) > 0, text)
 
 
-def intl_company(page: Column) -> Column:
-    named = _marked(mk.without_hidden(page), "data-company-name")
-    return F.coalesce(named, F.lit(NO_COMPANY_INTERNATIONAL))
+def intl_company(elements: Column) -> Column:
+    return F.coalesce(elements[0], F.lit(NO_COMPANY_INTERNATIONAL))
 
 
-def intl_location(page: Column) -> Column:
-    place = _marked(mk.without_hidden(page), r"""data-testid\s*=\s*["']job-location["']""")
-    return F.coalesce(place, F.lit(DEFAULT_LOCATION))
+def intl_location(elements: Column) -> Column:
+    return F.coalesce(elements[1], F.lit(DEFAULT_LOCATION))
 
 
-def intl_description(page: Column) -> Column:
-    """Element by id, else by class, else ""; the whole text (cut with :func:`cut_description`)."""
-    shown = mk.without_hidden(page)
-    by_id = element_by(shown, r"""id\s*=\s*["']jobDescriptionText["']""")
-    by_class = element_by(shown, _class_is("jobsearch-jobDescriptionText"))
-    return F.coalesce(tx.strip(mk.bare_text(F.coalesce(by_id, by_class))), F.lit(""))
+def intl_description(elements: Column) -> Column:
+    """Element by id, else by class, else ""; whole text (cut with :func:`cut_description`)."""
+    return F.coalesce(elements[2], elements[3], F.lit(""))
 
 
 def cut_description(description: Column) -> Column:
     return F.substring(description, 1, 5000)
 
 
-def relative_age(page: Column) -> Column:
+def relative_age(elements: Column) -> Column:
     """``N units ago`` from the footer, else ``today/recently``; no footer: ``recently``."""
-    footer = F.lower(_marked(mk.without_hidden(page), _class_has("jobMetadataFooter")))
+    footer = F.lower(elements[4])
     phrase = F.concat(
         F.regexp_extract(footer, AGE_PATTERN, 1), F.lit(" "),
         F.regexp_extract(footer, AGE_PATTERN, 2), F.lit("s ago"),
@@ -390,28 +347,30 @@ def assign_job_id(df: DataFrame, source: str = "source", order: tuple[str, ...]
     return numbered.withColumn("job_id", F.format_string("%s_%05d", F.col(source), F.col("_no"))).drop("_no")
 
 
+def _visible(pages: DataFrame) -> DataFrame:
+    return pages.select("page_id", "url", "html", mk.without_hidden(F.col("html")).alias("page"))
+
+
 def parse_regional(pages: DataFrame, source: str, scraped_at: Column) -> DataFrame:
     """Accepted postings of the regional layout, without ``publish_date``."""
-    read = pages.select(
-        "page_id", "url", "html",
-        heading(F.col("html")).alias("title"),
-        mk.page_text(F.col("html")).alias("text"),
+    page = F.col("page")
+    read = _visible(pages).select(
+        "page_id", "url", "page", heading(page).alias("title"), mk.page_text(page).alias("text"),
     )
     wanted = read.filter(
         F.col("title").isNotNull() & is_strict_data_job(F.col("title"), F.col("text"))
     )
     fields = wanted.select(
-        "page_id", "url", "title", "text",
-        company_of(F.col("html"), F.col("text")).alias("company"),
-        feature_items(F.col("html")).alias("items"),
+        "page_id", "url", "title", company_of(page, F.col("text")).alias("company"),
+        feature_items(page).alias("items"), sections_of(F.col("text")).alias("description"),
     ).withColumn("location", location_of(F.col("items")))
     described = fields.withColumn(
         "description",
         fallback_description(
-            sections_of(F.col("text")), F.col("title"), F.col("location"), experience_of(F.col("items"))
+            F.col("description"), F.col("title"), F.col("location"), experience_of(F.col("items"))
         ),
     )
-    named = assign_job_id(described.drop("text", "items").withColumn("source", F.lit(source)))
+    named = assign_job_id(described.drop("items").withColumn("source", F.lit(source)))
     return named.select(
         "job_id", "title", "company", "location", "url", "description", "source",
         scraped_at.cast("string").alias("scrape_date"),
@@ -420,20 +379,22 @@ def parse_regional(pages: DataFrame, source: str, scraped_at: Column) -> DataFra
 
 def parse_international(pages: DataFrame, source: str, scraped_at: Column) -> DataFrame:
     """Accepted postings of the international layout."""
-    html = F.col("html")
-    read = pages.select(
-        "page_id", "url", "html",
-        intl_title(html).alias("title"), intl_description(html).alias("description"),
-    )
+    page, found = F.col("page"), F.col("found")
+    read = _visible(pages).select(
+        "page_id", "url", intl_title(page).alias("title"), page_title(F.col("html")).alias("head"),
+        intl_elements(page).alias("found"),
+    ).withColumn("description", intl_description(found))
     wanted = read.filter(
-        F.col("title").isNotNull() & ~is_challenge(html, F.col("title"))
+        F.col("title").isNotNull() & ~is_challenge(F.col("head"), F.col("title"))
         & is_data_job(F.col("title"), F.col("description"))
-    )
+    ).withColumns({
+        "company": intl_company(found), "location": intl_location(found),
+        "publish_date": relative_age(found),
+    })
     fields = wanted.select(
-        "page_id", "url", "title",
-        intl_company(html).alias("company"), intl_location(html).alias("location"),
-        cut_description(F.col("description")).alias("description"),
-        relative_age(html).alias("publish_date"), F.lit(source).alias("source"),
+        "page_id", "url", "title", "company", "location",
+        cut_description(F.col("description")).alias("description"), "publish_date",
+        F.lit(source).alias("source"),
     )
     return assign_job_id(fields).select(
         "job_id", "title", "company", "location", "url", "description", "publish_date", "source",

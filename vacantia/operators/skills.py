@@ -16,8 +16,9 @@ INLINE_SKILLS = 500
 
 
 def _pattern(alias: str, right_boundary: bool) -> str:
-    body = alias.replace(r"\b", tx.EDGE).replace(r"\s", f"[{tx.SPACE}]")
-    return f"(?iud){tx.EDGE}{body}{tx.EDGE if right_boundary else ''}"
+    # Texts are lowered beforehand, so case matters only to an alias with capitals.
+    flags = "(?iud)" if alias != alias.lower() else "(?d)"
+    return flags + tx.word_bounded(alias, right_boundary)
 
 
 def lexicon_rows(
@@ -31,15 +32,18 @@ def lexicon_rows(
     ]
 
 
-def _tokens(low: Column) -> Column:
+def _lowered(c: Column) -> Column:
     # The two letters are equal to "s" and "i" when case is ignored.
-    return F.regexp_extract_all(F.translate(low, "ſı", "si"), F.lit(f"([{tx.WORD}]+)"), 1)
+    return F.translate(F.lower(c), "ſı", "si")
+
+
+def _tokens(low: Column) -> Column:
+    return F.regexp_extract_all(low, F.lit(f"([{tx.WORD}]+)"), 1)
 
 
 def _found_at(low: Column, pattern: Column) -> Column:
     """Code points before the first match; null if there is none."""
-    parts = F.split(low, pattern, 2)
-    return F.when(F.size(parts) > 1, F.length(parts[0]))
+    return tx.let(F.split(low, pattern, 2), lambda parts: F.when(F.size(parts) > 1, F.length(parts[0])))
 
 
 def match_lexicon(
@@ -57,7 +61,7 @@ def match_lexicon(
     skills = lx.SKILLS if skills is None else skills
     rows = lexicon_rows(skills, right_boundary)
     texts = jobs.filter(~tx.blank(F.col("description"))).select(
-        "job_id", F.lower("description").alias("low")
+        "job_id", _lowered(F.col("description")).alias("low")
     )
     heads = sorted({head for _, _, head, _ in rows if head})
     if len(skills) > INLINE_SKILLS:
@@ -100,15 +104,20 @@ def match_lexicon(
 
 
 def _match_by_join(texts: DataFrame, rows: list[tuple[str, int, str, str]]) -> DataFrame:
+    """The same for a large lexicon: only heads that occur in a text are exploded and joined."""
     lexicon = texts.sparkSession.createDataFrame(
         rows, "skill string, alias_no int, head string, pattern string"
     )
-    tokens = F.array_append(F.array_distinct(_tokens(F.col("low"))), F.lit(""))
-    tried = texts.withColumn("head", F.explode(tokens)).join(lexicon, "head")
+    heads = lexicon.agg(F.collect_set("head").alias("heads")).scalar()
+    found = F.array_intersect(heads, F.array_append(_tokens(F.col("low")), F.lit("")))
+    tried = texts.withColumn("head", F.explode(found)).join(lexicon, "head")
     placed = tried.select(
         "job_id", "skill", "alias_no", _found_at(F.col("low"), F.col("pattern")).alias("position")
+    )
+    # The first alias that is found; the filter comes last so that no pattern runs twice.
+    return placed.groupBy("job_id", "skill").agg(
+        F.min_by("position", F.when(F.col("position").isNotNull(), F.col("alias_no"))).alias("position")
     ).filter(F.col("position").isNotNull())
-    return placed.groupBy("job_id", "skill").agg(F.min_by("position", "alias_no").alias("position"))
 
 
 def split_sentences(jobs: DataFrame) -> DataFrame:
