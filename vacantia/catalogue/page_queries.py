@@ -88,7 +88,7 @@ def _filters(spark, sf_dir):
 
 def _ids(spark, sf_dir):
     return ex.assign_job_id(
-        raw_jobs(spark, sf_dir).select("source", "doc_id"), order=("doc_id",)
+        raw_jobs(spark, sf_dir).select("source", "doc_id"), order="doc_id"
     ).select("doc_id", "source", "job_id")
 
 

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, functions as F
 
 # Members of the two character classes (fixed values).
-WORD = r"\p{L}\p{N}_"
+WORD = r"a-zA-Z0-9_\p{L}\p{N}"
 SPACE = (
     r"\t\n\x0B\f\r\x1c-\x1f \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
     r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
@@ -48,13 +48,18 @@ def word_bounded(body: str, right: bool = True) -> str:
 
 
 def any_word(bodies: list[str]) -> str:
-    """One pattern for several bodies, each of which starts and ends with a word character."""
-    return "|".join(word_bounded(b) for b in bodies)
+    """One pattern for several bodies, each of which starts and ends with a word character.
+
+    The look-behind comes first here: it rules out most places before any body is tried.
+    """
+    spaced = "|".join(bodies).replace(r"\s", f"[{SPACE}]")
+    return f"(?<![{WORD}])(?:{spaced})(?![{WORD}])"
 
 
 def collapse(c: Column) -> Column:
     """Runs of whitespace become one space; ends are trimmed."""
-    return F.trim(F.regexp_replace(c, f"[{SPACE}]+", " "))
+    # Single spaces, by far the most, need no replacement.
+    return F.trim(F.regexp_replace(c, f"[{SPACE}]{{2,}}|[{SPACE}&&[^ ]]", " "))
 
 
 def strip(c: Column) -> Column:
@@ -73,14 +78,16 @@ def truncate_text(c: Column, limit: int = 5000) -> Column:
 
 def strip_markup(c: Column) -> Column:
     """Remove tags, delete (not decode) ``&name;`` references, collapse whitespace."""
-    bare = F.regexp_replace(F.regexp_replace(c, "<[^>]+>", ""), "&[a-z]+;", "")
+    bare = F.when(
+        c.rlike("[<&]"), F.regexp_replace(F.regexp_replace(c, "<[^>]+>", ""), "&[a-z]+;", "")
+    ).otherwise(c)
     return F.coalesce(collapse(bare), F.lit(""))
 
 
 def scrub_text(c: Column) -> Column:
     """Keep word characters, whitespace, ``-`` and ``.`` only."""
-    kept = F.regexp_replace(collapse(c), rf"[^{WORD}{SPACE}\-.]", "")
-    return F.coalesce(strip(kept), F.lit(""))
+    kept = F.regexp_replace(collapse(c), rf"[^{WORD}{SPACE}\-.]+", "")
+    return F.coalesce(F.trim(kept), F.lit(""))
 
 
 def capitalize_words(c: Column) -> Column:

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from vacantia.functions import markup as mk
 from vacantia.functions import text as tx
 from vacantia.operators.rows import keep_first, number_rows
+from vacantia.session import stage
 
 # ---------------------------------------------------------------- fixed values
 LINK_MARKS = ["offre-emploi", "offre_emploi"]
@@ -261,9 +262,12 @@ def sections_of(text: Column) -> Column:
     lines = F.filter(F.transform(F.split(text, "\n"), tx.strip_markup), lambda s: F.length(s) > 0)
 
     def flag(line: Column) -> Column:
-        starts = line.rlike(r"(?iu)poste ?:") | (line.rlike("(?iu)profil") & line.rlike("(?iu)recherch"))
-        stops = tx.contains_any(F.lower(line), SECTION_STOPS)
-        return F.when(starts, F.lit("\n+")).when(stops, F.lit("\n-")).otherwise(line)
+        low = F.lower(line)
+        return (
+            F.when(low.rlike("poste ?:|profil.*recherch|recherch.*profil"), F.lit("\n+"))
+            .when(tx.contains_any(low, SECTION_STOPS), F.lit("\n-"))
+            .otherwise(line)
+        )
 
     flagged = F.concat(F.array(F.lit("-")), F.transform(lines, flag))
     parts = F.filter(F.split(F.array_join(flagged, "\n"), "\n\n"), lambda p: p.startswith("+"))
@@ -341,10 +345,16 @@ def relative_age(elements: Column) -> Column:
 
 # ----------------------------------------------------------------- whole boards
 
-def assign_job_id(df: DataFrame, source: str = "source", order: tuple[str, ...] = ("page_id",)) -> DataFrame:
-    """``<source>_<5 digits>`` per source in arrival order."""
-    numbered = number_rows(df, list(order), [source], "_no")
-    return numbered.withColumn("job_id", F.format_string("%s_%05d", F.col(source), F.col("_no"))).drop("_no")
+def assign_job_id(df: DataFrame, source: str = "source", order: str = "page_id") -> DataFrame:
+    """``<source>_<5 digits>`` per source in arrival order (``order`` is unique).
+
+    Parsed rows are staged once; only their keys are sorted and numbered.
+    """
+    rows = stage(df, "parsed")
+    numbered = number_rows(rows.select(source, order), [order], [source], "_no")
+    return rows.join(numbered.select(order, "_no"), order).withColumn(
+        "job_id", F.format_string("%s_%05d", F.col(source), F.col("_no"))
+    ).drop("_no")
 
 
 def _visible(pages: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from vacantia.session import cut
+from vacantia.session import stage
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
@@ -34,11 +34,12 @@ def number_rows(
 
     A plain ``row_number`` would sort a whole group - or the whole table - in one task.
     Here rows are range-partitioned, numbered inside their range, and shifted by the
-    counts of the ranges before it.  The ranged table is checkpointed first, so that a
-    lost executor cannot re-draw the ranges between the two uses.
+    counts of the ranges before it.  The ranged table is written first, so that a lost
+    executor cannot re-draw the ranges between the two uses.  Range partitioning reads its
+    input twice: pass keys only, and a staged table if they are costly to compute.
     """
-    ranged = cut(
-        df.repartitionByRange(*by, *order).withColumn("_range", F.spark_partition_id())
+    ranged = stage(
+        df.repartitionByRange(*by, *order).withColumn("_range", F.spark_partition_id()), "ranges"
     )
     before = (
         Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))

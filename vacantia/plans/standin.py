@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from vacantia.functions import text as tx
 from vacantia.plans.views import Star
+from vacantia.session import spread
 
 AS_OF = "2001-08-01"
 SCRAPED_AT = "2024-01-31T00:00:00"
@@ -40,7 +41,8 @@ TABLES = {
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
+    scan = spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
+    return spread(scan) if name in ("documents", "pages") else scan
 
 
 def star(spark: SparkSession, sf_dir: str) -> Star:

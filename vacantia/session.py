@@ -1,4 +1,4 @@
-"""Session settings, shared scratch space and lineage cuts."""
+"""Session settings, shared scratch space and staged tables."""
 
 from __future__ import annotations
 
@@ -56,9 +56,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the reliable checkpoint folder and read it from there."""
-    spark = df.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=True)
+def stage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` to the shared folder and read it from there.
+
+    Cuts the lineage, so that a lost executor re-reads a file instead of recomputing, and
+    makes later passes read only the columns they need.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Repartition a plain scan that has fewer splits than there are cores.
+
+    For work that costs far more than moving its input; many or large files have enough
+    splits and are left as they are.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
