@@ -32,8 +32,6 @@ def main() -> None:
     spark = build_session("bench", f"local[{cpus}]", **{
         "spark.sql.shuffle.partitions": cpus, "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "12g",
-        # One file of a few megabytes would otherwise be one task.
-        "spark.sql.files.maxPartitionBytes": "4m", "spark.sql.files.openCostInBytes": "256k",
     })
     spark.sparkContext.setLogLevel("ERROR")
     registry.QUERIES["kpi_total_jobs"](spark, sf_dir).collect()  # start the engine
