@@ -79,7 +79,7 @@ def test_semantic_and_merge(spark):
     got = {(r["job_id"], r["skill"]): round(r["confidence"], 4) for r in sk.match_semantic(sentences, vectors).collect()}
     assert got == {("1", "spark"): 0.995, ("1", "sql"): 0.7071}
     jobs = spark.createDataFrame([("1", "We use Spark"), ("2", "x")], TEXT)
-    semantic = sk.locate_skill(jobs, sk.match_semantic(sentences, vectors))
+    semantic = sk.locate_skill(jobs, sk.match_semantic(sentences, vectors), vectors)
     lexical = sk.match_lexicon(jobs)
     merged = {r["skill"]: (round(r["confidence"], 4), r["position"]) for r in sk.merge_methods(lexical, semantic).collect()}
     assert merged == {"spark": (1.0, 7), "sql": (0.7071, -1)}

@@ -111,3 +111,21 @@ def test_audit(spark):
     log = failed_source(ingestion_audit(df, F.col("ok")), "c", "timeout", F.lit("2024-01-01").cast("timestamp"))
     got = {r["source_name"]: (r["status"], r["jobs_count"], r["errors_count"]) for r in log.collect()}
     assert got == {"a": ("success", 1, 1), "b": ("success", 0, 1), "c": ("error", 0, 1)}
+
+
+def test_bucketed_facts_join_without_a_shuffle(spark, tmp_path):
+    database = f"t_{uuid.uuid4().hex}"
+    tables.create_star_schema(spark, database, str(tmp_path), buckets=4)
+    rows = [(str(i), "T", "A", "x", "2024-01-01") for i in range(40)]
+    df = jobs(spark, rows).select("job_id", F.col("title").alias("job_title"))
+    for _ in range(2):
+        tables.append_table(df, f"{database}.fact_jobs")
+        tables.append_table(df.select("job_id", F.lit(1).alias("skill_id")), f"{database}.fact_job_skills")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = spark.table(f"{database}.fact_jobs").join(spark.table(f"{database}.fact_job_skills"), "job_id")
+        assert joined.count() == 160
+        assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)

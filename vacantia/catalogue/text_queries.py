@@ -89,7 +89,7 @@ def _semantic(spark, sf_dir):
 
 
 def _merged(spark, sf_dir):
-    semantic = sk.locate_skill(raw_jobs(spark, sf_dir), _semantic(spark, sf_dir))
+    semantic = sk.locate_skill(raw_jobs(spark, sf_dir), _semantic(spark, sf_dir), _word_vectors(spark, sf_dir))
     return sk.merge_methods(_lexical(spark, sf_dir), semantic)
 
 

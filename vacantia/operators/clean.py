@@ -46,13 +46,16 @@ def clean_description(c: Column) -> Column:
 
 def normalize_title(c: Column) -> Column:
     """All seven replacements in order; if none changed the title, capitalize each word."""
-    title = tx.strip(c)
-    changed = title
-    for pattern, name in TITLE_RULES:
-        changed = F.regexp_replace(changed, f"(?iu){tx.word_bounded(pattern)}", name)
-    return F.coalesce(
-        F.when(changed == title, tx.capitalize_words(title)).otherwise(changed), F.lit("")
-    )
+
+    def ruled(title: Column) -> Column:
+        changed = title
+        for pattern, name in TITLE_RULES:
+            changed = F.regexp_replace(changed, f"(?iu){tx.word_bounded(pattern)}", name)
+        return tx.let(
+            changed, lambda new: F.when(new == title, tx.capitalize_words(title)).otherwise(new)
+        )
+
+    return F.coalesce(tx.let(tx.strip(c), ruled), F.lit(""))
 
 
 def standardize_company(c: Column) -> Column:

@@ -33,12 +33,14 @@ DEFAULT_CURRENCY = "EUR"
 
 def map_title(c: Column) -> Column:
     """The first rule found names the title; otherwise the scrubbed title."""
-    title = tx.scrub_text(c)
-    mapped = None
-    for pattern, name in TITLE_MAP:
-        hit = title.rlike(f"(?iud){pattern}")
-        mapped = F.when(hit, name) if mapped is None else mapped.when(hit, name)
-    return mapped.otherwise(title)
+
+    def named(title: Column) -> Column:
+        mapped = F.when(F.lit(False), title)
+        for pattern, name in TITLE_MAP:
+            mapped = mapped.when(title.rlike(f"(?iud){pattern}"), name)
+        return mapped.otherwise(title)
+
+    return tx.let(tx.scrub_text(c), named)
 
 
 def standardize_skills(text: Column, given: Column, names: dict[str, str] | None = None) -> Column:

@@ -95,13 +95,22 @@ def _substring_hits(texts: list[str], terms: list[str]) -> np.ndarray:
     return hits
 
 
-def _best_per_level(level: np.ndarray, score: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
-    """Row numbers that can still be in the top k.
+def _same_place(where: pd.Series, places: np.ndarray | None) -> np.ndarray | None:
+    """``near[i, c]``: job i is in candidate c's place; None where places do not count."""
+    if places is None:
+        return None
+    codes, known = pd.factorize(pd.concat([where, pd.Series(places)], ignore_index=True))
+    jobs, wanted = codes[:len(where)], codes[len(where):]
+    return (jobs[:, None] == wanted[None, :]) & (jobs[:, None] >= 0)
+
+
+def _best_per_level(level: np.ndarray, score: np.ndarray, rank: np.ndarray, k: int) -> np.ndarray:
+    """Row numbers that can still be in the top k; ``rank`` orders equal scores.
 
     Levels are visited from high to low; a row must beat the k-th best similarity seen at
     the levels above it, because a row there with no smaller similarity ranks before it.
     """
-    order = np.lexsort((ids, -score, -level))
+    order = np.lexsort((rank, -score, -level))
     kept: list[np.ndarray] = []
     above = np.empty(0)
     for rows in np.split(order, np.flatnonzero(np.diff(level[order])) + 1):
@@ -127,9 +136,7 @@ def _shortlist(jobs: DataFrame, candidates: DataFrame, k: int, min_match: float)
         sizes = np.array([len(xs) for xs in skills])
         matrix = unit_rows(block["embedding"])
         names = block["name"].to_numpy()
-        places = (
-            block["location"].to_numpy() if "location" in block else np.full(len(block), None)
-        )
+        places = block["location"].to_numpy() if "location" in block else None
 
         def score(batches):
             for batch in batches:
@@ -144,29 +151,30 @@ def _shortlist(jobs: DataFrame, candidates: DataFrame, k: int, min_match: float)
                     unit_rows(batch["embedding"], matrix.shape[1]) @ matrix.T
                     if matrix.shape[1] else np.zeros(count.shape)
                 )
-                ids = batch["job_id"].to_numpy(dtype=str)
-                where = batch["location"].to_numpy()
-                for c, name in enumerate(names):
-                    same = np.array([p is not None and p == places[c] for p in where])
-                    for flag in (True, False):
-                        rows = np.flatnonzero(same == flag)
-                        if not len(rows):
-                            continue
-                        rows = rows[_best_per_level(
-                            matched[rows, c], cosine[rows, c], ids[rows], k
-                        )]
-                        kept = batch.iloc[rows]
-                        yield pd.DataFrame({
-                            "candidate_name": name,
-                            **{f: kept[f].to_numpy() for f in JOB_FIELDS},
-                            "matched": matched[rows, c], "n_skills": int(sizes[c]),
-                            "location_match": flag,
-                            "matched_skills": [
-                                ", ".join(sorted(s for s in set(skills[c]) if hits[r, at[s]]))
-                                for r in rows
-                            ],
-                            "similarity": cosine[rows, c],
-                        })
+                rank = np.empty(len(batch), dtype=int)
+                rank[np.argsort(batch["job_id"].to_numpy(dtype=str), kind="stable")] = np.arange(len(batch))
+                near = _same_place(batch["location"], places)
+                picked = [
+                    (rows[_best_per_level(matched[rows, c], cosine[rows, c], rank[rows], k)], c)
+                    for c in range(len(names))
+                    for rows in ([np.flatnonzero(near[:, c]), np.flatnonzero(~near[:, c])] if near is not None
+                                 else [np.arange(len(batch))])
+                    if len(rows)
+                ]
+                row = np.concatenate([r for r, _ in picked])
+                col = np.repeat([c for _, c in picked], [len(r) for r, _ in picked])
+                kept = batch.iloc[row]
+                yield pd.DataFrame({
+                    "candidate_name": names[col],
+                    **{f: kept[f].to_numpy() for f in JOB_FIELDS},
+                    "matched": matched[row, col], "n_skills": sizes[col],
+                    "location_match": near[row, col] if near is not None else False,
+                    "matched_skills": [
+                        ", ".join(sorted(s for s in set(skills[c]) if hits[r, at[s]]))
+                        for r, c in zip(row, col)
+                    ],
+                    "similarity": cosine[row, col],
+                })
 
         return score
 

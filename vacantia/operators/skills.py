@@ -158,11 +158,21 @@ def match_semantic(
     return pairs.groupBy("job_id", "skill").agg(F.max("confidence").alias("confidence"))
 
 
-def locate_skill(jobs: DataFrame, matches: DataFrame) -> DataFrame:
-    """Adds ``position``: where the skill's key stands in the lowered text, -1 if nowhere."""
-    texts = jobs.select("job_id", F.lower("description").alias("low"))
-    return matches.join(texts, "job_id").select(
-        *matches.columns, (F.instr(F.col("low"), F.col("skill")) - 1).alias("position")
+def locate_skill(jobs: DataFrame, matches: DataFrame, skill_names: DataFrame) -> DataFrame:
+    """Adds ``position``: where the skill's key stands in the lowered text, -1 if nowhere.
+
+    Positions are taken where the text is; only ``(job_id, skill, position)`` is shuffled.
+    """
+    names = skill_names.agg(F.collect_set("skill")).scalar()
+    texts = jobs.select("job_id", F.lower("description").alias("low")).withColumn("names", names)
+    places = F.transform(
+        "names", lambda n: F.struct(n.alias("skill"), (F.instr(F.col("low"), n) - 1).alias("position"))
+    )
+    found = texts.select(
+        "job_id", F.explode(F.filter(places, lambda p: p["position"] >= 0)).alias("hit")
+    ).select("job_id", "hit.skill", "hit.position")
+    return matches.join(found, ["job_id", "skill"], "left").withColumn(
+        "position", F.coalesce("position", F.lit(-1))
     )
 
 
@@ -223,7 +233,9 @@ def extract_job_skills(
     lexical = match_lexicon(jobs, skills)
     semantic = None
     if sentences is not None and skill_vectors is not None:
-        semantic = locate_skill(jobs, match_semantic(sentences, skill_vectors, threshold))
+        semantic = locate_skill(
+            jobs, match_semantic(sentences, skill_vectors, threshold), skill_vectors
+        )
     return explode_job_skills(merge_methods(lexical, semantic), taxonomy)
 
 

@@ -159,24 +159,23 @@ def check_constraints(tables: dict[str, DataFrame]) -> DataFrame:
         grouped = tables[table].dropna(subset=columns).groupBy(*columns).agg(F.count("*").alias("n"))
         return grouped.agg(F.count_if(F.col("n") > 1).alias("violations"))
 
-    def nulls(table: str, columns: list[str]) -> DataFrame:
-        missing = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns])
-        return tables[table].agg(F.count_if(missing).alias("violations"))
-
     def has(table: str, columns: list[str]) -> bool:
         return table in tables and set(columns) <= set(tables[table].columns)
 
-    for table, columns in schemas.PRIMARY_KEYS.items():
-        if has(table, columns):
-            add("primary key", table, columns, repeats(table, columns))
-            add("not null", table, columns, nulls(table, columns))
-    for table, columns in schemas.UNIQUE_KEYS:
+    for table, columns in [*schemas.PRIMARY_KEYS.items(), *schemas.UNIQUE_KEYS]:
         if has(table, columns):
-            add("unique", table, columns, repeats(table, columns))
+            kind = "primary key" if schemas.PRIMARY_KEYS[table] == columns else "unique"
+            add(kind, table, columns, repeats(table, columns))
     for table, names in schemas.NOT_NULL.items():
-        for column in names:
-            if has(table, [column]):
-                add("not null", table, [column], nulls(table, [column]))
+        needed = [c for c in [*schemas.PRIMARY_KEYS[table], *names] if has(table, [c])]
+        if needed:
+            # All columns of a table in one scan.
+            counts = tables[table].agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in needed])
+            cells = F.array(*[F.struct(F.lit(c).alias("columns"), F.col(c).alias("violations")) for c in needed])
+            found.append(counts.select(F.inline(cells)).select(
+                F.lit("not null").alias("check_name"), F.lit(table).alias("table_name"), "columns",
+                F.col("violations").cast("bigint").alias("violations"),
+            ))
     for table, column, parent, parent_key in schemas.FOREIGN_KEYS:
         if has(table, [column]) and has(parent, [parent_key]):
             # Count per key first: a key shared by most rows is then one row of the join.
