@@ -14,7 +14,7 @@ from vacantia.operators import warehouse as wh
 from vacantia.plans.standin import (
     RAW_SQL, RECORDS_SQL, boards, raw_jobs, records, star, table, vectors,
 )
-from vacantia.session import scratch_path
+from vacantia.session import scratch_path, stage
 from vacantia.sources import files, tables
 from vacantia.sources.audit import ingestion_audit
 
@@ -25,10 +25,18 @@ def _now():
     return F.lit(NOW).cast("timestamp")
 
 
+def _stored_jobs(spark, sf_dir):
+    """Cleaned postings as a stored table, as they are between two stages of the flow."""
+    return stage(_cleaned(spark, sf_dir), "cleaned")
+
+
+def _skills_of(jobs):
+    return sk.explode_job_skills(sk.merge_methods(sk.match_lexicon(jobs, WORDS), None), GROUPS)
+
+
 def _job_skills(spark, sf_dir):
     """Lexicon matches of the cleaned postings."""
-    matched = sk.match_lexicon(_cleaned(spark, sf_dir), WORDS)
-    return sk.explode_job_skills(sk.merge_methods(matched, None), GROUPS)
+    return _skills_of(_cleaned(spark, sf_dir))
 
 
 def _read_raw(spark, sf_dir):
@@ -97,21 +105,29 @@ def _create(spark, sf_dir):
 
 def _loaded(spark, sf_dir):
     database, path = _fresh(spark)
-    return tables.load_warehouse(
-        spark, _cleaned(spark, sf_dir), _job_skills(spark, sf_dir), database, path, _now()
-    )
+    jobs = _stored_jobs(spark, sf_dir)
+    return tables.load_warehouse(spark, jobs, stage(_skills_of(jobs), "skills"), database, path, _now(), buckets=8)
 
 
 def _reloaded(spark, sf_dir):
     """Loading twice adds nothing."""
     database, path = _fresh(spark)
+    jobs = _stored_jobs(spark, sf_dir)
+    links = stage(_skills_of(jobs), "skills")
     for _ in range(2):
-        counts = tables.load_warehouse(
-            spark, _cleaned(spark, sf_dir), _job_skills(spark, sf_dir), database, path, _now()
-        )
+        counts = tables.load_warehouse(spark, jobs, links, database, path, _now())
     return counts
 
 
+def _summary(spark, sf_dir):
+    jobs = _stored_jobs(spark, sf_dir)
+    links = stage(_skills_of(jobs), "skills")
+    return tables.load_summary({
+        "companies": wh.dim_companies(jobs), "locations": wh.dim_locations(jobs),
+        "skills": wh.dim_skills(links), "jobs": jobs, "job_skill_links": links,
+    })
+
+
 def _verify(spark, sf_dir):
     from vacantia.operators.rows import table_counts
     return table_counts(star(spark, sf_dir).tables())
@@ -139,27 +155,28 @@ def _embeddings(spark, sf_dir):
     )
 
 
-def _companies(spark, sf_dir):
-    return wh.surrogate_key(wh.dim_companies(_cleaned(spark, sf_dir), True), "company_id", "company_name")
+def _companies(jobs):
+    return wh.surrogate_key(wh.dim_companies(jobs, True), "company_id", "company_name")
 
 
-def _locations(spark, sf_dir):
-    return wh.surrogate_key(wh.dim_locations(_cleaned(spark, sf_dir), True), "location_id", "location_name")
+def _locations(jobs):
+    return wh.surrogate_key(wh.dim_locations(jobs, True), "location_id", "location_name")
 
 
 def _fact_jobs(spark, sf_dir):
-    return wh.fact_jobs(_cleaned(spark, sf_dir), _companies(spark, sf_dir), _locations(spark, sf_dir), _now())
+    jobs = _stored_jobs(spark, sf_dir)
+    return wh.fact_jobs(jobs, _companies(jobs), _locations(jobs), _now())
 
 
 def _lookup(spark, sf_dir):
     return wh.lookup_keys(
         raw_jobs(spark, sf_dir).select("doc_id", "company"),
-        _companies(spark, sf_dir), "company_name", "company_id", "company",
+        _companies(_cleaned(spark, sf_dir)), "company_name", "company_id", "company",
     )
 
 
 def _fact_links(spark, sf_dir):
-    rows = _job_skills(spark, sf_dir)
+    rows = stage(_job_skills(spark, sf_dir), "skills")
     dim = wh.surrogate_key(wh.dim_skills(rows), "skill_id", "skill_name")
     score = F.when(F.col("skill_name") == "the", F.lit("high")).otherwise(F.col("confidence_score").cast("string"))
     place = F.when(F.col("skill_name") == "with", F.lit(None)).otherwise(F.col("position_in_description"))
@@ -191,9 +208,8 @@ def _extended(spark, sf_dir):
     raw = records(spark, sf_dir)
     normal = normalize_record(raw).withColumn("source", F.regexp_extract("external_job_id", r"^(src\d+)", 1))
     sources = wh.surrogate_key(wh.dim_sources(raw_jobs(spark, sf_dir)), "source_id", "source_name")
-    return wh.extended_fact(
-        normal, _companies(spark, sf_dir), _locations(spark, sf_dir), sources, _now()
-    ).select(
+    jobs = _stored_jobs(spark, sf_dir)
+    return wh.extended_fact(normal, _companies(jobs), _locations(jobs), sources, _now()).select(
         "external_job_id", "job_title", "company_id", "location_id", "source_id", "experience_level",
         "contract_type", "salary_min", "salary_currency", "is_active",
         F.date_format("updated_at", "yyyy-MM-dd HH:mm:ss").alias("updated_at"),
@@ -212,10 +228,7 @@ QUERIES = {
     "load_warehouse": _loaded,
     "load_warehouse_twice": _reloaded,
     "verify_row_counts": _verify,
-    "load_summary": lambda s, d: tables.load_summary({
-        "companies": wh.dim_companies(_cleaned(s, d)), "locations": wh.dim_locations(_cleaned(s, d)),
-        "skills": wh.dim_skills(_job_skills(s, d)), "jobs": _cleaned(s, d), "job_skill_links": _job_skills(s, d),
-    }),
+    "load_summary": _summary,
     "ingestion_audit": _audit,
     "persist_embeddings": _embeddings,
     "dim_companies": lambda s, d: wh.dim_companies(_cleaned(s, d)),

@@ -59,6 +59,44 @@ def number_rows(
     )
 
 
+def profile(
+    df: DataFrame, key: str, counted: dict[str, str], listed: dict[str, str], totals: dict[str, Column]
+) -> DataFrame:
+    """Per key: distinct counts, ordered distinct lists, and sums or extremes, in one pass.
+
+    ``counted`` and ``listed`` map result names to columns; ``totals`` maps result names to
+    aggregates of the columns named like the results (``F.sum("n")`` for ``n``).
+
+    Several distinct counts next to a collected set would send every expanded row through
+    an object aggregate.  Here each row is tagged once per wanted column, repeats are
+    removed by plain hash aggregates - most of them before the shuffle - and sets are only
+    collected from what is left, a handful of rows per key.  A key that holds most rows is
+    spread over its values.
+    """
+    names = list(totals)
+    nothing = [F.lit(None).cast(df.schema[n].dataType).alias(n) for n in names]
+
+    def tag(kind: str, value: Column, measures: list) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), value.cast("string").alias("value"), *measures)
+
+    tags = [tag("", F.lit(""), [F.col(n) for n in names])]
+    tags += [tag(name, F.col(c), nothing) for name, c in {**counted, **listed}.items()]
+    rows = df.select(F.col(key), F.inline(F.array(*tags))).filter(F.col("value").isNotNull())
+    first = [totals[n].alias(n) for n in names]
+    values = rows.groupBy(key, "kind", "value").agg(*first) if first else rows.select(key, "kind", "value").distinct()
+    member = F.when(F.col("kind").isin(list(listed)), F.col("value"))
+    small = values.groupBy(key, "kind", member.alias("member")).agg(F.count("*").alias("_n"), *first)
+
+    def of(kind: str, c: str) -> Column:
+        return F.when(F.col("kind") == kind, F.col(c))
+
+    return small.groupBy(key).agg(
+        *[F.max(of("", n)).alias(n) for n in names],
+        *[F.coalesce(F.max(of(name, "_n")), F.lit(0)).alias(name) for name in counted],
+        *[F.array_join(F.array_sort(F.collect_list(of(name, "member"))), ", ").alias(name) for name in listed],
+    )
+
+
 def value_counts(df: DataFrame, column: str, limit: int | None = None) -> DataFrame:
     """Occurrences of each non-null value, most frequent first, ties by value."""
     counted = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))

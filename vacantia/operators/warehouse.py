@@ -10,6 +10,7 @@ from vacantia import schemas
 from vacantia.functions import text as tx
 from vacantia.functions.dates import age_in_days, parse_lenient
 from vacantia.operators.rows import number_rows
+from vacantia.session import stage
 
 UNKNOWN = "Unknown"
 
@@ -40,8 +41,8 @@ def dim_skills(job_skills: DataFrame) -> DataFrame:
 def surrogate_key(members: DataFrame, key: str, name: str, existing: DataFrame | None = None) -> DataFrame:
     """Members that are not stored yet, numbered on from the largest stored key."""
     if existing is None:
-        return number_rows(members, [name], name=key)
-    fresh = members.join(existing, name, "left_anti")
+        return number_rows(stage(members, "members"), [name], name=key)
+    fresh = stage(members.join(existing, name, "left_anti"), "members")
     top = existing.agg(F.coalesce(F.max(key), F.lit(0))).scalar()
     return number_rows(fresh, [name], name=key).withColumn(key, F.col(key) + top)
 

@@ -17,6 +17,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from vacantia.operators.rows import profile
+
 
 @dataclass(frozen=True)
 class Star:
@@ -101,13 +103,13 @@ def vw_jobs_full_context(star: Star) -> DataFrame:
 
 def vw_skills_demand(star: Star) -> DataFrame:
     """Per skill: jobs, share of all jobs, confidence, companies, places, sources."""
-    per_skill = _links_with(star, "company_id", "location_id", "source", how="left").groupBy(
-        "skill_id"
-    ).agg(
-        F.count("*").alias("jobs"), F.avg("confidence_score").alias("confidence"),
-        F.countDistinct("company_id").alias("companies"),
-        F.countDistinct("location_id").alias("locations"),
-        _listed("source").alias("sources"),
+    links = _links_with(star, "company_id", "location_id", "source", how="left").withColumns({
+        "jobs": F.lit(1).cast("bigint"), "score_sum": F.col("confidence_score").cast("double"),
+        "score_n": F.when(F.col("confidence_score").isNotNull(), F.lit(1).cast("bigint")),
+    })
+    per_skill = profile(
+        links, "skill_id", {"companies": "company_id", "locations": "location_id"}, {"sources": "source"},
+        {"jobs": F.sum("jobs"), "score_sum": F.sum("score_sum"), "score_n": F.sum("score_n")},
     )
     jobs = F.coalesce("jobs", F.lit(0))
     return star.skills.select("skill_id", "skill_name", "skill_category").join(
@@ -116,7 +118,7 @@ def vw_skills_demand(star: Star) -> DataFrame:
         "skill_id", "skill_name", "skill_category",
         jobs.alias("jobs_requiring_skill"),
         F.round(F.try_divide(jobs * 100.0, _job_total(star)), 2).alias("demand_percentage"),
-        F.round("confidence", 3).alias("avg_confidence"),
+        F.round(_mean("score_sum", "score_n"), 3).alias("avg_confidence"),
         F.coalesce("companies", F.lit(0)).alias("companies_seeking"),
         F.coalesce("locations", F.lit(0)).alias("locations_seeking"),
         F.coalesce("sources", F.lit("")).alias("job_sources"),
@@ -132,24 +134,17 @@ def vw_jobs_by_title(star: Star) -> DataFrame:
     )
     c = star.companies.select("company_id", F.col("company_id").alias("known_company"))
     place = star.locations.select("location_id", F.col("location_id").alias("known_location"), "location_name")
-    return (
-        small.join(c, "company_id", "left").join(place, "location_id", "left")
-        .groupBy("job_title_normalized")
-        .agg(
-            F.sum("n").alias("job_count"),
-            F.countDistinct("known_company").alias("company_count"),
-            F.countDistinct("known_location").alias("location_count"),
-            F.sum("age_sum").alias("age_sum"), F.sum("age_n").alias("age_n"),
-            F.min("lo").alias("oldest_posting"), F.max("hi").alias("newest_posting"),
-            _listed("location_name").alias("locations"),
-        )
-        .select(
-            "job_title_normalized", "job_count", "company_count", "location_count",
-            F.round(_mean("age_sum", "age_n"), 0).alias("avg_posting_days_old"),
-            "oldest_posting", "newest_posting", "locations",
-        )
-        .orderBy(F.desc("job_count"), "job_title_normalized")
+    known = small.join(c, "company_id", "left").join(place, "location_id", "left")
+    per_title = profile(
+        known, "job_title_normalized",
+        {"company_count": "known_company", "location_count": "known_location"}, {"locations": "location_name"},
+        {"n": F.sum("n"), "age_sum": F.sum("age_sum"), "age_n": F.sum("age_n"), "lo": F.min("lo"), "hi": F.max("hi")},
     )
+    return per_title.select(
+        "job_title_normalized", F.col("n").alias("job_count"), "company_count", "location_count",
+        F.round(_mean("age_sum", "age_n"), 0).alias("avg_posting_days_old"),
+        F.col("lo").alias("oldest_posting"), F.col("hi").alias("newest_posting"), "locations",
+    ).orderBy(F.desc("job_count"), "job_title_normalized")
 
 
 def vw_market_overview(star: Star, as_of: Column) -> DataFrame:
@@ -174,13 +169,21 @@ def vw_market_overview(star: Star, as_of: Column) -> DataFrame:
 
 def vw_company_opportunities(star: Star) -> DataFrame:
     """Per company: positions, places, age (fan-out weighted), skills, dates, sources."""
-    from_jobs = _weighted_jobs(
+    weighted = _weighted_jobs(
         star, "company_id", "location_id", "job_posting_days_old", "publish_date", "source"
-    ).groupBy("company_id").agg(
-        F.count("*").alias("open_positions"), F.countDistinct("location_id").alias("locations_hiring"),
-        *_weighted("job_posting_days_old", "age"),
-        F.min("publish_date").alias("oldest_posting"), F.max("publish_date").alias("newest_posting"),
-        _listed("source").alias("job_sources"),
+    )
+    age = F.col("job_posting_days_old")
+    from_jobs = profile(
+        weighted.withColumns({
+            "open_positions": F.lit(1).cast("bigint"), "age_sum": age * F.col("w"),
+            "age_n": F.when(age.isNotNull(), F.col("w")), "oldest_posting": F.col("publish_date"),
+            "newest_posting": F.col("publish_date"),
+        }),
+        "company_id", {"locations_hiring": "location_id"}, {"job_sources": "source"},
+        {
+            "open_positions": F.sum("open_positions"), "age_sum": F.sum("age_sum"), "age_n": F.sum("age_n"),
+            "oldest_posting": F.min("oldest_posting"), "newest_posting": F.max("newest_posting"),
+        },
     )
     pairs = _links_with(star, "company_id").select("company_id", "skill_id").distinct()
     from_links = pairs.join(star.skills.select("skill_id", "skill_name"), "skill_id", "left").groupBy(
