@@ -83,6 +83,7 @@ def test_company(values):
     assert company('<meta property="og:title" content="[Acme &amp; Co] Data lead">') == "Acme & Co"
     assert company("<p>Entreprise :\nshort\nOffre longue\nReal Name Ltd\n</p>") == "Real Name Ltd"
     assert company('<meta property="og:title" content="no brackets">') == "Non spécifié"
+    assert company('<meta property="og:title" content="[ ] Lead"><p>Entreprise :\nReal Name Ltd</p>') == ""
 
 
 def test_sections(values):

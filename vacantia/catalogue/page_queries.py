@@ -86,6 +86,13 @@ def _filters(spark, sf_dir):
     )
 
 
+def _strict(spark, sf_dir):
+    """Pages of the regional layout that pass the strict filter, by their own text."""
+    pages = regional_pages(spark, sf_dir).select("page_id", mk.without_hidden(F.col("html")).alias("page"))
+    read = pages.select("page_id", ex.heading(F.col("page")).alias("title"), mk.page_text(F.col("page")).alias("text"))
+    return read.filter(ex.is_strict_data_job(F.col("title"), F.col("text"))).select("page_id", "title")
+
+
 def _ids(spark, sf_dir):
     return ex.assign_job_id(
         raw_jobs(spark, sf_dir).select("source", "doc_id"), order="doc_id"
@@ -134,6 +141,7 @@ QUERIES = {
         ex.cut_description(ex.intl_description(F.col("found"))).alias("description")]),
     "relative_age": _on_international(lambda: [ex.relative_age(F.col("found")).alias("publish_date")]),
     "is_data_job": _filters,
+    "is_strict_data_job": _strict,
     "assign_job_id": _ids,
     "route_valid_rows": _routed,
     "canonicalize_record": _canonical,
@@ -257,6 +265,9 @@ ELSE 'Titre: ' || title || ' | Localisation: ' || location || ' | Expérience: '
     "extract_description_by_id": f"{_RAW} SELECT doc_id AS page_id, substr({_INTL_TEXT}, 1, 5000) AS description FROM raw",
     "relative_age": f"{_RAW} SELECT doc_id AS page_id, {_INTL_DATE} AS publish_date FROM raw",
     "is_data_job": f"{_RAW} SELECT doc_id, {_BROAD} AS broad, {_STRICT} AS strict FROM raw",
+    "is_strict_data_job": f"""{_RAW}, p AS (SELECT doc_id, {_REGIONAL_TITLE} AS title, {_PAGE_TEXT} AS text FROM raw)
+SELECT doc_id AS page_id, title FROM p
+WHERE {_filter(ex.STRICT_INCLUDE, ex.STRICT_EXCLUDE, "lower(title || ' ' || substr(text, 1, 3000))")}""",
     "assign_job_id": """SELECT doc_id, source, format('{}_{:05d}', source,
 row_number() OVER (PARTITION BY source ORDER BY doc_id)) AS job_id FROM documents""",
     "parse_regional": f"""{_RAW}, {_SECTIONS}, p AS (

@@ -225,9 +225,8 @@ def company_of(page: Column, text: Column) -> Column:
         F.filter(metas, lambda m: mk.attribute(m, "property") == "og:title"), F.lit(1)
     )
     content = mk.decode_entities(mk.attribute(og, "content"))
-    named = tx.strip_markup(
-        F.regexp_extract(content, _space(r"^\[([^\]]+)\]\s+."), 1)
-    )
+    bracketed = _space(r"^\[([^\]]+)\]\s+.")
+    named = tx.strip_markup(F.regexp_extract(content, bracketed, 1))
     start = F.instr(text, COMPANY_HEADING)
     window = F.substring(text, start + len(COMPANY_HEADING), F.lit(300))
     lines = F.transform(F.split(window, "\n"), tx.strip_markup)
@@ -237,7 +236,7 @@ def company_of(page: Column, text: Column) -> Column:
         & ~tx.contains_any(F.lower(s), COMPANY_SKIP),
     )
     below = F.when(start > 0, F.try_element_at(fitting, F.lit(1)))
-    chosen = F.when(~tx.blank(named) & (named != NO_COMPANY_REGIONAL), named)
+    chosen = F.when(content.rlike(bracketed) & (named != NO_COMPANY_REGIONAL), named)
     return F.coalesce(chosen, below, F.lit(NO_COMPANY_REGIONAL))
 
 

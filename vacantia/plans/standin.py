@@ -72,7 +72,7 @@ def star(spark: SparkSession, sf_dir: str) -> Star:
         F.col("o_orderkey").alias("job_id"), F.col("o_custkey").alias("company_id"),
         F.col("c_nationkey").alias("location_id"), F.col("o_orderpriority").alias("job_title"),
         F.lower("o_orderpriority").alias("job_title_normalized"),
-        F.concat_ws(" ", "o_orderstatus", "o_orderpriority").alias("description"),
+        F.concat("o_orderstatus", F.lit(" "), "o_orderpriority").alias("description"),
         F.floor("o_totalprice").cast("int").alias("description_length"),
         published.alias("publish_date"), published.alias("scrape_date"),
         F.col("o_orderstatus").alias("source"),

@@ -17,7 +17,7 @@ def create_star_schema(
     With ``buckets`` both facts are bucketed by ``job_id``: the join of jobs and links, on
     which most views rest, and the group-by per job then need no shuffle.
     """
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{location}'")
     names = []
     for table, schema in schemas.STAR.items():
         columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
