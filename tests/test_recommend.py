@@ -61,6 +61,7 @@ def test_match_candidates_equals_brute_force(spark):
 def test_blocks_and_batches_do_not_change_the_result(spark, monkeypatch):
     jobs, cands = fixture(spark, seed=5)
     monkeypatch.setattr(vc.over_blocks, "__defaults__", (4,))
+    monkeypatch.setattr(rc, "CELLS", 60)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "20")
     try:
         got = ranked(rc.match_candidates(spark.createDataFrame(jobs, JOBS), spark.createDataFrame(cands, CANDS)))

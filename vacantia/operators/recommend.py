@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from vacantia.operators.rows import top_per_key
 from vacantia.operators.vectors import over_blocks, unit_rows
+from vacantia.session import stage
 
 # ---------------------------------------------------------------- fixed values
 SKILL_WEIGHT = 0.6
@@ -32,6 +33,9 @@ MULTI_THRESHOLD = 0.5
 MULTI_TOP_N = 10
 # ------------------------------------------------------------------------------
 
+# Largest number of cells of one matrix inside a task; longer batches are cut into pieces.
+CELLS = 4_000_000
+
 JOB_FIELDS = ["job_id", "title", "company", "location", "source"]
 _KEPT = (
     "candidate_name string, job_id string, title string, company string, location string, "
@@ -74,7 +78,7 @@ def job_vectors(jobs: DataFrame, vectors: DataFrame) -> DataFrame:
 
 def _substring_hits(texts: list[str], terms: list[str]) -> np.ndarray:
     """``hits[i, j]``: term j occurs in text i."""
-    hits = np.zeros((len(texts), len(terms)), dtype=np.float32)
+    hits = np.zeros((len(texts), len(terms)), dtype=bool)
     try:
         import ahocorasick
     except ImportError:
@@ -129,22 +133,19 @@ def _shortlist(jobs: DataFrame, candidates: DataFrame, k: int, min_match: float)
         skills = [[s.lower() for s in (xs if xs is not None else [])] for xs in block["skills"]]
         terms = sorted({s for xs in skills for s in xs})
         at = {term: j for j, term in enumerate(terms)}
-        weight = np.zeros((len(terms), len(block)), dtype=np.float32)
-        for c, xs in enumerate(skills):
-            for s in xs:
-                weight[at[s], c] += 1
+        wanted = [[at[s] for s in xs] for xs in skills]
+        step = max(1, CELLS // max(len(terms), len(block), 1))
         sizes = np.array([len(xs) for xs in skills])
         matrix = unit_rows(block["embedding"])
         names = block["name"].to_numpy()
         places = block["location"].to_numpy() if "location" in block else None
 
         def score(batches):
-            for batch in batches:
-                if batch.empty:
-                    continue
+            pieces = (b.iloc[i:i + step] for b in batches for i in range(0, len(b), step))
+            for batch in pieces:
                 texts = [d.lower() if d is not None else "" for d in batch["description"]]
                 hits = _substring_hits(texts, terms)
-                count = np.rint(hits @ weight).astype(int)
+                count = np.column_stack([hits[:, js].sum(axis=1, dtype=int) for js in wanted])
                 ratio = np.divide(count, sizes, out=np.zeros(count.shape), where=sizes > 0)
                 matched = np.where(ratio >= min_match, count, 0)
                 cosine = (
@@ -179,10 +180,12 @@ def _shortlist(jobs: DataFrame, candidates: DataFrame, k: int, min_match: float)
         return score
 
     columns = ["name", "skills", "embedding"] + (["location"] if "location" in candidates.columns else [])
-    return over_blocks(
+    found = over_blocks(
         jobs.select(*JOB_FIELDS, "description", "embedding"), candidates.select(*columns),
         "name", kernel, _KEPT,
     )
+    # Read twice below: staged, so that the jobs are scored once.
+    return stage(found, "shortlist")
 
 
 def _scored(kept: DataFrame) -> DataFrame:

@@ -177,14 +177,32 @@ def locate_skill(jobs: DataFrame, matches: DataFrame, skill_names: DataFrame) ->
 
 
 def merge_methods(lexical: DataFrame, semantic: DataFrame | None, method: str = "hybrid") -> DataFrame:
-    """``(job_id, skill, confidence, position)``; a lexicon entry wins over a semantic one."""
+    """``(job_id, skill, confidence, position)``; a lexicon entry wins over a semantic one.
+
+    Both sides go through one hash aggregate, so neither is computed twice.
+    """
     by_rule = lexical.select("job_id", "skill", F.lit(1.0).alias("confidence"), "position")
     if semantic is None or method == "regex":
         return by_rule
     by_vector = semantic.select("job_id", "skill", "confidence", "position")
     if method == "bert":
         return by_vector
-    return by_rule.unionByName(by_vector.join(by_rule, ["job_id", "skill"], "left_anti"))
+    none = F.lit(None)
+    both = by_rule.select(
+        "job_id", "skill", F.col("position").alias("rule_position"),
+        none.cast("double").alias("confidence"), none.cast("int").alias("vector_position"),
+    ).unionByName(by_vector.select(
+        "job_id", "skill", none.cast("int").alias("rule_position"), "confidence",
+        F.col("position").alias("vector_position"),
+    ))
+    merged = both.groupBy("job_id", "skill").agg(*[
+        F.max(c).alias(c) for c in ("rule_position", "confidence", "vector_position")
+    ])
+    return merged.select(
+        "job_id", "skill",
+        F.when(F.col("rule_position").isNotNull(), F.lit(1.0)).otherwise(F.col("confidence")).alias("confidence"),
+        F.coalesce("rule_position", "vector_position").alias("position"),
+    )
 
 
 def skill_category(skill: Column, taxonomy: dict[str, list[str]] | None = None) -> Column:
