@@ -111,16 +111,18 @@ def _shared(part: pa.Table) -> pa.Table:
     _, which, count = np.unique(hashes, return_inverse=True, return_counts=True)
     count = count + np.bincount(which, repeated, len(count))
     keep = count[which] > 1
-    return table(list(pieces(block[keep], hashes[keep])), block=pa.int64(), hashes=pa.binary())
+    having = np.bincount(which, minlength=len(count))[which].astype(np.int64)
+    return table(
+        list(pieces(block[keep], hashes[keep], having[keep])), block=pa.int64(), hashes=pa.binary(), having=pa.binary())
 
 
 def shared_hashes(offered: DataFrame) -> DataFrame:
-    """(block, hashes) of all hashes that occur at least twice, from :func:`offer` rows.
+    """(block, hashes, having) of all hashes that occur at least twice, from :func:`offer` rows.
 
-    One entry per block and hash is moved, so a hash of a third of all documents weighs no
-    more in its shard than one entry per block.
+    ``having`` is the number of blocks that have the hash.  One entry per block and hash is
+    moved, so a hash of a third of all documents weighs no more in its shard than one entry per block.
     """
-    return offered.groupBy("shard").applyInArrow(_shared, "block long, hashes binary")
+    return offered.groupBy("shard").applyInArrow(_shared, "block long, hashes binary, having binary")
 
 
 def among(values: np.ndarray, known: np.ndarray) -> np.ndarray:

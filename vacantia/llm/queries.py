@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vacantia.llm import phrases
+from vacantia.llm import dart, hosts, nnpu, packing, phrases, pivots, suffixes, tokens
+from vacantia.session import scratch_path
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -23,3 +24,46 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 def op4_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return phrases.remove_repeated_phrases(docs, with_text=False)
+
+
+@query
+def op1_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dart.near_duplicates(read(spark, sf_dir, "documents"))
+
+
+def tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query
+def op2_bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "planes")
+    tokens.write_planes(read(spark, sf_dir, "documents"), path, tokenizer())
+    return tokens.read_documents(spark, path).withColumnRenamed("id", "doc_id")
+
+
+@query
+def op6_nnpu_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nnpu.score_toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query
+def op8_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hosts.judge_hosts(read(spark, sf_dir, "documents"))
+
+
+@query
+def op10_cutting_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents"), tokenizer())
+
+
+@query
+def op5_pivot_permutations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivots.near_vectors(read(spark, sf_dir, "embeddings"))
+
+
+@query
+def op9_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeated_bytes(read(spark, sf_dir, "documents"))
