@@ -34,6 +34,7 @@ from vacantia.session import stage
 WINDOW = 13
 SEED = 6
 SIDE = WINDOW - SEED
+LETTERS, DIGITS = 4, 32  # a million words; beyond that numbers repeat, and hits are checked anyway
 _NO_DOC = -(1 << 63)
 
 
@@ -140,7 +141,7 @@ def _cut_passages(docs: pa.Table, tasks: pa.Table) -> pa.Table:
         task = np.repeat(low, many) + step
         mine = owner[task] == key[t.first + w.doc[at]]
         at, task = at[mine], task[mine]
-        _, one = np.unique(np.stack([task, w.doc[at]]), axis=1, return_index=True)
+        _, one = np.unique(task * len(t) + w.doc[at], return_index=True)
         at, task = at[one], task[one]
         order = np.lexsort((at, target[task]))
         at, task = at[order], task[order]
@@ -209,20 +210,27 @@ class Automaton:
         self.low = np.flatnonzero(new)
         self.many = np.diff(np.append(self.low, len(seed)))
         self.machine = ahocorasick.Automaton(ahocorasick.STORE_INTS)
-        text = self.letters(spelled[self.low].ravel())
+        text, width = self.letters(spelled[self.low].ravel()), SEED * LETTERS
         for i in range(len(self.low)):
-            self.machine.add_word(text[i * SEED : (i + 1) * SEED], i)
+            self.machine.add_word(text[i * width : (i + 1) * width], i)
         if len(self.low):
             self.machine.make_automaton()
 
     def letters(self, hashes: np.ndarray) -> str:
-        """One character per word: its number in the vocabulary, wrapped to the code points."""
+        """``LETTERS`` characters per word: the digits of its number in the vocabulary.
+
+        Each digit place has characters of its own, so a match begins with a word, and no state
+        has more than ``DIGITS`` ways on, which the automaton searches one by one.
+        """
         if not len(self.vocabulary):
             return ""
         place = np.minimum(np.searchsorted(self.vocabulary, hashes), len(self.vocabulary) - 1)
-        code = np.where(self.vocabulary[place] == hashes, 2 + place % 1_000_000, 1).astype("<u4")
-        code[code >= 0xD800] += 0x800
-        return code.tobytes().decode("utf-32-le")
+        known = self.vocabulary[place] == hashes
+        out = np.ones((len(hashes), LETTERS), "<u4")
+        for k in range(LETTERS):
+            out[known, k] = 2 + k * DIGITS + place[known] % DIGITS
+            place = place // DIGITS
+        return out.tobytes().decode("utf-32-le")
 
     def covered(self, w: Words, key: np.ndarray) -> np.ndarray:
         """Which words of the texts lie in a window of a passage with a smaller owner."""
@@ -231,7 +239,7 @@ class Automaton:
         hits = list(self.machine.iter(self.letters(w.hash))) if len(self.low) and n else []
         if hits:
             hit = np.array(hits, np.int64)
-            at, seed = hit[:, 0] - SEED + 1, hit[:, 1]
+            at, seed = (hit[:, 0] + 1) // LETTERS - SEED, hit[:, 1]
             one = w.doc[at] == w.doc[at + SEED - 1]
             at, seed = at[one], seed[one]
             for a in range(0, len(at), 1 << 15):
@@ -245,8 +253,8 @@ class Automaton:
                 left = np.cumprod(same[:, :SIDE], axis=1).sum(axis=1)
                 right = np.cumprod(same[:, SIDE:], axis=1).sum(axis=1)
                 ok = left + right >= SIDE
-                np.add.at(edge, (place - left)[ok], 1)
-                np.add.at(edge, (place + SEED + right)[ok], -1)
+                edge += np.bincount((place - left)[ok], minlength=n + 1)
+                edge -= np.bincount((place + SEED + right)[ok], minlength=n + 1)
         return np.cumsum(edge[:n]) > 0
 
 
@@ -255,8 +263,8 @@ def kept_text(w: Words, keep: np.ndarray) -> list[bytes]:
     data = w.texts.data.copy()
     start, end, doc = w.start[keep], w.end[keep], w.doc[keep]
     edge = np.zeros(len(data) + 1, np.int32)
-    np.add.at(edge, start, 1)
-    np.add.at(edge, end, -1)
+    edge[start] += 1
+    edge[end] -= 1
     mask = np.cumsum(edge[:-1]) > 0
     joint = start[1:][doc[1:] == doc[:-1]] - 1
     mask[joint] = True
