@@ -224,17 +224,12 @@ def joined_crc(one: int, two: int, n_bytes: int) -> int:
     return two ^ shifted ^ plain
 
 
-@F.pandas_udf("long")
-def _crc_of(pieces):
-    out = []
-    for rows in pieces:
-        crc = 0
-        for row in sorted(rows, key=lambda r: r["at"]):
-            crc = joined_crc(crc, row["crc"], 4 * row["many"])
-        out.append(crc)
-    import pandas as pd
-
-    return pd.Series(out, dtype="int64")
+def _whole_crc(parts: pa.Table) -> pa.Table:
+    """The checksum of a document that several chunks hold, from its pieces."""
+    parts, crc = parts.sort_by("at"), 0
+    for one, many in zip(parts["crc"].to_pylist(), parts["many"].to_pylist()):
+        crc = joined_crc(crc, one, 4 * many)
+    return parts.slice(0, 1).select(["part", "id", "first", "n"]).append_column("crc", pa.array([crc], pa.int64()))
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
@@ -243,7 +238,7 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     pieces = stage(read_chunks(spark, path).mapInArrow(
         _pieces, "part int, id long, first long, n long, at long, many long, crc long"), "pieces")
     whole = pieces.filter("many = n").select("part", "id", "first", "n", "crc")
-    cut = pieces.filter("many < n").groupBy("part", "id", "first", "n").agg(
-        F.collect_list(F.struct("at", "many", "crc")).alias("rows")).select("part", "id", "first", "n", _crc_of("rows").alias("crc"))
+    cut = pieces.filter("many < n").groupBy("part", "first").applyInArrow(
+        _whole_crc, "part int, id long, first long, n long, crc long")
     return whole.union(cut).join(index, "part").select(
         "id", (F.col("base") + F.col("first")).alias("start"), F.col("n").alias("n_tokens"), F.col("crc").alias("ids_crc32"))
