@@ -28,7 +28,7 @@ def length_classes(length: int = LENGTH) -> tuple[np.ndarray, int]:
     unit = max(1, length // 512)
     units = length // unit
     small = units // 8
-    sizes = [*range(1, small + 1), *range(small + 2, units, 2), units]
+    sizes = [*range(1, small + 1), *range(small + 4, units, 4), units]
     return np.array(sorted(set(sizes)), np.int64), unit
 
 
@@ -54,12 +54,18 @@ def best_pattern(values: np.ndarray, sizes: np.ndarray, room: int) -> tuple[floa
     return float(best[room]), pattern
 
 
-def generate_patterns(demand: np.ndarray, sizes: np.ndarray, room: int) -> tuple[np.ndarray, np.ndarray]:
-    """Patterns (rows) and how often each is used in a solution of the linear program."""
+def generate_patterns(demand: np.ndarray, sizes: np.ndarray, room: int, gap: float = 3e-3) -> tuple[np.ndarray, np.ndarray]:
+    """Patterns (rows) and how often each is used in a solution of the linear program.
+
+    The best price bounds the optimum from below (Farley), so pricing ends when the solution is within
+    ``gap`` of it; every basis on the way is a valid packing.
+    """
     m = len(sizes)
     basis, cost = np.diag(room // sizes).astype(float), np.ones(m)
-    for _ in range(20 * m + 200):  # any basis on the way is a valid packing
-        inverse = np.linalg.inv(basis)
+    inverse = np.diag(1.0 / (room // sizes))
+    for turn in range(1, 5 * m + 100):
+        if turn % 50 == 0:
+            inverse = np.linalg.inv(basis)
         level, price = np.maximum(inverse @ demand, 0), cost @ inverse
         if price.min() < -1e-9:  # a surplus of one class comes in
             column, extra = np.zeros(m), 0.0
@@ -67,14 +73,17 @@ def generate_patterns(demand: np.ndarray, sizes: np.ndarray, room: int) -> tuple
         else:
             value, column = best_pattern(price, sizes, room)
             extra = 1.0
-            if value <= 1 + 1e-7:
+            if value <= 1 + gap:
                 break
         move = inverse @ column
-        up = np.flatnonzero(move > 1e-10)
+        up = np.flatnonzero(move > 1e-9)
         if not len(up):
             break
         out = up[np.argmin(level[up] / move[up])]
         basis[:, out], cost[out] = column, extra
+        row = inverse[out] / move[out]
+        inverse -= np.outer(move, row)
+        inverse[out] = row
     level = np.maximum(np.linalg.solve(basis, demand.astype(float)), 0)
     real = cost > 0
     return basis[:, real].T.round().astype(np.int64), level[real]
