@@ -24,7 +24,7 @@ def words(text: Column) -> Column:
 def base_rules(docs: DataFrame, text: Column, keep: list[Column]) -> DataFrame:
     """``keep`` and the base counts of every text (null: none)."""
     text = F.coalesce(text.cast("string"), F.lit(""))
-    lines = F.filter(F.split(text, "\n"), lambda x: F.length(F.translate(x, " \t\n\x0b\f\r", "")) > 0)
+    lines = F.filter(F.split("_text", "\n"), lambda x: F.length(F.translate(x, " \t\n\x0b\f\r", "")) > 0)
     rows = docs.select(*keep, text.alias("_text"), words(text).alias("_words"))
     rows = rows.select(
         *[c for c in rows.columns if not c.startswith("_")], "_words",

@@ -1,7 +1,7 @@
 """Toxicity scores by non-negative positive-unlabelled learning.
 
-Confirmed toxic texts are the positive class; all other text is unlabelled, a mixture with the
-class prior as its share of toxic text.  A linear model over the words of a text is trained in
+Confirmed toxic texts are the positive class; text at large, taken without its labels, is a mixture
+with the class prior as its share of toxic text.  A linear model over the words of a text is trained in
 numpy on the class-prior-corrected risk
 
     prior * E_P[loss(+)] + max(0, E_U[loss(-)] - prior * E_P[loss(-)])
@@ -88,9 +88,9 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
         p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
         negative = np.logaddexp(0, z)  # loss of calling a text clean, for the logistic loss
         rest = negative[~pos].mean() - prior * negative[pos].mean()
-        push = np.where(pos, prior * (p - 1) / n_p, 0)
-        if rest >= 0:
-            push += np.where(pos, -prior * p / n_p, p / n_u)
+        clean = np.where(pos, -prior * p / n_p, p / n_u)
+        # a negative estimate means overfitting: the step undoes it instead of going on
+        push = np.where(pos, prior * (p - 1) / n_p, 0) + clean if rest >= 0 else -clean
         grad = np.append(np.bincount(column, push[doc], len(words)) + penalty * weight, push.sum())
         moment, speed = 0.9 * moment + 0.1 * grad, 0.999 * speed + 0.001 * grad**2
         move = rate * (moment / (1 - 0.9**step)) / (np.sqrt(speed / (1 - 0.999**step)) + 1e-8)
@@ -124,7 +124,8 @@ def train(
     """The model from rows outside the held-out fold.
 
     Positives are texts labelled 1, at most ``MAX_POSITIVE`` of them, chosen by a hash of the id; the
-    unlabelled ones are other texts of the training folds, at most ``MAX_UNLABELLED``.
+    unlabelled ones are drawn from all texts of the training folds, at most ``MAX_UNLABELLED``, so that they hold
+    toxic texts in proportion to the prior, as the risk assumes.
     """
     usable = F.coalesce(fold(F.col("id")) != held_out, F.lit(False))
     known = labels.select(F.col(id_column).cast("long").alias("id"), F.col(label_column).cast("int").alias("label"))
@@ -134,8 +135,7 @@ def train(
     by_hash = F.xxhash64("id")
     p = known.filter("label = 1").orderBy(by_hash, "id").limit(MAX_POSITIVE).select("id", F.lit(True).alias("positive"))
     ids = docs.select(F.col(id_column).cast("long").alias("id")).filter(usable).distinct()
-    u = ids.join(known.filter("label = 1"), "id", "left_anti").orderBy(by_hash, "id").limit(MAX_UNLABELLED).select(
-        "id", F.lit(False).alias("positive"))
+    u = ids.orderBy(F.xxhash64("id", F.lit(1)), "id").limit(MAX_UNLABELLED).select("id", F.lit(False).alias("positive"))
     chosen = p.union(u)  # bounded by the two limits above
     texts = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("string").cast("binary").alias("text"))
     sample = texts.join(F.broadcast(chosen), "id").select("positive", "text").mapInArrow(_features, "positive boolean, words binary").toArrow()
