@@ -38,8 +38,8 @@ def eight_bytes(data: np.ndarray) -> np.ndarray:
     return out
 
 
-def suffix_array(data: np.ndarray, depth: int) -> np.ndarray:
-    """Places of ``data`` sorted by at least the ``depth`` bytes from there on.
+def suffix_array(data: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of ``data`` sorted by at least the ``depth`` bytes from there on, and where groups of equal ones begin.
 
     Larsson-Sadakane: the rank of a place is the start of its group; each round doubles the depth that
     is sorted by ranking the places of unsorted groups by the rank that lies one depth further on.
@@ -77,18 +77,21 @@ def suffix_array(data: np.ndarray, depth: int) -> np.ndarray:
         rank[place] = np.repeat(starts, np.diff(np.append(np.flatnonzero(new), len(at))))
         first = np.flatnonzero(cut)
         h *= 2
-    return order
+    return order, cut
 
 
-def common_prefixes(data: np.ndarray, order: np.ndarray, most: int, lane: int = 256) -> np.ndarray:
+def common_prefixes(data: np.ndarray, order: np.ndarray, cut: np.ndarray, most: int, lane: int = 256) -> np.ndarray:
     """For every rank the bytes that its suffix shares with the one before, ``most`` at the most.
 
     Kasai: along the text the common prefix falls by one at most per place.  The text is cut into
-    lanes that walk side by side, each keeping its own count.
+    lanes that walk side by side, each keeping its own count.  Places that do not begin a group share
+    ``most`` bytes with the one before; since groups are not sorted further, the count starts anew behind them.
     """
     n = len(data)
     before = np.full(n, -1, np.int64)
     before[order[1:]] = order[:-1]
+    tied = np.empty(n, bool)
+    tied[order] = ~cut
     key = np.concatenate([eight_bytes(data), np.zeros(most + 8, np.uint64)])
     out = np.zeros(n, np.int64)
     starts = np.arange(0, n, lane)
@@ -98,7 +101,7 @@ def common_prefixes(data: np.ndarray, order: np.ndarray, most: int, lane: int =
         height = height[: len(place)]
         other = before[place]
         limit = np.where(other < 0, 0, np.minimum(most, n - np.maximum(place, other)))
-        height = np.minimum(height, limit)
+        height = np.where(tied[place], limit, np.minimum(height, limit))
         live = np.flatnonzero(height < limit)
         while len(live):
             h = height[live]
@@ -109,7 +112,7 @@ def common_prefixes(data: np.ndarray, order: np.ndarray, most: int, lane: int =
             height[live] = np.minimum(h + same, limit[live])
             live = live[(same == 8) & (height[live] < limit[live])]
         out[place] = height
-        height = np.maximum(height - 1, 0)
+        height = np.where(tied[place], 0, np.maximum(height - 1, 0))
     return out[order]
 
 
@@ -247,14 +250,13 @@ class Stretches:
     def repeated(self) -> tuple[np.ndarray, np.ndarray]:
         """(stretch, place) of windows that occur twice or more here, in order."""
         _, kind, kinds = np.unique(self.seed, return_inverse=True, return_counts=True)
-        alone = kinds[kind] == 1  # nothing here can share a window with it but its copies
-        copied = np.flatnonzero(alone & (self.count > 1))
-        parts = [self.all_windows(copied)]
-        rest = np.flatnonzero(~alone)
+        copies = (kinds[kind] == 1) & (self.count > 1)  # no other stretch of the seed, and equal to each other
+        parts = [self.all_windows(np.flatnonzero(copies))]
+        rest = np.flatnonzero(~copies)
         if len(rest):
             data, which, place = self.joined(rest)
-            order = suffix_array(data, self.length)
-            shared = common_prefixes(data, order, self.length)
+            order, cut = suffix_array(data, self.length)
+            shared = common_prefixes(data, order, cut, self.length)
             group = np.cumsum(shared < self.length)
             size = np.array([len(x) for x in self.text], np.int64)
             window = place + self.length <= size[which]
