@@ -34,6 +34,12 @@ _STEP = np.uint64(0x9E3779B97F4A7C15)
 _SEEDS = mix(np.arange(1, 4, dtype=np.uint64) * _STEP)
 
 
+def by_text(doc: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    """The order by text, then value; texts are few, so their numbers are sorted digit by digit."""
+    order = np.argsort(values)
+    return order[np.argsort(doc[order].astype(np.int16 if n < 1 << 15 else np.int64), kind="stable")]
+
+
 def shingles(t: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(text, shingle, weight) for all distinct shingles, and the number of words per text.
 
@@ -48,7 +54,7 @@ def shingles(t: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     small = np.flatnonzero((n > 0) & (n < SHINGLE))
     doc = np.concatenate([doc[: len(runs)][whole], small])
     runs = np.concatenate([runs[whole], spans(sums, first[small], first[small + 1], WORD_BASE)])
-    order = np.lexsort((runs, doc))
+    order = by_text(doc, runs, len(t))
     doc, runs = doc[order], runs[order]
     new = np.ones(len(doc), bool)
     new[1:] = (doc[1:] != doc[:-1]) | (runs[1:] != runs[:-1])
@@ -75,7 +81,7 @@ def signatures(doc: np.ndarray, element: np.ndarray, weight: np.ndarray, n_docs:
         use = wanted[doc]
         found = _throw(doc[use], element[use], weight[use], until)
         place = found[0] * COORDINATES + found[1]
-        order = np.lexsort((found[2], place))
+        order = np.argsort((place << 36) | (found[2] / until[found[0]] * (1 << 35)).astype(np.int64))  # place, then time
         place, dart = place[order], found[3][order]
         first = np.ones(len(place), bool)
         first[1:] = place[1:] != place[:-1]
@@ -99,7 +105,7 @@ def _throw(doc, element, weight, until):
     time, limit, turn, caught = np.zeros(len(doc)), until[doc], 0, []
     while len(doc):
         turn += 1
-        dart = mix(key + np.uint64(turn) * _STEP)
+        dart = mix(key + np.uint64(turn * int(_STEP) & (1 << 64) - 1))
         time = time - np.log(_unit(dart)) / width
         live = time <= limit
         if not live.all():
@@ -152,7 +158,7 @@ def _sets(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             doc, element, weight, _ = shingles(t)
             each = mix(np.repeat(element, weight) + B_steps(weight).astype(np.uint64) * _STEP)
             doc = np.repeat(doc, weight)
-            order = np.lexsort((each, doc))
+            order = by_text(doc, each, len(t))
             each = each[order].tobytes()
             cut = np.searchsorted(doc[order], np.arange(len(t) + 1)) * 8
             rows = np.flatnonzero(mine)
@@ -210,15 +216,11 @@ def near_duplicates(
     turn = 0
     while True:
         order = F.xxhash64("uid", F.lit(turn)) if turn else F.col("uid")
-        member = bucket if classes is None else (
-            bucket.join(classes.withColumnRenamed("id", "uid"), "uid", "left")
-            .withColumn("root", F.coalesce("root", "uid"))
-        )
-        pick = F.min(F.struct(order.alias("o"), *member.columns[2:])).alias("p")
-        pivot = member.groupBy("band", "value").agg(pick).select(
-            "band", "value", F.col("p.uid").alias("a"), *([F.col("p.root").alias("of")] if turn else []))
-        pairs = member.join(pivot, ["band", "value"]).filter("uid <> a" + (" AND root <> of" if turn else ""))
-        pairs = pairs.select(F.least("a", "uid").alias("a"), F.greatest("a", "uid").alias("b")).distinct()
+        member = bucket.withColumn("root", F.col("uid")) if classes is None else bucket.join(
+            classes.withColumnRenamed("id", "uid"), "uid", "left").withColumn("root", F.coalesce("root", "uid"))
+        pivot = member.groupBy("band", "value").agg(F.min(F.struct(order.alias("o"), "uid", "root")).alias("p"))
+        pairs = member.join(pivot, ["band", "value"]).filter("root <> p.root").select(
+            F.least("p.uid", "uid").alias("a"), F.greatest("p.uid", "uid").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stage(pairs, "pairs")
