@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from vacantia.llm import blocks as B
 from vacantia.llm.components import components
@@ -142,7 +142,7 @@ def _describe(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             one, two = _digests(t)
             flat = pa.array(bands.view(np.int64).ravel())
             yield pa.record_batch({
-                "uid": part["uid"].slice(t.first, len(t)), "key": part["key"].slice(t.first, len(t)),
+                **{c: part[c].slice(t.first, len(t)) for c in ("uid", "key", "print")},
                 "d1": pa.array(one), "d2": pa.array(two), "n_words": pa.array(n.astype(np.int64)),
                 "bands": pa.ListArray.from_arrays(pa.array(np.arange(len(t) + 1, dtype=np.int32) * BANDS), flat),
             })
@@ -185,6 +185,7 @@ def _verified(threshold: float):
 
 def near_duplicates(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", similarity: float = SIMILARITY,
+    with_print: bool = False,
 ) -> DataFrame:
     """One row per document: id, ``class_id`` (smallest id of its class), ``class_size``, ``kept``.
 
@@ -199,10 +200,10 @@ def near_duplicates(
     spark = docs.sparkSession
     rows = docs.select(
         F.monotonically_increasing_id().alias("uid"), F.col(id_column).cast("long").alias("key"),
-        F.col(text_column).cast("string").cast("binary").alias("text"),
+        F.col(text_column).cast("string").cast("binary").alias("text"), print_of(text_column).alias("print"),
     )
     told = stage(rows.mapInArrow(
-        _describe, "uid long, key long, d1 long, d2 long, n_words long, bands array<long>"), "signatures")
+        _describe, "uid long, key long, print long, d1 long, d2 long, n_words long, bands array<long>"), "signatures")
     lowest = F.min(F.struct(F.col("key").isNull().alias("none"), "key", "uid"))
     copies = stage(told.filter("n_words > 0").groupBy("d1", "d2").agg(
         lowest.alias("low"), F.count("*").alias("copies"),
@@ -211,7 +212,7 @@ def near_duplicates(
     banded = single.select("uid", F.posexplode("bands").alias("band", "value"))
     crowded = banded.groupBy("band", "value").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
     bucket = stage(banded.join(crowded, ["band", "value"]), "buckets")
-    texts = rows.drop("uid")
+    texts = rows.select("key", "text")
     sets = wanted = tested = links = classes = None
     turn = 0
     while True:
@@ -255,5 +256,25 @@ def near_duplicates(
         F.when(F.col("head").isNull(), F.col("key")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("class_size", F.lit(1)).alias("class_size"),
         (F.coalesce("head", "uid") == F.col("uid")).alias("kept"),
-        "n_words",
+        "n_words", *["print"] * with_print,
     )
+
+
+def print_of(text_column: str) -> Column:
+    """Tells rows of one id but other texts apart."""
+    return F.xxhash64(F.col(text_column).cast("string"))
+
+
+def keep_one(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", similarity: float = SIMILARITY,
+) -> DataFrame:
+    """The rows of ``docs``, all columns, that :func:`near_duplicates` keeps: one of each class."""
+    found = near_duplicates(docs, id_column, text_column, similarity, with_print=True).filter("kept")
+    found = found.select(F.col(id_column).alias("dart_id"), F.col("print").alias("dart_print"))
+    key, mark = F.col(id_column).cast("long"), print_of(text_column)
+    rows = docs.select(*docs.columns, key.alias("dart_key"), mark.alias("dart_mark"))
+    met = rows.join(found, F.col("dart_key").eqNullSafe(F.col("dart_id")) & (F.col("dart_mark") == F.col("dart_print")), "left_semi")
+    # Repeated rows agree in both; texts without a word are classes of their own, so all of them stay.
+    turn = F.row_number().over(Window.partitionBy("dart_key", "dart_mark").orderBy(F.lit(0)))
+    wordless = F.length(F.translate(F.coalesce(F.col(text_column).cast("string"), F.lit("")), " \t\n\x0b\f\r", "")) == 0
+    return met.withColumn("dart_turn", turn).filter((F.col("dart_turn") == 1) | wordless).select(*docs.columns)

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vacantia.llm import dart, hosts, nnpu, packing, phrases, pivots, suffixes, tokens
+from vacantia.llm import dart, hosts, nnpu, packing, phrases, pieces, pivots, revisits, suffixes, tokens
 from vacantia.session import scratch_path
 
 QUERIES: dict = {}
@@ -67,3 +67,66 @@ def op5_pivot_permutations(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.remove_repeated_bytes(read(spark, sf_dir, "documents"))
+
+
+@query
+def op3_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = revisits.resolve_revisits(revisits.captures_of_pages(read(spark, sf_dir, "pages")))
+    header = lambda name: F.col("headers")[name]
+    return out.select(
+        "record_id", "canonical_url", "captured", "status", "response_id", "response_captured",
+        header("content-type").alias("content_type"), header("content-length").alias("content_length"),
+        header("date").alias("date"), header("cache-control").alias("cache_control"), header("etag").alias("etag"),
+    )
+
+
+ORACLES["op3_revisits"] = r"""
+WITH cut AS (
+  SELECT page_id, octet_length(encode(html)) AS size,
+         regexp_replace(url, '^([a-z]+://[^/]+/[A-Za-z]+)/[0-9]+[^?#]*', '\1') AS url
+  FROM pages
+), bare AS (
+  SELECT page_id, size, regexp_replace(regexp_replace(trim(url), '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS bare FROM cut
+), split AS (
+  SELECT page_id, size, regexp_replace(bare, '\?.*$', '') AS path, regexp_extract(bare, '\?(.*)$', 1) AS asked FROM bare
+), named AS (
+  SELECT page_id, size,
+         regexp_replace(regexp_replace(lower(regexp_extract(path, '^([^/]*)', 1)), ':(80|443)$', ''), '^www\.', '')
+         || regexp_replace(regexp_replace(path, '^[^/]*', ''), '/+$', '') AS place,
+         list_sort(list_filter(string_split(asked, '&'),
+           lambda p: p <> '' AND NOT regexp_matches(p, '^(utm_[a-z]+|ref|gclid|fbclid|sessionid)(=|$)'))) AS parts
+  FROM split
+), captures AS (
+  SELECT page_id AS record_id, page_id * 60 AS captured, page_id % 3 = 0 AS full_response, CAST(size AS VARCHAR) AS size,
+         place || CASE WHEN len(parts) > 0 THEN '?' || array_to_string(parts, '&') ELSE '' END AS canonical_url
+  FROM named
+), marked AS (
+  SELECT *, md5(canonical_url || ' ' || CAST(record_id // 200 AS VARCHAR)) AS digest,
+         CASE WHEN record_id % 5 <> 0 THEN md5(canonical_url || ' ' || CAST(record_id // 200 AS VARCHAR)) END AS etag,
+         CASE WHEN record_id % 7 <> 0 THEN 'day ' || CAST(record_id // 200 AS VARCHAR) END AS modified
+  FROM captures
+), matched AS (
+  SELECT v.*, r.record_id AS response_id, r.captured AS response_captured, r.size AS stored_size, r.etag AS stored_etag,
+         CASE WHEN r.record_id IS NULL THEN 'missing'
+              WHEN CASE WHEN v.etag IS NOT NULL AND r.etag IS NOT NULL THEN v.etag = r.etag
+                        WHEN v.modified IS NOT NULL AND r.modified IS NOT NULL THEN v.modified = r.modified
+                        ELSE v.digest = r.digest END THEN 'resolved' ELSE 'mismatch' END AS status
+  FROM (SELECT * FROM marked WHERE NOT full_response) v
+  ASOF LEFT JOIN (SELECT * FROM marked WHERE full_response) r
+    ON v.canonical_url = r.canonical_url AND v.captured > r.captured
+)
+SELECT record_id, canonical_url, captured, status, response_id, response_captured,
+       CASE WHEN status = 'resolved' THEN 'text/html' END AS content_type,
+       CASE WHEN status = 'resolved' THEN stored_size END AS content_length,
+       CASE WHEN status = 'resolved' THEN CAST(record_id AS VARCHAR) END AS date,
+       CASE WHEN status = 'resolved' THEN 'max-age=' || CAST(record_id % 600 AS VARCHAR) END AS cache_control,
+       CASE WHEN status = 'resolved' THEN coalesce(stored_etag, '') END AS etag
+FROM matched
+"""
+
+
+@query
+def op7_suffix_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return pieces.encode_pieces(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
