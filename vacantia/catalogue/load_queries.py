@@ -83,7 +83,8 @@ def _append(spark, sf_dir):
 def _run_sql(spark, sf_dir):
     table(spark, sf_dir, "documents").createOrReplaceTempView("stored_documents")
     return tables.run_sql(
-        spark, "SELECT source, count(*) AS n FROM stored_documents WHERE lang = :lang GROUP BY source", lang="en"
+        spark, "-- per source\nSELECT source, count(*) AS n, count_if(lang = :lang) AS n_lang FROM stored_documents GROUP BY source",
+        lang="en",
     )
 
 
@@ -354,7 +355,7 @@ ORACLES = {
     "read_api_json": f"""{_RAW} SELECT title, company, location, url, description, source || ', ' || location AS skills FROM raw
 UNION ALL SELECT NULL, NULL, NULL, url, NULL, '' FROM raw""",
     "append_table": f"{_RAW} SELECT {_NINE} FROM raw",
-    "run_sql": "SELECT source, count(*) AS n FROM documents WHERE lang = 'en' GROUP BY source",
+    "run_sql": "SELECT source, count(*) AS n, count(*) FILTER (WHERE lang = 'en') AS n_lang FROM documents GROUP BY source",
     "create_star_schema": _created(),
     "load_warehouse": _LOADED,
     "load_warehouse_twice": _LOADED,

@@ -26,6 +26,7 @@ WORDS = {
     "plus": [r"a\+\+", "a plus"],
     "with": ["with"],
     "that": ["that the", "that"],
+    "on": ["on"],
 }
 GROUPS = {"English": ["the", "of_the", "with", "the"], "Romance": ["french", "spanish"], "German": ["german"]}
 # The mean vector of one label stands for a word's own vector.
@@ -42,7 +43,8 @@ def _stacked(spark, sf_dir):
 
 
 def _harmonized(spark, sf_dir):
-    return cl.harmonize_columns(boards(spark, sf_dir)[1])
+    one, two = (cl.harmonize_columns(b) for b in boards(spark, sf_dir))
+    return one.unionByName(two)
 
 
 def _text_column(fn, column):
@@ -291,7 +293,7 @@ _CLEAN = f"WITH {_CLEAN_SQL.strip()}"
 _NINE = "job_id, title, company, location, url, description, publish_date, source, scrape_date"
 
 ORACLES = {
-    "harmonize_columns": f"{_RAW} SELECT {_NINE} FROM raw WHERE board = 1",
+    "harmonize_columns": f"{_RAW} SELECT {_NINE} FROM raw",
     "union_sources": f"{_RAW} SELECT {_NINE}, board AS source_order FROM raw",
     "clean_text": f"{_RAW} SELECT job_id, {sq.clean_text('description')} AS description FROM raw",
     "truncate_text": f"{_RAW} SELECT job_id, substr(description, 1, 5000) AS description FROM raw",

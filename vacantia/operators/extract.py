@@ -345,13 +345,11 @@ def relative_age(elements: Column) -> Column:
 # ----------------------------------------------------------------- whole boards
 
 def assign_job_id(df: DataFrame, source: str = "source", order: str = "page_id") -> DataFrame:
-    """``<source>_<5 digits>`` per source in arrival order (``order`` is unique).
+    """``<source>_<5 digits>`` per source in arrival order; page numbers may repeat or be missing.
 
-    Parsed rows are staged once; only their keys are sorted and numbered.
+    Parsed rows are staged once, ranged and numbered; nothing is joined back on the page number.
     """
-    rows = stage(df, "parsed")
-    numbered = number_rows(rows.select(source, order), [order], [source], "_no")
-    return rows.join(numbered.select(order, "_no"), order).withColumn(
+    return number_rows(stage(df, "parsed"), [order], [source], "_no").withColumn(
         "job_id", F.format_string("%s_%05d", F.col(source), F.col("_no"))
     ).drop("_no")
 

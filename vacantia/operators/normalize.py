@@ -102,14 +102,16 @@ def normalize_record(df: DataFrame) -> DataFrame:
 
 def failed_rows(df: DataFrame) -> DataFrame:
     """Records that cannot be normalized: a null list entry among the given skills."""
-    return df.filter(_fails())
+    return df.filter(_fails(df))
 
 
 def drop_failed_rows(df: DataFrame) -> DataFrame:
-    return df.filter(~_fails())
+    return df.filter(~_fails(df))
 
 
-def _fails() -> Column:
+def _fails(df: DataFrame) -> Column:
+    if "skills" not in df.columns:
+        return F.lit(False)
     return F.coalesce(F.exists("skills", lambda s: s.isNull()), F.lit(False))
 
 
@@ -131,7 +133,7 @@ def normalize_report(df: DataFrame, order: list[str]) -> DataFrame:
     """Row counts after each step, in one pass over the de-duplicated records."""
     unique = dedupe_by_key(df, order)
     counted = unique.select(
-        _fails().alias("failed"),
+        _fails(unique).alias("failed"),
         ((F.length(map_title(F.col("job_title"))) > 0)
          & (F.length(tx.scrub_text(F.col("job_description"))) > 0)).alias("valid"),
     ).agg(

@@ -38,7 +38,7 @@ CELLS = 4_000_000
 
 JOB_FIELDS = ["job_id", "title", "company", "location", "source"]
 _KEPT = (
-    "candidate_name string, job_id string, title string, company string, location string, "
+    "candidate long, candidate_name string, job_id string, title string, company string, location string, "
     "source string, matched int, n_skills int, location_match boolean, matched_skills string, "
     "similarity double"
 )
@@ -78,13 +78,9 @@ def job_vectors(jobs: DataFrame, vectors: DataFrame) -> DataFrame:
 
 def _substring_hits(texts: list[str], terms: list[str]) -> np.ndarray:
     """``hits[i, j]``: term j occurs in text i."""
+    import ahocorasick
+
     hits = np.zeros((len(texts), len(terms)), dtype=bool)
-    try:
-        import ahocorasick
-    except ImportError:
-        for j, term in enumerate(terms):
-            hits[:, j] = [term in text for text in texts]
-        return hits
     machine = ahocorasick.Automaton()
     for j, term in enumerate(terms):
         if term:
@@ -126,8 +122,16 @@ def _best_per_level(level: np.ndarray, score: np.ndarray, rank: np.ndarray, k: i
     return np.concatenate(kept)
 
 
-def _shortlist(jobs: DataFrame, candidates: DataFrame, k: int, min_match: float) -> DataFrame:
-    """Per candidate the jobs that can be in its top k, with the parts of the score."""
+def _shortlist(
+    jobs: DataFrame, candidates: DataFrame, k: int, min_match: float,
+    skills_count: bool = True, similarity_counts: bool = True,
+) -> DataFrame:
+    """Per candidate the jobs that can be in its top k, with the parts of the score.
+
+    The two flags say whether skills and similarity have a positive weight: a part without weight must
+    not decide which rows are left out.  Candidates are told apart by ``candidate``, not by name.
+    """
+    candidates = stage(candidates.withColumn("candidate", F.monotonically_increasing_id()), "candidates")
 
     def kernel(block: pd.DataFrame):
         skills = [[s.lower() for s in (xs if xs is not None else [])] for xs in block["skills"]]
@@ -137,7 +141,7 @@ def _shortlist(jobs: DataFrame, candidates: DataFrame, k: int, min_match: float)
         step = max(1, CELLS // max(len(terms), len(block), 1))
         sizes = np.array([len(xs) for xs in skills])
         matrix = unit_rows(block["embedding"])
-        names = block["name"].to_numpy()
+        names, numbers = block["name"].to_numpy(), block["candidate"].to_numpy()
         places = block["location"].to_numpy() if "location" in block else None
 
         def score(batches):
@@ -156,7 +160,8 @@ def _shortlist(jobs: DataFrame, candidates: DataFrame, k: int, min_match: float)
                 rank[np.argsort(batch["job_id"].to_numpy(dtype=str), kind="stable")] = np.arange(len(batch))
                 near = _same_place(batch["location"], places)
                 picked = [
-                    (rows[_best_per_level(matched[rows, c], cosine[rows, c], rank[rows], k)], c)
+                    (rows[_best_per_level(
+                        matched[rows, c] * skills_count, cosine[rows, c] * similarity_counts, rank[rows], k)], c)
                     for c in range(len(names))
                     for rows in ([np.flatnonzero(near[:, c]), np.flatnonzero(~near[:, c])] if near is not None
                                  else [np.arange(len(batch))])
@@ -166,7 +171,7 @@ def _shortlist(jobs: DataFrame, candidates: DataFrame, k: int, min_match: float)
                 col = np.repeat([c for _, c in picked], [len(r) for r, _ in picked])
                 kept = batch.iloc[row]
                 yield pd.DataFrame({
-                    "candidate_name": names[col],
+                    "candidate": numbers[col], "candidate_name": names[col],
                     **{f: kept[f].to_numpy() for f in JOB_FIELDS},
                     "matched": matched[row, col], "n_skills": sizes[col],
                     "location_match": near[row, col] if near is not None else False,
@@ -179,10 +184,10 @@ def _shortlist(jobs: DataFrame, candidates: DataFrame, k: int, min_match: float)
 
         return score
 
-    columns = ["name", "skills", "embedding"] + (["location"] if "location" in candidates.columns else [])
+    columns = ["candidate", "name", "skills", "embedding"] + (["location"] if "location" in candidates.columns else [])
     found = over_blocks(
         jobs.select(*JOB_FIELDS, "description", "embedding"), candidates.select(*columns),
-        "name", kernel, _KEPT,
+        "candidate", kernel, _KEPT,
     )
     # Read twice below: staged, so that the jobs are scored once.
     return stage(found, "shortlist")
@@ -192,24 +197,24 @@ def _scored(kept: DataFrame) -> DataFrame:
     ratio = F.coalesce(
         F.try_divide(F.col("matched").cast("double"), F.col("n_skills").cast("double")), F.lit(0.0)
     )
-    rows = kept.withColumn("skill_match_score", ratio).withColumn(
+    return kept.withColumn("skill_match_score", ratio).withColumn(
         "semantic_similarity_score", semantic_score(F.col("similarity"))
     )
-    best = rows.groupBy("candidate_name").agg(F.max("skill_match_score").alias("_best"))
-    return rows.join(best, "candidate_name")
 
 
 def match_candidates(
     jobs: DataFrame, candidates: DataFrame, top_k: int = TOP_K_BATCH,
     min_skill_match: float = MIN_SKILL_MATCH,
 ) -> DataFrame:
-    """Top jobs of every candidate, tagged with the candidate's name (names are unique)."""
-    scored = _scored(_shortlist(jobs, candidates.drop("location"), top_k, min_skill_match)).withColumn(
+    """Top jobs of every candidate, tagged with the candidate's name; candidates of one name are ranked each."""
+    rows = _scored(_shortlist(jobs, candidates.drop("location"), top_k, min_skill_match))
+    best = rows.groupBy("candidate").agg(F.max("skill_match_score").alias("_best"))
+    scored = rows.join(best, "candidate").withColumn(
         "combined_score",
         combined_score(F.col("skill_match_score"), F.col("_best"), F.col("semantic_similarity_score")),
     )
     passed = scored.filter(F.col("combined_score") > MIN_SCORE)
-    ranked = top_per_key(passed, ["candidate_name"], [F.desc("combined_score"), F.col("job_id")], top_k)
+    ranked = top_per_key(passed, ["candidate"], [F.desc("combined_score"), F.col("job_id")], top_k)
     return ranked.select(
         *JOB_FIELDS, "skill_match_score", "semantic_similarity_score", "combined_score",
         "candidate_name",
@@ -242,14 +247,16 @@ def multi_factor_score(
 ) -> DataFrame:
     """Declared scoring: similarity, share of skills and same location, each with a weight."""
     w = weights or MULTI_WEIGHTS
-    scored = _scored(_shortlist(jobs, candidates, top_n, 0.0))
+    if min(w.values()) < 0:
+        raise ValueError("weights must not be negative")
+    scored = _scored(_shortlist(jobs, candidates, top_n, 0.0, w["skills"] > 0, w["semantic"] > 0))
     total = (
         w["semantic"] * F.col("semantic_similarity_score")
         + w["skills"] * F.col("skill_match_score")
         + w["location"] * F.col("location_match").cast("double")
     )
     passed = scored.withColumn("match_score", total).filter(F.col("match_score") >= threshold)
-    ranked = top_per_key(passed, ["candidate_name"], [F.desc("match_score"), F.col("job_id")], top_n)
+    ranked = top_per_key(passed, ["candidate"], [F.desc("match_score"), F.col("job_id")], top_n)
     return ranked.select(
         "candidate_name", "job_id", "match_score",
         F.col("semantic_similarity_score").alias("semantic_similarity"),

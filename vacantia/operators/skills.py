@@ -11,7 +11,7 @@ from vacantia.functions import text as tx
 from vacantia.operators.rows import value_counts
 from vacantia.operators.vectors import over_blocks, unit_rows
 
-# Up to this many skills the lexicon is a literal inside the row expression.
+# Up to this many skills the lexicon is a literal inside the row expression; the answer is the same on both ways.
 INLINE_SKILLS = 500
 
 
@@ -110,14 +110,16 @@ def _match_by_join(texts: DataFrame, rows: list[tuple[str, int, str, str]]) -> D
     )
     heads = lexicon.agg(F.collect_set("head").alias("heads")).scalar()
     found = F.array_intersect(heads, F.array_append(_tokens(F.col("low")), F.lit("")))
-    tried = texts.withColumn("head", F.explode(found)).join(lexicon, "head")
+    # Per posting, not per id: ids may be repeated or missing.
+    numbered = texts.withColumn("posting", F.monotonically_increasing_id())
+    tried = numbered.withColumn("head", F.explode(found)).join(lexicon, "head")
     placed = tried.select(
-        "job_id", "skill", "alias_no", _found_at(F.col("low"), F.col("pattern")).alias("position")
+        "posting", "job_id", "skill", "alias_no", _found_at(F.col("low"), F.col("pattern")).alias("position")
     )
     # The first alias that is found; the filter comes last so that no pattern runs twice.
-    return placed.groupBy("job_id", "skill").agg(
+    return placed.groupBy("posting", "job_id", "skill").agg(
         F.min_by("position", F.when(F.col("position").isNotNull(), F.col("alias_no"))).alias("position")
-    ).filter(F.col("position").isNotNull())
+    ).drop("posting").filter(F.col("position").isNotNull())
 
 
 def split_sentences(jobs: DataFrame) -> DataFrame:
@@ -161,16 +163,16 @@ def match_semantic(
 def locate_skill(jobs: DataFrame, matches: DataFrame, skill_names: DataFrame) -> DataFrame:
     """Adds ``position``: where the skill's key stands in the lowered text, -1 if nowhere.
 
-    Positions are taken where the text is; only ``(job_id, skill, position)`` is shuffled.
+    Only the skills that matched a job are looked for in its text; of repeated ids the first place counts.
+    ``skill_names`` limits nothing and is kept for callers that pass it.
     """
-    names = skill_names.agg(F.collect_set("skill")).scalar()
-    texts = jobs.select("job_id", F.lower("description").alias("low")).withColumn("names", names)
+    per_job = matches.groupBy("job_id").agg(F.collect_set("skill").alias("names"))
+    texts = jobs.select("job_id", F.lower("description").alias("low")).join(per_job, "job_id")
     places = F.transform(
         "names", lambda n: F.struct(n.alias("skill"), (F.instr(F.col("low"), n) - 1).alias("position"))
     )
-    found = texts.select(
-        "job_id", F.explode(F.filter(places, lambda p: p["position"] >= 0)).alias("hit")
-    ).select("job_id", "hit.skill", "hit.position")
+    found = texts.select("job_id", F.explode(places).alias("hit")).filter("hit.position >= 0").groupBy(
+        "job_id", F.col("hit.skill").alias("skill")).agg(F.min("hit.position").alias("position"))
     return matches.join(found, ["job_id", "skill"], "left").withColumn(
         "position", F.coalesce("position", F.lit(-1))
     )

@@ -16,12 +16,14 @@ BLOCK_ROWS = 2000
 
 
 def unit_rows(cells: pd.Series, width: int | None = None) -> np.ndarray:
-    """Rows scaled to length 1; a missing or zero vector stays zero."""
+    """Rows scaled to length 1; a missing or zero vector stays zero, one of another width is an error."""
     if width is None:
         width = next((len(v) for v in cells if v is not None), 0)
     out = np.zeros((len(cells), width))
     for i, v in enumerate(cells):
-        if v is not None and len(v) == width:
+        if v is not None:
+            if len(v) != width:
+                raise ValueError(f"a vector has {len(v)} numbers where others have {width}")
             out[i] = v
     norms = np.linalg.norm(out, axis=1, keepdims=True)
     return np.divide(out, norms, out=np.zeros_like(out), where=norms > 0)
@@ -44,7 +46,10 @@ def over_blocks(
     row is left out.
     """
     spark = df.sparkSession
-    total = small.count()
+    size_of = F.size("embedding") if "embedding" in small.columns else F.lit(None)
+    total, least, most = small.agg(F.count("*"), F.min(F.when(size_of >= 0, size_of)), F.max(size_of)).first()
+    if least is not None and least != most:
+        raise ValueError(f"vectors of {least} and of {most} numbers in one table")
     if total == 0:
         return spark.createDataFrame([], schema)
     if total <= size:

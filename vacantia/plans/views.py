@@ -2,9 +2,9 @@
 
 Conventions:
 
-* The declared keys hold (``check_constraints`` reports where they do not), so distinct
-  jobs are counted as rows of ``fact_jobs`` and distinct links as rows of
-  ``fact_job_skills``.  Only truly many-to-many counts use ``countDistinct``.
+* Jobs and skills are counted as distinct keys, null keys never, so repeated members or links of
+  a table loaded more than once count once.  Links are first grouped per (job, skill), which is a
+  partial aggregate on the job key and carries the number of rows and the score sums.
 * Where the view's text averages over the job x skill rows, that fan-out is part of the
   result.  It is carried as a weight (links per job, at least 1), so the wide join is
   never built and a hot title, company or place is summed before its shuffle.
@@ -67,14 +67,29 @@ def _links_with(star: Star, *columns: str, how: str = "inner") -> DataFrame:
 
 
 def _job_total(star: Star) -> Column:
-    return star.jobs.agg(F.count("job_id").alias("n")).scalar()
+    return star.jobs.agg(F.countDistinct("job_id").alias("n")).scalar()
+
+
+def _pairs(star: Star) -> DataFrame:
+    """One row per (job, skill) with the score sum and count of the links that it stands for."""
+    return star.links.groupBy("job_id", "skill_id").agg(
+        F.sum("confidence_score").alias("score_sum"), F.count("confidence_score").alias("score_n")
+    )
+
+
+def _jobs_with_skills(star: Star, *columns: str) -> DataFrame:
+    """Jobs with ``w`` (rows after joining their links, at least 1) and ``skill_ids``: links are read once."""
+    per_job = star.links.groupBy("job_id").agg(F.count("*").alias("w"), F.collect_set("skill_id").alias("skill_ids"))
+    return star.jobs.select("job_id", *columns).join(per_job, "job_id", "left").withColumn(
+        "w", F.coalesce("w", F.lit(1))
+    )
 
 
 def _skills_per_job(star: Star, *aggregates: Column) -> DataFrame:
-    named = star.links.join(
+    named = _pairs(star).join(
         star.skills.select("skill_id", "skill_name", "skill_category"), "skill_id", "left"
     )
-    return named.groupBy("job_id").agg(F.count("*").alias("n_skills"), *aggregates)
+    return named.groupBy("job_id").agg(F.countDistinct("skill_id").alias("n_skills"), *aggregates)
 
 
 def vw_jobs_full_context(star: Star) -> DataFrame:
@@ -103,18 +118,17 @@ def vw_jobs_full_context(star: Star) -> DataFrame:
 
 def vw_skills_demand(star: Star) -> DataFrame:
     """Per skill: jobs, share of all jobs, confidence, companies, places, sources."""
-    links = _links_with(star, "company_id", "location_id", "source", how="left").withColumns({
-        "jobs": F.lit(1).cast("bigint"), "score_sum": F.col("confidence_score").cast("double"),
-        "score_n": F.when(F.col("confidence_score").isNotNull(), F.lit(1).cast("bigint")),
-    })
-    per_skill = profile(
-        links, "skill_id", {"companies": "company_id", "locations": "location_id"}, {"sources": "source"},
-        {"jobs": F.sum("jobs"), "score_sum": F.sum("score_sum"), "score_n": F.sum("score_n")},
-    )
+    pairs = _pairs(star)
+    where = pairs.select("job_id", "skill_id").join(
+        star.jobs.select("job_id", "company_id", "location_id", "source"), "job_id")
+    spread = profile(
+        where, "skill_id", {"companies": "company_id", "locations": "location_id"}, {"sources": "source"}, {})
+    totals = pairs.groupBy("skill_id").agg(
+        F.count("job_id").alias("jobs"), F.sum("score_sum").alias("score_sum"), F.sum("score_n").alias("score_n"))
     jobs = F.coalesce("jobs", F.lit(0))
     return star.skills.select("skill_id", "skill_name", "skill_category").join(
-        per_skill, "skill_id", "left"
-    ).select(
+        totals, "skill_id", "left"
+    ).join(spread, "skill_id", "left").select(
         "skill_id", "skill_name", "skill_category",
         jobs.alias("jobs_requiring_skill"),
         F.round(F.try_divide(jobs * 100.0, _job_total(star)), 2).alias("demand_percentage"),
@@ -150,42 +164,42 @@ def vw_jobs_by_title(star: Star) -> DataFrame:
 def vw_market_overview(star: Star, as_of: Column) -> DataFrame:
     """One row of totals."""
 
-    def rows(df: DataFrame, key: str) -> Column:
-        return df.agg(F.count(key).alias("n")).scalar()
+    def keys(df: DataFrame, key: str) -> Column:
+        return df.agg(F.countDistinct(key).alias("n")).scalar()
 
     return star.jobs.agg(
-        F.count("job_id").alias("total_jobs"),
+        F.countDistinct("job_id").alias("total_jobs"),
         F.countDistinct("source").alias("job_sources"),
         F.round(F.avg("job_posting_days_old"), 1).alias("avg_job_age_days"),
     ).select(
         "total_jobs",
-        rows(star.companies, "company_id").alias("total_companies"),
-        rows(star.locations, "location_id").alias("total_locations"),
-        rows(star.skills, "skill_id").alias("total_skills"),
-        rows(star.links, "job_id").alias("total_skill_mentions"),
+        keys(star.companies, "company_id").alias("total_companies"),
+        keys(star.locations, "location_id").alias("total_locations"),
+        keys(star.skills, "skill_id").alias("total_skills"),
+        star.links.agg(F.count("*").alias("n")).scalar().alias("total_skill_mentions"),
         "job_sources", "avg_job_age_days", as_of.cast("date").alias("last_updated"),
     )
 
 
 def vw_company_opportunities(star: Star) -> DataFrame:
     """Per company: positions, places, age (fan-out weighted), skills, dates, sources."""
-    weighted = _weighted_jobs(
+    weighted = _jobs_with_skills(
         star, "company_id", "location_id", "job_posting_days_old", "publish_date", "source"
     )
     age = F.col("job_posting_days_old")
     from_jobs = profile(
         weighted.withColumns({
-            "open_positions": F.lit(1).cast("bigint"), "age_sum": age * F.col("w"),
+            "age_sum": age * F.col("w"),
             "age_n": F.when(age.isNotNull(), F.col("w")), "oldest_posting": F.col("publish_date"),
             "newest_posting": F.col("publish_date"),
         }),
-        "company_id", {"locations_hiring": "location_id"}, {"job_sources": "source"},
+        "company_id", {"open_positions": "job_id", "locations_hiring": "location_id"}, {"job_sources": "source"},
         {
-            "open_positions": F.sum("open_positions"), "age_sum": F.sum("age_sum"), "age_n": F.sum("age_n"),
+            "age_sum": F.sum("age_sum"), "age_n": F.sum("age_n"),
             "oldest_posting": F.min("oldest_posting"), "newest_posting": F.max("newest_posting"),
         },
     )
-    pairs = _links_with(star, "company_id").select("company_id", "skill_id").distinct()
+    pairs = weighted.select("company_id", F.explode("skill_ids").alias("skill_id")).distinct()
     from_links = pairs.join(star.skills.select("skill_id", "skill_name"), "skill_id", "left").groupBy(
         "company_id"
     ).agg(F.count("skill_id").alias("n_skills"), _listed("skill_name").alias("top_skills"))
@@ -207,30 +221,33 @@ def vw_company_opportunities(star: Star) -> DataFrame:
 
 
 def vw_regional_analysis(star: Star) -> DataFrame:
-    """Per place: jobs, companies, skills, age (fan-out weighted).
+    """Per place (name, region and country, not key): jobs, companies, skills, age (fan-out weighted).
 
-    Rows are grouped by (place, company) and (place, skill) first, so a place that holds
-    most jobs is spread over many tasks.
+    Rows are grouped by (place, job), (place, company) and (place, skill) first, so a place that
+    holds most jobs is spread over many tasks.
     """
-    by_company = _weighted_jobs(star, "location_id", "company_id", "job_posting_days_old").groupBy(
-        "location_id", "company_id"
-    ).agg(F.count("*").alias("n"), *_weighted("job_posting_days_old", "age"))
-    known = star.companies.select("company_id", F.lit(1).alias("known"))
-    jobs = by_company.join(known, "company_id", "left").groupBy("location_id").agg(
-        F.sum("n").alias("job_count"), F.count("known").alias("company_count"),
-        F.sum("age_sum").alias("age_sum"), F.sum("age_n").alias("age_n"),
-    )
-    skills = (
-        _links_with(star, "location_id").select("location_id", "skill_id").distinct()
-        .groupBy("location_id").agg(F.count("skill_id").alias("unique_skills"))
+    named = star.locations.select("location_id", F.struct("location_name", "region", "country").alias("place"))
+    known = star.companies.select("company_id", F.col("company_id").alias("known"))
+    age = F.col("job_posting_days_old")
+    rows = _jobs_with_skills(star, "location_id", "company_id", "job_posting_days_old").join(named, "location_id")
+    rows = rows.join(known, "company_id", "left").withColumns({
+        "age_sum": age * F.col("w"), "age_n": F.when(age.isNotNull(), F.col("w")),
+    })
+    jobs = profile(
+        rows, "place", {"job_count": "job_id", "company_count": "known"}, {},
+        {"age_sum": F.sum("age_sum"), "age_n": F.sum("age_n")},
     )
+    skills = rows.select("place", F.explode("skill_ids").alias("skill_id")).distinct().groupBy("place").agg(
+        F.count("*").alias("unique_skills"))
+    places = named.select("place").distinct()
+
     return (
-        star.locations.select("location_id", "location_name", "region", "country")
-        .join(jobs, "location_id", "left").join(skills, "location_id", "left")
+        places.join(jobs.withColumnRenamed("place", "jobs_at"), F.col("place").eqNullSafe(F.col("jobs_at")), "left")
+        .join(skills.withColumnRenamed("place", "skills_at"), F.col("place").eqNullSafe(F.col("skills_at")), "left")
         .select(
-            "location_name",
-            F.coalesce("region", F.lit("Unknown")).alias("region"),
-            F.coalesce("country", F.lit("International")).alias("country"),
+            F.col("place.location_name").alias("location_name"),
+            F.coalesce("place.region", F.lit("Unknown")).alias("region"),
+            F.coalesce("place.country", F.lit("International")).alias("country"),
             F.coalesce("job_count", F.lit(0)).alias("job_count"),
             F.coalesce("company_count", F.lit(0)).alias("company_count"),
             F.coalesce("unique_skills", F.lit(0)).alias("unique_skills"),
@@ -241,17 +258,17 @@ def vw_regional_analysis(star: Star) -> DataFrame:
 
 
 def vw_skill_specialization(star: Star) -> DataFrame:
-    """Per title and skill: jobs, share of the title's jobs, confidence.
+    """Per title, skill name and category: jobs, share of the title's jobs, confidence.
 
     The correlated count per title is a join to the title totals; a null title meets no
     total and its share is null.
     """
-    pairs = _links_with(star, "job_title_normalized").groupBy("job_title_normalized", "skill_id").agg(
-        F.count("*").alias("jobs"), F.sum("confidence_score").alias("score_sum"),
-        F.count("confidence_score").alias("score_n"),
-    )
-    named = pairs.join(star.skills.select("skill_id", "skill_name", "skill_category"), "skill_id")
-    totals = star.jobs.groupBy("job_title_normalized").agg(F.count("job_id").alias("total"))
+    names = ["job_title_normalized", "skill_name", "skill_category"]
+    met = _pairs(star).join(star.jobs.select("job_id", "job_title_normalized"), "job_id").join(
+        star.skills.select("skill_id", "skill_name", "skill_category"), "skill_id")
+    sums = [F.sum("score_sum").alias("score_sum"), F.sum("score_n").alias("score_n")]
+    named = met.groupBy(*names, "job_id").agg(*sums).groupBy(*names).agg(F.count("*").alias("jobs"), *sums)
+    totals = star.jobs.groupBy("job_title_normalized").agg(F.countDistinct("job_id").alias("total"))
     return named.join(totals, "job_title_normalized", "left").select(
         "job_title_normalized", "skill_name", "skill_category",
         F.col("jobs").alias("jobs_mentioning_skill"),
@@ -267,12 +284,11 @@ def vw_trending_skills(star: Star, as_of: Column) -> DataFrame:
     """
     recent = star.jobs.filter(F.col("publish_date") >= F.date_sub(as_of, 30)).select(
         "job_id", (F.col("publish_date") >= F.date_sub(as_of, 7)).alias("this_week")
-    )
-    counted = star.links.select("job_id", "skill_id", "confidence_score").join(recent, "job_id").groupBy(
-        "skill_id"
-    ).agg(
+    ).groupBy("job_id").agg(F.max("this_week").alias("this_week"))
+    counted = _pairs(star).join(recent, "job_id").groupBy("skill_id").agg(
         F.count("*").alias("recent_jobs_30d"), F.count_if("this_week").alias("recent_jobs_7d"),
-        F.round(F.avg("confidence_score"), 3).alias("recent_avg_confidence"),
+        F.round(F.try_divide(F.sum("score_sum").cast("double"), F.sum("score_n").cast("double")), 3).alias(
+            "recent_avg_confidence"),
     )
     return star.skills.select("skill_id", "skill_name", "skill_category").join(counted, "skill_id").orderBy(
         F.desc("recent_jobs_30d"), "skill_id"
@@ -303,7 +319,8 @@ def vw_job_complexity(star: Star) -> DataFrame:
 def vw_job_skills_aggregated(star: Star) -> DataFrame:
     """Per job: number of skills, ordered skill list, confidence."""
     lists = _skills_per_job(
-        star, _listed("skill_name").alias("required_skills"), F.avg("confidence_score").alias("avg_confidence")
+        star, _listed("skill_name").alias("required_skills"),
+        F.try_divide(F.sum("score_sum").cast("double"), F.sum("score_n").cast("double")).alias("avg_confidence"),
     )
     return star.jobs.select("job_id", "job_title_normalized", "company_id", "location_id").join(
         lists, "job_id", "left"
@@ -316,8 +333,9 @@ def vw_job_skills_aggregated(star: Star) -> DataFrame:
 
 def vw_skills_demand_v1(star: Star) -> DataFrame:
     """Earlier form of :func:`vw_skills_demand`: jobs, plain average, share."""
-    per_skill = star.links.groupBy("skill_id").agg(
-        F.count("*").alias("jobs"), F.avg("confidence_score").alias("avg_confidence")
+    per_skill = _pairs(star).groupBy("skill_id").agg(
+        F.count("job_id").alias("jobs"),
+        F.try_divide(F.sum("score_sum").cast("double"), F.sum("score_n").cast("double")).alias("avg_confidence"),
     )
     jobs = F.coalesce("jobs", F.lit(0))
     return star.skills.select("skill_id", "skill_name", "skill_category").join(
@@ -340,10 +358,10 @@ def vw_jobs_by_title_v1(star: Star) -> DataFrame:
 def vw_market_overview_v1(star: Star) -> DataFrame:
     """Totals over jobs x skills, without the product: zero and null if either side is empty."""
     jobs = star.jobs.agg(
-        F.count("job_id").alias("jobs"), F.countDistinct("company_id").alias("companies"),
+        F.countDistinct("job_id").alias("jobs"), F.countDistinct("company_id").alias("companies"),
         F.countDistinct("location_id").alias("locations"),
         F.avg("job_posting_days_old").alias("age"), F.max("scrape_date").alias("scraped"),
-    ).withColumn("skills", star.skills.agg(F.count("skill_id")).scalar())
+    ).withColumn("skills", star.skills.agg(F.countDistinct("skill_id")).scalar())
     both = (F.col("jobs") > 0) & (F.col("skills") > 0)
 
     def kept(c: str) -> Column:

@@ -9,15 +9,23 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def build_session(app: str = "vacantia", master: str | None = None, **conf: str) -> SparkSession:
+def build_session(
+    app: str = "vacantia", master: str | None = None, start_partitions: int | None = None,
+    shared: str | None = None, **conf: str,
+) -> SparkSession:
     """A session with adaptive execution, skew handling and UTC time.
 
-    ``master`` is left to ``spark-submit`` unless given.  Shuffle partitions are left
-    to adaptive execution: a high start value that is coalesced down at run time.
+    ``master`` is left to ``spark-submit`` unless given.  Adaptive execution only merges partitions, so
+    ``start_partitions`` should be high for much data (a few per 100 MB of shuffle); without it the
+    session's number of shuffle partitions holds.  ``shared`` is the folder for staged tables that all executors reach.
     """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
+    if start_partitions:
+        conf["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(start_partitions)
+    if shared:
+        conf["spark.checkpoint.dir"] = shared
     settings = {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -52,8 +60,17 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path for one written table under the shared folder."""
-    return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    """A fresh path for one written table in the application's own part of the shared folder.
+
+    That part is removed when the session's file system is closed, at the end of the application.
+    """
+    own = os.path.join(shared_dir(spark), f"vacantia-{spark.sparkContext.applicationId}")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(own)
+    store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not store.exists(folder):
+        store.mkdirs(folder)
+        store.deleteOnExit(folder)
+    return os.path.join(own, f"{name}-{uuid.uuid4().hex}")
 
 
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:

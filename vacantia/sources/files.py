@@ -24,11 +24,11 @@ def _nulled(df: DataFrame) -> DataFrame:
     return df.select(*[fix(f) for f in df.schema.fields])
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, must_exist: bool = True) -> DataFrame:
     """A CSV with header; quoted fields may hold line breaks.
 
     Such files cannot be split, so large ones should be stored as Parquet once.  A path
-    that does not exist gives an empty frame.
+    that does not exist is an error, or an empty frame where the file may be absent.
     """
     reader = (
         spark.read.schema(schema).option("header", True).option("multiLine", True)
@@ -37,7 +37,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     try:
         return _nulled(reader.csv(path))
     except AnalysisException as problem:
-        if problem.getCondition() != "PATH_NOT_FOUND":
+        if must_exist or problem.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
 
@@ -55,8 +55,8 @@ def write_csv(df: DataFrame, path: str) -> str:
 def read_raw_jobs(spark: SparkSession, with_date: str, without_date: str) -> tuple[DataFrame, DataFrame]:
     """The two source files, one with and one without a publish date."""
     return (
-        read_csv(spark, with_date, schemas.RAW_JOBS),
-        read_csv(spark, without_date, schemas.RAW_JOBS_WITHOUT_DATE),
+        read_csv(spark, with_date, schemas.RAW_JOBS, must_exist=False),
+        read_csv(spark, without_date, schemas.RAW_JOBS_WITHOUT_DATE, must_exist=False),
     )
 
 
@@ -73,7 +73,10 @@ def read_job_skills(spark: SparkSession, path: str, fmt: str = "csv") -> DataFra
 
 
 def read_api_json(payloads: DataFrame, column: str = "payload") -> DataFrame:
-    """Postings of JSON array payloads: entries that are no object are skipped."""
+    """Postings of JSON array payloads: entries that are no object are skipped.
+
+    Payloads that are no array give no row here; :func:`rejected_payloads` has them.
+    """
     entries = payloads.select(F.explode(F.from_json(column, "array<string>")).alias("entry"))
     objects = entries.filter(F.ltrim("entry").startswith("{"))
     item = objects.select(F.from_json("entry", schemas.API_ITEM).alias("item"))
@@ -83,6 +86,11 @@ def read_api_json(payloads: DataFrame, column: str = "payload") -> DataFrame:
     )
 
 
+def rejected_payloads(payloads: DataFrame, column: str = "payload") -> DataFrame:
+    """Rows whose payload is missing or does not parse as a JSON array."""
+    return payloads.filter(F.from_json(column, "array<string>").isNull())
+
+
 def persist_embeddings(vectors: DataFrame, path: str) -> DataFrame:
     """Vectors per job as Parquet, with the norm that similarity needs."""
     from vacantia.operators.vectors import norm

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from vacantia import schemas
 from vacantia.operators import warehouse as wh
-from vacantia.operators.rows import table_counts
+from vacantia.operators.rows import keep_first, number_rows, table_counts
+from vacantia.session import stage
 
 
 def create_star_schema(
@@ -66,8 +69,9 @@ def append_table(df: DataFrame, table: str, if_exists: str = "append") -> None:
 def run_sql(spark: SparkSession, query: str, **params) -> DataFrame | bool:
     """Rows of a query; ``True`` for any other statement."""
     result = spark.sql(query, args=params or None)
-    first = query.lstrip().split(None, 1)[0].upper()
-    return result if first in ("SELECT", "WITH", "VALUES", "TABLE") else True
+    bare = re.sub(r"\A(\s|--[^\n]*(\n|\Z)|/\*.*?\*/|\()*", "", query, flags=re.DOTALL)  # leading comments and brackets
+    first = bare.split(None, 1)[0].upper() if bare.strip() else ""
+    return result if first in ("SELECT", "WITH", "VALUES", "TABLE", "FROM") else True
 
 
 def read_row_store(spark: SparkSession, url: str, query: str, **options: str) -> DataFrame:
@@ -87,7 +91,8 @@ def load_warehouse(
     """Dimensions, then facts, then row counts; stops at the first failure.
 
     Each table is written before the next one reads its keys, so a rerun after a failure
-    adds no dimension member and no job twice.  ``dry_run`` only checks the inputs.
+    adds no dimension member and no job twice; of repeats inside one load the first by its other values is
+    stored.  ``dry_run`` only checks the inputs.
     """
     wanted = {"jobs": schemas.CLEAN_COLUMNS, "job_skills": schemas.JOB_SKILLS.fieldNames()}
     for name, df in (("jobs", jobs), ("job_skills", job_skills)):
@@ -111,10 +116,15 @@ def load_warehouse(
 
     facts = wh.fact_jobs(jobs, stored("dim_companies"), stored("dim_locations"), as_of)
     new_jobs = facts.join(stored("fact_jobs").select("job_id"), "job_id", "left_anti")
-    append_table(new_jobs, f"{database}.fact_jobs")
+    others = [c for c in new_jobs.columns if c not in ("job_id", "description")]
+    append_table(keep_first(new_jobs, ["job_id"], [*others, "description"]), f"{database}.fact_jobs")
     links = wh.fact_job_skills(job_skills, stored("dim_skills"))
     known = stored("fact_job_skills").select("job_id", "skill_id")
-    append_table(links.join(known, ["job_id", "skill_id"], "left_anti"), f"{database}.fact_job_skills")
+    fresh = links.join(known, ["job_id", "skill_id"], "left_anti")
+    fresh = keep_first(fresh, ["job_id", "skill_id"], [F.desc("confidence_score"), "position_in_description", "extracted_method"])
+    top = stored("fact_job_skills").agg(F.coalesce(F.max("job_skill_id"), F.lit(0))).first()[0]
+    keyed = number_rows(stage(fresh, "links"), ["job_id", "skill_id"], name="job_skill_id")
+    append_table(keyed.withColumn("job_skill_id", F.col("job_skill_id") + top), f"{database}.fact_job_skills")
     return verify_row_counts(spark, database)
 
 
