@@ -1,6 +1,7 @@
 import uuid
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from vacantia import schemas
@@ -95,7 +96,11 @@ def test_csv_round_trip(spark, tmp_path):
     path = files.write_csv(df, str(tmp_path / "x"))
     got = tuple(files.read_clean_jobs(spark, path).first())
     assert got == rows[0][:6] + (None,) + rows[0][7:]
-    assert files.read_clean_jobs(spark, str(tmp_path / "absent")).count() == 0
+    absent = str(tmp_path / "absent")
+    assert [df.count() for df in files.read_raw_jobs(spark, absent, absent)] == [0, 0]
+    for read in (files.read_clean_jobs, files.read_job_skills):  # a mistyped path must not load nothing
+        with pytest.raises(AnalysisException):
+            read(spark, absent)
 
 
 def test_api_payload(spark):

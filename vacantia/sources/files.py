@@ -24,11 +24,11 @@ def _nulled(df: DataFrame) -> DataFrame:
     return df.select(*[fix(f) for f in df.schema.fields])
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType, must_exist: bool = True) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, must_exist: bool = False) -> DataFrame:
     """A CSV with header; quoted fields may hold line breaks.
 
     Such files cannot be split, so large ones should be stored as Parquet once.  A path
-    that does not exist is an error, or an empty frame where the file may be absent.
+    that does not exist gives an empty frame, or an error with ``must_exist``.
     """
     reader = (
         spark.read.schema(schema).option("header", True).option("multiLine", True)
@@ -55,21 +55,21 @@ def write_csv(df: DataFrame, path: str) -> str:
 def read_raw_jobs(spark: SparkSession, with_date: str, without_date: str) -> tuple[DataFrame, DataFrame]:
     """The two source files, one with and one without a publish date."""
     return (
-        read_csv(spark, with_date, schemas.RAW_JOBS, must_exist=False),
-        read_csv(spark, without_date, schemas.RAW_JOBS_WITHOUT_DATE, must_exist=False),
+        read_csv(spark, with_date, schemas.RAW_JOBS),
+        read_csv(spark, without_date, schemas.RAW_JOBS_WITHOUT_DATE),
     )
 
 
 def read_clean_jobs(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
     if fmt == "parquet":
         return spark.read.schema(schemas.JOBS_CLEANED).parquet(path)
-    return read_csv(spark, path, schemas.JOBS_CLEANED)
+    return read_csv(spark, path, schemas.JOBS_CLEANED, must_exist=True)
 
 
 def read_job_skills(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
     if fmt == "parquet":
         return spark.read.schema(schemas.JOB_SKILLS).parquet(path)
-    return read_csv(spark, path, schemas.JOB_SKILLS)
+    return read_csv(spark, path, schemas.JOB_SKILLS, must_exist=True)
 
 
 def read_api_json(payloads: DataFrame, column: str = "payload") -> DataFrame:
