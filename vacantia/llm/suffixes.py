@@ -24,6 +24,7 @@ from vacantia.session import stage
 LENGTH = 200
 SEED = 40
 BLOCKS_PER_SHARD = 64  # of one seed; more blocks are dealt to sub-shards
+SHARDS_PER_BLOCK = 4  # a suffix array takes some tens of bytes per byte, so shards are smaller than blocks
 
 
 # --- Suffix array -------------------------------------------------------------------------
@@ -393,7 +394,7 @@ def remove_repeated_bytes(
     n = blocks or B.block_count(docs, text)
     held = B.in_blocks(docs, [F.col(id_column).alias("id"), F.coalesce(text.cast("binary"), F.lit(b"")).alias("text")], n)
     seeds = stage(B.shared_hashes(held.select("block", "text").mapInArrow(_offer_seeds(n, length), B.OFFER)), "seeds")
-    found = stage(B.meet(held.select("block", "uid", "text"), seeds, _stretches(n, length, per_shard), _STRETCH_SQL), "stretches")
+    found = stage(B.meet(held.select("block", "uid", "text"), seeds, _stretches(n * SHARDS_PER_BLOCK, length, per_shard), _STRETCH_SQL), "stretches")
     spans = "block long, uids binary, lows binary, highs binary"
     near = stage(found.groupBy("shard", "sub").applyInArrow(_within(length), spans), "near")
     dealt = found.filter("spread > 1")
