@@ -2,26 +2,58 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from vacantia.session import stage
 
 
+def least_reachable(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """For each of ``n`` nodes the smallest node that the pairs connect it with."""
+    label = np.arange(n)
+    while True:
+        old = label.copy()
+        low = np.minimum(label[a], label[b])
+        for side in (a, b):
+            np.minimum.at(label, label[side], low)
+            np.minimum.at(label, side, low)
+        label = label[label]
+        if (label == old).all():
+            return label
+
+
+def _forest(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The links of one task as stars around the smallest node of each of its components."""
+    held = [(part["a"].to_numpy(), part["b"].to_numpy()) for part in parts]
+    if held:
+        a, b = (np.concatenate(v) for v in zip(*held))
+        node, place = np.unique(np.concatenate([a, b]), return_inverse=True)
+        least = node[least_reachable(len(node), place[: len(a)], place[len(a) :])]
+        leaf = node != least
+        yield pa.record_batch({"a": pa.array(node[leaf]), "b": pa.array(least[leaf])})
+
+
 def components(links: DataFrame) -> DataFrame:
     """(id, root) for every end of ``links(a, b)``: equal roots mark one component.
 
-    Each round hooks every node to the neighbour (or itself) that comes first in an order drawn
-    anew from a hash, and contracts the graph, which leaves a constant share of the nodes; so
-    the number of rounds is logarithmic whatever the shape.  Only grouped aggregates and joins on
-    node ids are used, so a node with very many links is pre-aggregated or split, never gathered.
-    Every round is written to the shared folder.
+    In each round every task replaces its links by stars; then every node hooks to the neighbour (or
+    itself) that comes first, in turn by number, which settles stars at once, and in an order drawn anew from a
+    hash, which leaves a constant share of the nodes of any shape; the graph is contracted.  So the
+    number of rounds is logarithmic, and one for links that fit a task.  Only grouped aggregates and joins on node ids
+    are used, so a node with very many links is pre-aggregated or split, never gathered.  Every round is
+    written to the shared folder.
     """
     edges = stage(links.selectExpr("cast(a AS long) a", "cast(b AS long) b").filter("a <> b").distinct(), "edges")
     member = stage(edges.select(F.col("a").alias("id")).union(edges.select("b")).distinct().withColumn("root", F.col("id")), "members")
     turn = 0
     while not edges.isEmpty():
         turn += 1
-        rank = lambda c: F.struct(F.xxhash64(F.col(c), F.lit(turn)).alias("r"), F.col(c).alias("n"))
+        edges = stage(edges.mapInArrow(_forest, "a long, b long").distinct(), "stars")
+        rank = lambda c: F.struct(
+            (F.xxhash64(F.col(c), F.lit(turn)) if turn % 2 == 0 else F.col(c)).alias("r"), F.col(c).alias("n"))
         both = edges.select("a", rank("b").alias("k")).union(edges.select("b", rank("a")))
         hook = both.groupBy("a").agg(F.min("k").alias("k")).select("a", F.least("k", rank("a"))["n"].alias("to"))
         hook = stage(hook, "hooks")

@@ -29,6 +29,7 @@ from vacantia.session import stage
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 20, 4
+PIVOTS = 4  # per bucket in the rounds after the first
 COORDINATES = BANDS * ROWS
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _SEEDS = mix(np.arange(1, 4, dtype=np.uint64) * _STEP)
@@ -216,10 +217,14 @@ def near_duplicates(
     sets = wanted = tested = links = classes = None
     turn = 0
     while True:
-        order = F.xxhash64("uid", F.lit(turn)) if turn else F.col("uid")
         member = bucket.withColumn("root", F.col("uid")) if classes is None else bucket.join(
             classes.withColumnRenamed("id", "uid"), "uid", "left").withColumn("root", F.coalesce("root", "uid"))
-        pivot = member.groupBy("band", "value").agg(F.min(F.struct(order.alias("o"), "uid", "root")).alias("p"))
+        orders = [F.xxhash64("uid", F.lit(turn * PIVOTS + i)) for i in range(PIVOTS)] if turn else [F.col("uid")]
+        first = F.array(*[F.min(F.struct(o.alias("o"), "uid", "root")) for o in orders])
+        pivot = member.groupBy("band", "value").agg(
+            F.array_distinct(F.transform(first, lambda p: F.struct(p["uid"].alias("uid"), p["root"].alias("root")))).alias("p"),
+            F.min("root").alias("low"), F.max("root").alias("high"),
+        ).filter("low < high").select("band", "value", F.explode("p").alias("p"))  # else one class already
         pairs = member.join(pivot, ["band", "value"]).filter("root <> p.root").select(
             F.least("p.uid", "uid").alias("a"), F.greatest("p.uid", "uid").alias("b")).distinct()
         if tested is not None:

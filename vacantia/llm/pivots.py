@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from vacantia.llm import blocks as B
-from vacantia.llm.components import components
+from vacantia.llm.components import components, least_reachable
 from vacantia.session import stage
 
 SIMILARITY = 0.95
@@ -58,20 +58,6 @@ def _first_shared(one: np.ndarray, two: np.ndarray) -> np.ndarray:
     return low[:, 0] * (1 << 20) + low[:, 1]
 
 
-def _least_reachable(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """For each of ``n`` rows the smallest row that the pairs connect it with."""
-    label = np.arange(n)
-    while True:
-        old = label.copy()
-        low = np.minimum(label[a], label[b])
-        for side in (a, b):
-            np.minimum.at(label, label[side], low)
-            np.minimum.at(label, side, low)
-        label = label[label]
-        if (label == old).all():
-            return label
-
-
 def _compare(width: int, similarity: float):
     def work(part: pa.Table) -> pa.Table:
         part = part.combine_chunks()
@@ -94,7 +80,7 @@ def _compare(width: int, similarity: float):
         order = np.argsort(rid, kind="stable")
         place = np.empty(len(rid), np.int64)
         place[order] = np.arange(len(rid))
-        least = rid[order][_least_reachable(len(rid), place[a], place[b])][place]
+        least = rid[order][least_reachable(len(rid), place[a], place[b])][place]
         some = np.flatnonzero(links)
         return pa.table({"rid": rid[some], "links": links[some].astype(np.int64), "least": least[some]})
     return work
