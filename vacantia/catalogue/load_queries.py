@@ -93,13 +93,19 @@ def _fresh(spark):
     return database, scratch_path(spark, database)
 
 
-def _create(spark, sf_dir):
-    """The stand-in star stored in freshly made tables; jobs per source read back."""
+def _stored_star(spark, sf_dir):
+    """The stand-in star in freshly made tables, all six filled."""
     database, path = _fresh(spark)
     tables.create_star_schema(spark, database, path)
     s = star(spark, sf_dir)
-    tables.append_table(s.jobs, f"{database}.fact_jobs")
-    tables.append_table(s.companies, f"{database}.dim_companies")
+    for name, rows in {**s.tables(), "dim_time": wh.time_span(s.jobs)}.items():
+        tables.append_table(rows, f"{database}.{name}")
+    return database
+
+
+def _create(spark, sf_dir):
+    """Jobs per source and industry, read back from the stored star."""
+    database = _stored_star(spark, sf_dir)
     stored = spark.table(f"{database}.fact_jobs").join(spark.table(f"{database}.dim_companies"), "company_id")
     return stored.groupBy("source", "industry").agg(F.count("*").alias("jobs"))
 
@@ -130,8 +136,7 @@ def _summary(spark, sf_dir):
 
 
 def _verify(spark, sf_dir):
-    from vacantia.operators.rows import table_counts
-    return table_counts(star(spark, sf_dir).tables())
+    return tables.verify_row_counts(spark, _stored_star(spark, sf_dir))
 
 
 def _audit(spark, sf_dir):

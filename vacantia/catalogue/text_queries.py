@@ -90,6 +90,15 @@ def _semantic(spark, sf_dir):
     return sk.match_semantic(_sentences(spark, sf_dir), _word_vectors(spark, sf_dir), THRESHOLD)
 
 
+def _semantic_sentences(spark, sf_dir):
+    """Sentences of all postings, each with one of the stored vectors; the best sentence counts."""
+    v = vectors(spark, sf_dir)
+    number = F.length("sentence") * 7 + F.col("sentence_no") * 13
+    told = sk.split_sentences(raw_jobs(spark, sf_dir)).select(
+        "job_id", F.pmod(number.cast("long"), v.agg(F.count("*")).scalar()).alias("vec_id"))
+    return sk.match_semantic(told.join(v, "vec_id").select("job_id", "embedding"), _word_vectors(spark, sf_dir), THRESHOLD)
+
+
 def _merged(spark, sf_dir):
     semantic = sk.locate_skill(raw_jobs(spark, sf_dir), _semantic(spark, sf_dir), _word_vectors(spark, sf_dir))
     return sk.merge_methods(_lexical(spark, sf_dir), semantic)
@@ -175,6 +184,7 @@ QUERIES = {
     "match_lexicon_tech": _tech,
     "split_sentences": lambda s, d: sk.split_sentences(raw_jobs(s, d)),
     "match_semantic": lambda s, d: _rounded(_semantic(s, d), "confidence"),
+    "match_semantic_sentences": lambda s, d: _rounded(_semantic_sentences(s, d), "confidence"),
     "merge_methods": lambda s, d: _rounded(_merged(s, d), "confidence"),
     "skill_category": _categories,
     "explode_job_skills": _lexicon_only,
@@ -337,6 +347,18 @@ SELECT (SELECT count(*) FROM records) AS input_rows, count(*) AS unique_rows, co
   WHERE description <> '')
 SELECT job_id, sentence_no, sentence FROM s WHERE length({sq.strip('sentence')}) >= 20""",
     "match_semantic": f"{_RAW}, {_SEMANTIC} SELECT job_id, skill, round(confidence, 6) AS confidence FROM semantic",
+    "match_semantic_sentences": f"""{_RAW}, cut AS (SELECT job_id, unnest(regexp_split_to_array(description, '[.!?]+')) AS sentence,
+  CAST(generate_subscripts(regexp_split_to_array(description, '[.!?]+'), 1) - 1 AS INTEGER) AS sentence_no
+  FROM raw WHERE description <> ''),
+told AS (SELECT job_id, (length(sentence) * 7 + sentence_no * 13) % (SELECT count(*) FROM embeddings) AS vec_id
+  FROM cut WHERE length({sq.strip('sentence')}) >= 20),
+means AS (SELECT label, list(x ORDER BY pos) AS middle FROM (
+  SELECT label, pos, avg(CAST(x AS DOUBLE)) AS x FROM (
+    SELECT label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS pos FROM embeddings) GROUP BY label, pos)
+  GROUP BY label),
+near AS (SELECT e.vec_id, w.skill, list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), m.middle) AS c
+  FROM embeddings e, means m JOIN (VALUES {_WORD_ROWS}) w(skill, n) ON m.label = w.n)
+SELECT job_id, skill, round(max(c), 6) AS confidence FROM told JOIN near USING (vec_id) WHERE c > {THRESHOLD} GROUP BY 1, 2""",
     "merge_methods": f"{_ALL} SELECT job_id, skill, round(confidence, 6) AS confidence, position FROM merged",
     "skill_category": f"{_LEX} SELECT job_id, skill, {_CATEGORY} AS skill_category FROM lexical",
     "explode_job_skills": f"{_LEX_ROWS} SELECT * FROM rows",
