@@ -70,6 +70,14 @@ def _api(spark, sf_dir):
     return files.read_api_json(raw_jobs(spark, sf_dir).select(payload.alias("payload")))
 
 
+def _rejected(spark, sf_dir):
+    """A cut-off array, an object, nothing, and a whole array in turn."""
+    kind = F.pmod(F.col("doc_id"), F.lit(4))
+    payload = F.when(kind == 0, '[{"url": "x"}, {"ur').when(kind == 1, '{"url": "x"}').when(kind == 2, '[{"url": "x"}]')
+    rows = table(spark, sf_dir, "documents").select("doc_id", payload.alias("payload"))
+    return files.rejected_payloads(rows).select("doc_id", "payload")
+
+
 def _append(spark, sf_dir):
     name = f"appended_{uuid.uuid4().hex}"
     path = scratch_path(spark, name)
@@ -229,6 +237,7 @@ QUERIES = {
     "write_csv": _write_csv,
     "read_api_json": _api,
     "append_table": _append,
+    "rejected_payloads": _rejected,
     "run_sql": _run_sql,
     "create_star_schema": _create,
     "load_warehouse": _loaded,
@@ -360,6 +369,8 @@ ORACLES = {
     "read_api_json": f"""{_RAW} SELECT title, company, location, url, description, source || ', ' || location AS skills FROM raw
 UNION ALL SELECT NULL, NULL, NULL, url, NULL, '' FROM raw""",
     "append_table": f"{_RAW} SELECT {_NINE} FROM raw",
+    "rejected_payloads": """SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN '[{"url": "x"}, {"ur' WHEN 1 THEN '{"url": "x"}' END AS payload
+FROM documents WHERE doc_id % 4 <> 2""",
     "run_sql": "SELECT source, count(*) AS n, count(*) FILTER (WHERE lang = 'en') AS n_lang FROM documents GROUP BY source",
     "create_star_schema": _created(),
     "load_warehouse": _LOADED,
