@@ -118,3 +118,13 @@ def test_job_details(spark):
     df = spark.createDataFrame([row], "job_id string, title string, company string, location string, url string, "
                                "description string, publish_date string, source string, scrape_date string")
     assert rc.job_details(df, "j1").count() == 1 and rc.job_details(df, "no").count() == 0
+
+
+def test_weights_of_zero_and_repeated_names(spark):
+    jobs = [("a", "t", "c", "x", "s", "", [0.0, 1.0]), ("b", "t", "c", "x", "s", "python", [0.0, 1.0])]
+    cands = [("n", ["python"], "", None, [0.0, 1.0], "x"), ("n", ["sql"], "", None, [0.0, -1.0], "x")]
+    frames = spark.createDataFrame(jobs, JOBS), spark.createDataFrame(cands, CANDS)
+    only = {"semantic": 1.0, "skills": 0.0, "location": 0.0}
+    rows = rc.multi_factor_score(*frames, weights=only, threshold=0.0, top_n=1).collect()
+    assert [(r["job_id"], r["match_score"]) for r in sorted(rows, key=lambda r: -r["match_score"])] == [("a", 1.0), ("a", 0.0)]
+    assert rc.match_candidates(*frames, top_k=2, min_skill_match=0.0).filter("semantic_similarity_score = 1").count() == 2

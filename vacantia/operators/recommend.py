@@ -35,6 +35,8 @@ MULTI_TOP_N = 10
 
 # Largest number of cells of one matrix inside a task; longer batches are cut into pieces.
 CELLS = 4_000_000
+# Rows that a task keeps before it prunes them over all its batches.
+HELD = 100_000
 
 JOB_FIELDS = ["job_id", "title", "company", "location", "source"]
 _KEPT = (
@@ -144,7 +146,19 @@ def _shortlist(
         names, numbers = block["name"].to_numpy(), block["candidate"].to_numpy()
         places = block["location"].to_numpy() if "location" in block else None
 
+        def prune(rows: pd.DataFrame) -> pd.DataFrame:
+            """What can still be in a top list, over all that the task has kept so far."""
+            kept = []
+            for _, own in rows.groupby(["candidate", "location_match"], sort=False):
+                rank = np.empty(len(own), dtype=int)
+                rank[np.argsort(own["job_id"].to_numpy(dtype=str), kind="stable")] = np.arange(len(own))
+                best = _best_per_level(
+                    own["matched"].to_numpy() * skills_count, own["similarity"].to_numpy() * similarity_counts, rank, k)
+                kept.append(own.iloc[best])
+            return pd.concat(kept, ignore_index=True) if kept else rows
+
         def score(batches):
+            held, number = [], 0
             pieces = (b.iloc[i:i + step] for b in batches for i in range(0, len(b), step))
             for batch in pieces:
                 texts = [d.lower() if d is not None else "" for d in batch["description"]]
@@ -170,7 +184,7 @@ def _shortlist(
                 row = np.concatenate([r for r, _ in picked])
                 col = np.repeat([c for _, c in picked], [len(r) for r, _ in picked])
                 kept = batch.iloc[row]
-                yield pd.DataFrame({
+                held.append(pd.DataFrame({
                     "candidate": numbers[col], "candidate_name": names[col],
                     **{f: kept[f].to_numpy() for f in JOB_FIELDS},
                     "matched": matched[row, col], "n_skills": sizes[col],
@@ -180,7 +194,13 @@ def _shortlist(
                         for r, c in zip(row, col)
                     ],
                     "similarity": cosine[row, col],
-                })
+                }))
+                number += len(held[-1])
+                if number > HELD:
+                    held = [prune(pd.concat(held, ignore_index=True))]
+                    number = len(held[0]) // 2  # so that pruning stays rare where much has to be kept
+            if held:
+                yield prune(pd.concat(held, ignore_index=True))
 
         return score
 
