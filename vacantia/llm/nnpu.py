@@ -95,6 +95,12 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
         moment, speed = 0.9 * moment + 0.1 * grad, 0.999 * speed + 0.001 * grad**2
         move = rate * (moment / (1 - 0.9**step)) / (np.sqrt(speed / (1 - 0.999**step)) + 1e-8)
         weight, bias = weight - move[:-1], bias - move[-1]
+    # Undone steps move the bias; the mean score of text at large has to be the prior.
+    z = np.bincount(doc, weight[column], len(texts))[n_p:]
+    low, high = -40.0, 40.0
+    for _ in range(60):
+        bias = (low + high) / 2
+        low, high = (bias, high) if (1 / (1 + np.exp(-np.clip(z + bias, -30, 30)))).mean() < prior else (low, bias)
     return words, weight, float(bias)
 
 
