@@ -161,7 +161,9 @@ def test_signatures_estimate_weighted_similarity():
     assert abs((sign[0] == sign[1]).mean() - true) < 0.15 and not sign[2].any() and sign[:2].all()
 
 
-def test_components(spark):
+@pytest.mark.parametrize("per_task", [1_000_000, 20])
+def test_components(spark, monkeypatch, per_task):
+    monkeypatch.setattr(components, "LINKS_PER_TASK", per_task)
     links = [(i, i + 1) for i in range(0, 60)] + [(100, 101), (101, 100), (7, 7)] + [(200, 201 + i) for i in range(40)]
     out = {r["id"]: r["root"] for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert len({out[i] for i in range(61)}) == len({out[100], out[101]}) == len({out[200 + i] for i in range(41)}) == 1

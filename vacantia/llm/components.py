@@ -11,6 +11,9 @@ from pyspark.sql import DataFrame, functions as F
 from vacantia.session import stage
 
 
+LINKS_PER_TASK = 1_000_000  # what a task turns into stars at once, some 100 MB
+
+
 def least_reachable(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """For each of ``n`` nodes the smallest node that the pairs connect it with."""
     label = np.arange(n)
@@ -49,9 +52,14 @@ def components(links: DataFrame) -> DataFrame:
     edges = stage(links.selectExpr("cast(a AS long) a", "cast(b AS long) b").filter("a <> b").distinct(), "edges")
     member = stage(edges.select(F.col("a").alias("id")).union(edges.select("b")).distinct().withColumn("root", F.col("id")), "members")
     turn = 0
-    while not edges.isEmpty():
+    while (number := edges.count()) > 0:
         turn += 1
-        edges = stage(edges.mapInArrow(_forest, "a long, b long").distinct(), "stars")
+        tasks = -(-number // LINKS_PER_TASK)
+        stars = edges.coalesce(tasks).mapInArrow(_forest, "a long, b long")
+        if tasks == 1:  # the stars of one task are whole components
+            last = stars.select(F.col("a").alias("root"), F.col("b").alias("to"))
+            return stage(member.join(last, "root", "left").select("id", F.coalesce("to", "root").alias("root")), "members")
+        edges = stage(stars.distinct(), "stars")
         rank = lambda c: F.struct(
             (F.xxhash64(F.col(c), F.lit(turn)) if turn % 2 == 0 else F.col(c)).alias("r"), F.col(c).alias("n"))
         both = edges.select("a", rank("b").alias("k")).union(edges.select("b", rank("a")))

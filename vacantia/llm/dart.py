@@ -29,7 +29,7 @@ from vacantia.session import stage
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 20, 4
-PIVOTS = 4  # per bucket in the rounds after the first
+PIVOTS = 8  # per bucket in the rounds after the first
 COORDINATES = BANDS * ROWS
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _SEEDS = mix(np.arange(1, 4, dtype=np.uint64) * _STEP)
