@@ -34,16 +34,17 @@ def length_classes(length: int = LENGTH) -> tuple[np.ndarray, int]:
 
 def best_pattern(values: np.ndarray, sizes: np.ndarray, room: int) -> tuple[float, np.ndarray]:
     """The multiset of sizes that fits ``room`` and has the highest total value."""
-    best, choice = np.zeros(room + 1), np.full(room + 1, -1)
+    best, choice = np.zeros(room + 1), [-1] * (room + 1)
     use = np.flatnonzero(values > 1e-12)
+    worth, size = values[use], sizes[use]
+    fit = np.searchsorted(size, np.arange(room + 1), "right").tolist()
     for w in range(1, room + 1):
-        fit = use[: np.searchsorted(sizes[use], w, "right")]
         best[w] = best[w - 1]
-        if len(fit):
-            total = best[w - sizes[fit]] + values[fit]
-            k = int(total.argmax())
+        if fit[w]:
+            total = best[w - size[: fit[w]]] + worth[: fit[w]]
+            k = total.argmax()
             if total[k] > best[w] + 1e-12:
-                best[w], choice[w] = total[k], fit[k]
+                best[w], choice[w] = total[k], use[k]
     pattern, w = np.zeros(len(sizes), np.int64), room
     while w > 0:
         if choice[w] < 0:
