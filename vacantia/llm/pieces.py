@@ -23,7 +23,7 @@ from vacantia.llm.tokens import text_runs
 
 MARK = "▁"
 CACHE_SEGMENTS = 1 << 18
-BATCH_CHARS = 1 << 22
+BATCH_CHARS = 1 << 21
 ROW_CHARS = 48  # longer segments are relaxed one by one
 
 
