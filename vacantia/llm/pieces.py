@@ -22,7 +22,7 @@ from vacantia.llm.dart import B_steps as steps
 from vacantia.llm.tokens import text_runs
 
 MARK = "▁"
-CACHE_SEGMENTS = 1 << 18
+CACHE_SEGMENTS = 1 << 19
 BATCH_CHARS = 1 << 21
 ROW_CHARS = 48  # longer segments are relaxed one by one
 
@@ -37,7 +37,7 @@ def character_suffixes(text: np.ndarray, depth: int) -> np.ndarray:
     shifted = [np.concatenate([text[j:] + 1, np.zeros(min(j, n), np.int64)]) for j in range(3)]
     key, h = (shifted[0] << 42) | (shifted[1] << 21) | shifted[2], 3
     while True:
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         new = np.ones(n, bool)
         new[1:] = key[order][1:] != key[order][:-1]
         if h >= depth or new.all():
@@ -114,7 +114,7 @@ class Pieces:
         many = high - low
         piece = np.repeat(np.arange(len(low)), many)
         place = order[np.repeat(low, many) + steps(many)]
-        by_place = np.argsort(place, kind="stable")
+        by_place = np.argsort(place)
         piece, place = piece[by_place], place[by_place]
         score = np.full((len(text), self.longest + 1), -np.inf, np.float32)
         name = np.full((len(text), self.longest + 1), -1, np.int32)
