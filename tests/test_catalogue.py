@@ -1,4 +1,4 @@
-"""Every registered query next to its SQL twin, on the smallest tables."""
+"""Every query of the catalogue next to its SQL twin, on the smallest tables."""
 
 import os
 
@@ -6,9 +6,10 @@ import pytest
 
 import __spark_entry__ as entry
 from check import compare, connect
+from vacantia.catalogue import registry
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = registry.QUERIES, registry.ORACLES
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables are not here")
 
@@ -20,6 +21,7 @@ def con():
 
 def test_every_query_has_a_twin():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
