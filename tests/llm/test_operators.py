@@ -151,6 +151,34 @@ def test_near_duplicates_against_all_pairs(docs, empty):
     assert dart.near_duplicates(empty).collect() == [] and dart.keep_one(empty).collect() == []
 
 
+def changed(base: list, rng, n: int) -> str:
+    """``base`` with ``n`` words, no two of them near each other, replaced by new ones."""
+    words = list(base)
+    for at in rng.choice(len(base) // 6, n, replace=False) * 6 + 2:
+        words[at] = f"n{rng.integers(1 << 40)}"
+    return " ".join(words)
+
+
+@pytest.mark.parametrize("block", [512, 40])
+def test_near_duplicates_in_mixed_buckets(spark, monkeypatch, block):
+    monkeypatch.setattr(dart, "BLOCK", block)
+    rng = np.random.default_rng(0)
+    hub, form = prose(20, 200).split(), prose(21, 200).split()
+    rows = [changed(hub, rng, 4) for _ in range(250)]  # each near the base, none near another
+    rows.insert(130, " ".join(hub))
+    unlike = [changed(form, rng, 6) for _ in range(250)]  # one template, none near another
+    rows += unlike + [changed(unlike[i].split(), rng, 1) for i in range(100, 130)]
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in map(str.split, rows)]
+    root = list(range(len(rows)))
+    for i, x in enumerate(sets):
+        for j in range(i):
+            if 9 * len(x & sets[j]) >= 4 * (len(x) + len(sets[j])):  # 0.8 of the union
+                old, new = sorted((root[i], root[j]))
+                root = [old if r == new else r for r in root]
+    out = dart.near_duplicates(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").coalesce(2))
+    assert collected(out, "doc_id", "class_id") == sorted(enumerate(root), key=repr)
+
+
 def test_signatures_estimate_weighted_similarity():
     rng = np.random.default_rng(3)
     one = rng.integers(1, 9, 300)

@@ -7,10 +7,11 @@ of occurrences) and keeps the earliest per coordinate, so two texts agree in a c
 the probability of their weighted Jaccard similarity.  Only about ``K (ln K + 3)`` darts are
 thrown per text, whatever its length.
 
-Signatures are cut into bands.  Texts that agree in a band are compared with one pivot of their
-bucket, never all with all; rounds with other pivots follow for those that are still in
-different classes, until a round finds no new link.  Links are verified on the whole shingle
-sets, and classes are the connected components of verified links.
+Signatures are cut into bands.  Texts that agree in a band are first compared with a few pivots of
+their bucket, round by round as long as that pays, which makes one class of most near copies.  Then
+every pair of a bucket that is still in different classes is compared, small buckets pair by pair and
+larger ones block against block.  Links are verified on the whole shingle sets, and classes are the
+connected components of verified links.
 """
 
 from __future__ import annotations
@@ -30,6 +31,10 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 20, 4
 PIVOTS = 8  # per bucket in the rounds after the first
+ROUNDS = 4  # of pivots at most; they save comparisons, and what they leave is compared completely
+PAYING = 0.05  # share of a round's pairs that are links, below which no other round follows
+SMALL = 16  # members of a bucket whose pairs are rows of their own
+BLOCK, BLOCK_WORDS = 512, 1 << 20  # texts, and words of texts, of a block of a larger bucket
 COORDINATES = BANDS * ROWS
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _SEEDS = mix(np.arange(1, 4, dtype=np.uint64) * _STEP)
@@ -184,6 +189,119 @@ def _verified(threshold: float):
     return work
 
 
+def _crossed(threshold: float):
+    """Links that join all texts of two blocks (or of one with itself) which are linked, at most one per text.
+
+    Every pair is compared, except those that the links found so far have in one class.
+    """
+    def work(part: pa.Table) -> pa.Table:
+        uid, root, block = (part[c].to_numpy() for c in ("uid", "root", "block"))
+        items = [np.frombuffer(v.as_buffer(), np.uint64) for v in part["items"]]
+        size = np.array([len(v) for v in items])
+        label = np.unique(root, return_inverse=True)[1]
+        left, right = (np.flatnonzero(block == part[c][0].as_py()) for c in ("one", "two"))
+        held = np.concatenate([items[j] for j in right]) if len(right) else np.zeros(0, np.uint64)
+        order = np.argsort(held, kind="stable")
+        owner = np.repeat(right, size[right])[order]
+        known, start = np.unique(held[order], return_index=True)
+        many = np.diff(np.append(start, len(held)))
+        links = []
+        for i in left:
+            other = right[label[right] != label[i]]
+            other = other[np.minimum(size[other], size[i]) >= threshold * np.maximum(size[other], size[i]) - 1e-9]
+            if not len(other):
+                continue
+            at = np.searchsorted(known, items[i][B.among(items[i], known)])
+            steps = np.repeat(start[at], many[at]) + B_steps(many[at])
+            both = np.bincount(owner[steps], minlength=len(uid))[other]
+            other = other[both >= threshold * (size[i] + size[other] - both) - 1e-9]
+            met, first = np.unique(label[other], return_index=True)
+            links += [(uid[i], uid[j]) for j in other[first]]
+            label[np.isin(label, met)] = label[i]
+        return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
+    return work
+
+
+def _by_pairs(member: DataFrame, sets: DataFrame, tested: DataFrame | None, threshold: float) -> DataFrame:
+    """(a, b, ok) for all pairs of different classes in small buckets that have not been tested."""
+    mine = member.filter(F.col("n") <= SMALL).select("band", "value", "uid", "root")
+    other = mine.select("band", "value", F.col("uid").alias("b"), F.col("root").alias("to"))
+    pairs = mine.join(other, ["band", "value"]).filter("uid < b AND root <> to").select(F.col("uid").alias("a"), "b").distinct()
+    return _tested(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), sets, threshold)
+
+
+def _by_blocks(member: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b) between different classes in buckets that are not small.
+
+    The largest class of a bucket and its other members are cut into blocks of their own, and only
+    blocks of the largest class do not meet each other.
+    """
+    large = member.filter(F.col("n") > SMALL)
+    classes = large.groupBy("band", "value", "root").agg(F.count("*").alias("m"), F.sum("n_words").alias("w"))
+    cuts = classes.groupBy("band", "value").agg(
+        F.max(F.struct("m", "w", "root")).alias("main"), F.sum("m").alias("m"), F.sum("w").alias("w"), F.count("*").alias("classes"),
+    ).filter("classes > 1")  # else one class already
+    parts = lambda m, w: F.greatest(F.ceil(m / BLOCK), F.ceil(w / BLOCK_WORDS))
+    cuts = cuts.select(
+        "band", "value", F.col("main.root").alias("main"), (parts(F.col("m"), F.col("w")) == 1).alias("whole"),
+        parts(F.col("main.m"), F.col("main.w")).alias("mains"),
+        parts(F.col("m") - F.col("main.m"), F.col("w") - F.col("main.w")).alias("rests"))
+    zero, mains, last = F.lit(0).cast("long"), F.col("mains"), F.col("mains") + F.col("rests") - 1
+    main, spot = F.col("root") == F.col("main"), F.xxhash64("uid")
+    placed = large.join(cuts, ["band", "value"]).select(
+        "band", "value", "uid", "root",
+        F.when(F.col("whole"), zero).when(main, F.pmod(spot, mains)).otherwise(mains + F.pmod(spot, F.col("rests"))).alias("block"),
+        F.explode(F.when(F.col("whole"), F.array(zero)).when(main, F.sequence(mains, last)).otherwise(F.sequence(zero, last))).alias("meets"))
+    placed = placed.select(
+        "band", "value", "uid", "root", "block", F.least("block", "meets").alias("one"), F.greatest("block", "meets").alias("two"))
+    return placed.join(sets, "uid").groupBy("band", "value", "one", "two").applyInArrow(_crossed(threshold), "a long, b long")
+
+
+def _tested(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """(a, b, ok) for pairs of texts, on whole shingle sets."""
+    pairs = stage(pairs, "pairs")
+    of = sets.join(pairs.select(F.col("a").alias("uid")).union(pairs.select("b")).distinct(), "uid", "left_semi")
+    both = pairs.join(of.select(F.col("uid").alias("a"), F.col("items").alias("x")), "a")
+    both = both.join(of.select(F.col("uid").alias("b"), F.col("items").alias("y")), "b").select("a", "b", "x", "y")
+    return stage(both.mapInArrow(_verified(threshold), "a long, b long, ok boolean"), "checked")
+
+
+def _classes(bucket: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """(id, root) of the texts that are linked with a text of one of their buckets."""
+    tested = links = None
+    member = bucket.withColumn("root", F.col("uid"))
+    for turn in range(ROUNDS):
+        orders = [F.xxhash64("uid", F.lit(turn * PIVOTS + i)) for i in range(PIVOTS)] if turn else [F.col("uid")]
+        first = F.array(*[F.min(F.struct(o.alias("o"), "uid", "root")) for o in orders])
+        use = member.filter(F.col("n") > BLOCK) if turn else member
+        pivot = use.groupBy("band", "value").agg(
+            F.array_distinct(F.transform(first, lambda p: F.struct(p["uid"].alias("uid"), p["root"].alias("root")))).alias("p"),
+            F.min("root").alias("low"), F.max("root").alias("high"),
+        ).filter("low < high").select("band", "value", F.explode("p").alias("p"))  # else one class already
+        pairs = use.join(pivot, ["band", "value"]).filter("root <> p.root").select(
+            F.least("p.uid", "uid").alias("a"), F.greatest("p.uid", "uid").alias("b")).distinct()
+        if tested is not None:
+            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        checked = _tested(pairs, sets, threshold)
+        number, good = checked.agg(F.count("*"), F.count_if("ok")).first()
+        if number:
+            tested = checked.select("a", "b") if tested is None else tested.union(checked.select("a", "b"))
+        if good:
+            found = checked.filter("ok").select("a", "b")
+            links = found if links is None else links.union(found)
+            member = _rooted(bucket, components(links))
+        if good <= PAYING * number:
+            break
+    rest = _by_pairs(member, sets, tested, threshold).filter("ok").select("a", "b").union(
+        stage(_by_blocks(member, sets, threshold), "links"))
+    return components(rest if links is None else links.union(rest))
+
+
+def _rooted(bucket: DataFrame, classes: DataFrame) -> DataFrame:
+    named = classes.withColumnRenamed("id", "uid")
+    return stage(bucket.join(named, "uid", "left").withColumn("root", F.coalesce("root", "uid")), "members")
+
+
 def near_duplicates(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", similarity: float = SIMILARITY,
     with_print: bool = False,
@@ -210,46 +328,18 @@ def near_duplicates(
         lowest.alias("low"), F.count("*").alias("copies"),
     ).select("d1", "d2", "low.key", "low.uid", "copies"), "copies")
     single = told.join(copies.select("uid"), "uid", "left_semi")
-    banded = single.select("uid", F.posexplode("bands").alias("band", "value"))
-    crowded = banded.groupBy("band", "value").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
+    banded = single.select("uid", "n_words", F.posexplode("bands").alias("band", "value"))
+    crowded = banded.groupBy("band", "value").agg(F.count("*").alias("n")).filter("n > 1")
     bucket = stage(banded.join(crowded, ["band", "value"]), "buckets")
     texts = rows.select("key", "text")
-    sets = wanted = tested = links = classes = None
-    turn = 0
-    while True:
-        member = bucket.withColumn("root", F.col("uid")) if classes is None else bucket.join(
-            classes.withColumnRenamed("id", "uid"), "uid", "left").withColumn("root", F.coalesce("root", "uid"))
-        orders = [F.xxhash64("uid", F.lit(turn * PIVOTS + i)) for i in range(PIVOTS)] if turn else [F.col("uid")]
-        first = F.array(*[F.min(F.struct(o.alias("o"), "uid", "root")) for o in orders])
-        pivot = member.groupBy("band", "value").agg(
-            F.array_distinct(F.transform(first, lambda p: F.struct(p["uid"].alias("uid"), p["root"].alias("root")))).alias("p"),
-            F.min("root").alias("low"), F.max("root").alias("high"),
-        ).filter("low < high").select("band", "value", F.explode("p").alias("p"))  # else one class already
-        pairs = member.join(pivot, ["band", "value"]).filter("root <> p.root").select(
-            F.least("p.uid", "uid").alias("a"), F.greatest("p.uid", "uid").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stage(pairs, "pairs")
-        if pairs.isEmpty():
-            break
-        ends = pairs.select(F.col("a").alias("uid")).union(pairs.select("b")).distinct()
-        if sets is None:
-            wanted = stage(copies.join(bucket.select("uid").distinct(), "uid", "left_semi"), "wanted")
-            named = wanted.select(F.col("key").alias("want"), "uid", "d1", "d2")
-            sets = stage(
-                texts.join(named, F.col("key").eqNullSafe(F.col("want"))).select("uid", "d1", "d2", "text")
-                .mapInArrow(_sets, "uid long, items binary").dropDuplicates(["uid"]), "sets")
-        of = sets.join(ends, "uid", "left_semi")
-        both = pairs.join(of.select(F.col("uid").alias("a"), F.col("items").alias("x")), "a")
-        both = both.join(of.select(F.col("uid").alias("b"), F.col("items").alias("y")), "b").select("a", "b", "x", "y")
-        checked = stage(both.mapInArrow(_verified(similarity), "a long, b long, ok boolean"), "checked")
-        tested = checked.select("a", "b") if tested is None else tested.union(checked.select("a", "b"))
-        found = checked.filter("ok").select("a", "b")
-        links = found if links is None else links.union(found)
-        if turn and found.isEmpty():
-            break
-        classes = components(links)
-        turn += 1
+    classes = None
+    if not bucket.isEmpty():
+        wanted = stage(copies.join(bucket.select("uid").distinct(), "uid", "left_semi"), "wanted")
+        named = wanted.select(F.col("key").alias("want"), "uid", "d1", "d2")
+        sets = stage(
+            texts.join(named, F.col("key").eqNullSafe(F.col("want"))).select("uid", "d1", "d2", "text")
+            .mapInArrow(_sets, "uid long, items binary").dropDuplicates(["uid"]), "sets")
+        classes = _classes(bucket, sets, similarity)
     if classes is None:
         classes = spark.createDataFrame([], "id long, root long")
     grouped = copies.join(classes.withColumnRenamed("id", "uid"), "uid", "left").withColumn("root", F.coalesce("root", "uid"))
