@@ -179,6 +179,13 @@ def test_near_duplicates_in_mixed_buckets(spark, monkeypatch, block):
     assert collected(out, "doc_id", "class_id") == sorted(enumerate(root), key=repr)
 
 
+def test_pivots_are_used_once(spark):
+    rows = [(band, uid, 60, 0) for band in (0, 1) for uid in range(60)]
+    member = spark.createDataFrame(rows, "band int, uid long, n long, head long")
+    used = [(r["band"], r["uid"]) for turn in range(9) for r in dart._pivots(member, turn).collect()]
+    assert sorted(used) == [(band, uid) for band, uid, _, _ in rows]
+
+
 def test_signatures_estimate_weighted_similarity():
     rng = np.random.default_rng(3)
     one = rng.integers(1, 9, 300)

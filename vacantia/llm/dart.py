@@ -266,18 +266,26 @@ def _tested(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     return stage(both.mapInArrow(_verified(threshold), "a long, b long, ok boolean"), "checked")
 
 
+def _pivots(member: DataFrame, turn: int) -> DataFrame:
+    """The members of all buckets that are pivots of round ``turn``, each in one round at most.
+
+    The first round takes the bucket's ``head``; the others take about ``PIVOTS`` by a number that stands for
+    the rank in one hash order.  The band is not in the hash: buckets of different bands that
+    hold the same texts then ask for the same pairs, which are tested once.
+    """
+    rank = F.shiftrightunsigned(F.xxhash64("uid"), 11) * F.lit(2.0**-53) * F.col("n")
+    if not turn:
+        return member.filter("uid = head")
+    return member.filter((F.col("uid") != F.col("head")) & (rank >= (turn - 1) * PIVOTS) & (rank < turn * PIVOTS))
+
+
 def _classes(bucket: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """(id, root) of the texts that are linked with a text of one of their buckets."""
     tested = links = None
     member = bucket.withColumn("root", F.col("uid"))
     for turn in range(ROUNDS):
-        orders = [F.xxhash64("uid", F.lit(turn * PIVOTS + i)) for i in range(PIVOTS)] if turn else [F.col("uid")]
-        first = F.array(*[F.min(F.struct(o.alias("o"), "uid", "root")) for o in orders])
         use = member.filter(F.col("n") > BLOCK) if turn else member
-        pivot = use.groupBy("band", "value").agg(
-            F.array_distinct(F.transform(first, lambda p: F.struct(p["uid"].alias("uid"), p["root"].alias("root")))).alias("p"),
-            F.min("root").alias("low"), F.max("root").alias("high"),
-        ).filter("low < high").select("band", "value", F.explode("p").alias("p"))  # else one class already
+        pivot = _pivots(use, turn).select("band", "value", F.struct("uid", "root").alias("p"))
         pairs = use.join(pivot, ["band", "value"]).filter("root <> p.root").select(
             F.least("p.uid", "uid").alias("a"), F.greatest("p.uid", "uid").alias("b")).distinct()
         if tested is not None:
@@ -329,7 +337,7 @@ def near_duplicates(
     ).select("d1", "d2", "low.key", "low.uid", "copies"), "copies")
     single = told.join(copies.select("uid"), "uid", "left_semi")
     banded = single.select("uid", "n_words", F.posexplode("bands").alias("band", "value"))
-    crowded = banded.groupBy("band", "value").agg(F.count("*").alias("n")).filter("n > 1")
+    crowded = banded.groupBy("band", "value").agg(F.count("*").alias("n"), F.min("uid").alias("head")).filter("n > 1")
     bucket = stage(banded.join(crowded, ["band", "value"]), "buckets")
     texts = rows.select("key", "text")
     classes = None
