@@ -186,6 +186,11 @@ def test_pivots_are_used_once(spark):
     assert sorted(used) == [(band, uid) for band, uid, _, _ in rows]
 
 
+def test_wanted_texts_of_one_id_do_not_all_meet(spark):
+    rows = spark.createDataFrame([(i, None, i, i, i, b"x") for i in range(40)], "uid long, key long, print long, d1 long, d2 long, text binary")
+    assert collected(dart._texts_of(rows, rows.drop("text")), "uid", "d1") == sorted(((i, i) for i in range(40)), key=repr)
+
+
 def test_signatures_estimate_weighted_similarity():
     rng = np.random.default_rng(3)
     one = rng.integers(1, 9, 300)

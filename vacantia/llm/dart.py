@@ -310,6 +310,13 @@ def _rooted(bucket: DataFrame, classes: DataFrame) -> DataFrame:
     return stage(bucket.join(named, "uid", "left").withColumn("root", F.coalesce("root", "uid")), "members")
 
 
+def _texts_of(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(uid, d1, d2, text) of the wanted rows, met by id and print, so that rows of one id (or none) do not all meet."""
+    named = wanted.select(F.col("key").alias("want"), F.col("print").alias("mark"), "uid", "d1", "d2")
+    same = F.col("key").eqNullSafe(F.col("want")) & (F.col("print") == F.col("mark"))
+    return rows.select("key", "print", "text").join(named, same).select("uid", "d1", "d2", "text")
+
+
 def near_duplicates(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", similarity: float = SIMILARITY,
     with_print: bool = False,
@@ -339,14 +346,11 @@ def near_duplicates(
     banded = single.select("uid", "n_words", F.posexplode("bands").alias("band", "value"))
     crowded = banded.groupBy("band", "value").agg(F.count("*").alias("n"), F.min("uid").alias("head")).filter("n > 1")
     bucket = stage(banded.join(crowded, ["band", "value"]), "buckets")
-    texts = rows.select("key", "text")
     classes = None
     if not bucket.isEmpty():
-        wanted = stage(copies.join(bucket.select("uid").distinct(), "uid", "left_semi"), "wanted")
-        named = wanted.select(F.col("key").alias("want"), "uid", "d1", "d2")
+        wanted = stage(single.join(bucket.select("uid").distinct(), "uid", "left_semi").select("uid", "key", "print", "d1", "d2"), "wanted")
         sets = stage(
-            texts.join(named, F.col("key").eqNullSafe(F.col("want"))).select("uid", "d1", "d2", "text")
-            .mapInArrow(_sets, "uid long, items binary").dropDuplicates(["uid"]), "sets")
+            _texts_of(rows, wanted).mapInArrow(_sets, "uid long, items binary").dropDuplicates(["uid"]), "sets")
         classes = _classes(bucket, sets, similarity)
     if classes is None:
         classes = spark.createDataFrame([], "id long, root long")
