@@ -334,6 +334,13 @@ def test_vectors_against_all_pairs(spark):
     assert pivots.near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>")).collect() == []
 
 
+def test_vectors_of_every_width_are_linked(spark):
+    rows = [(i, v) for i, v in enumerate([[1.0, 2.0, 3.0]] * 3 + [[1.0, 2.0], [2.0, 4.0], [1.0, 2.0], [-1.0, 1.0], [5.0]])]
+    out = pivots.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    assert collected(out, "vec_id", "n_links", "component_id") == [
+        (0, 2, 0), (1, 2, 0), (2, 2, 0), (3, 2, 3), (4, 2, 3), (5, 2, 3), (6, 0, 6), (7, 0, 7)]
+
+
 def test_pieces_equal_the_library(docs, empty):
     import sentencepiece
 

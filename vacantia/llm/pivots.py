@@ -9,6 +9,7 @@ its two smallest shared pivots only.  Long lists are cut into blocks that meet p
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -92,25 +93,8 @@ def sound(vector: Column) -> Column:
     return vector.isNotNull() & F.forall(vector, value) & F.exists(vector, lambda x: x != 0)
 
 
-def near_vectors(
-    vectors: DataFrame, id_column: str = "vec_id", vector_column: str = "embedding", similarity: float = SIMILARITY,
-) -> DataFrame:
-    """Per row: id, ``n_links`` (other rows at ``similarity`` or more), ``component_id``, ``kept``.
-
-    Rows whose vector is null, zero, holds null or non-finite components, or is not of the table's most
-    frequent width link with nothing.  Equal vectors are compared once and counted with their number.  A component
-    is named by its smallest id (nulls last); ``kept`` says that the row's id is that one, so repeated
-    rows are all kept or all dropped.  Other columns are ignored; an empty table gives an empty result.
-    """
-    rows = stage(vectors.select(
-        F.monotonically_increasing_id().alias("uid"), F.col(id_column).alias("id"),
-        F.transform(F.col(vector_column), lambda x: x.cast("double")).alias("vector")), "vectors")
-    good = rows.filter(sound(F.col("vector")))
-    common = good.groupBy(F.size("vector").alias("w")).count().orderBy(F.desc("count"), "w").first()
-    if common is None:
-        return rows.select(F.col("id").alias(id_column), F.lit(0).cast("long").alias("n_links"),
-                           F.col("id").alias("component_id"), F.lit(True).alias("kept"))
-    width, n = common["w"], common["count"]
+def _linked(good: DataFrame, width: int, n: int, similarity: float) -> DataFrame:
+    """(uid, n_links, component_id) of the ``n`` sound vectors of one width."""
     good = good.filter(F.size("vector") == width).withColumn("digest", F.sha2(F.to_binary(F.array_join("vector", ","), F.lit("utf-8")), 256))
     same = stage(good.groupBy("digest").agg(
         F.min("uid").alias("rid"), F.count("*").alias("copies"), F.min("vector").alias("vector")), "distinct")
@@ -135,7 +119,28 @@ def near_vectors(
     of = of.select("digest", F.coalesce("root", "rid").alias("root"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
     named = good.select("uid", "id", "digest").join(of, "digest")
     heads = named.groupBy("root").agg(F.min("id").alias("component_id"))
-    found = named.join(heads, "root").select("uid", "n_links", "component_id")
+    return named.join(heads, "root").select("uid", "n_links", "component_id")
+
+
+def near_vectors(
+    vectors: DataFrame, id_column: str = "vec_id", vector_column: str = "embedding", similarity: float = SIMILARITY,
+) -> DataFrame:
+    """Per row: id, ``n_links`` (other rows at ``similarity`` or more), ``component_id``, ``kept``.
+
+    Rows whose vector is null, zero, or holds null or non-finite components link with nothing, and vectors of different
+    widths do not link with each other; every width is indexed by itself, one after another.  Equal vectors are compared once and counted with their number.  A component
+    is named by its smallest id (nulls last); ``kept`` says that the row's id is that one, so repeated
+    rows are all kept or all dropped.  Other columns are ignored; an empty table gives an empty result.
+    """
+    rows = stage(vectors.select(
+        F.monotonically_increasing_id().alias("uid"), F.col(id_column).alias("id"),
+        F.transform(F.col(vector_column), lambda x: x.cast("double")).alias("vector")), "vectors")
+    good = rows.filter(sound(F.col("vector")))
+    widths = good.groupBy(F.size("vector").alias("w")).count().orderBy("w").collect()
+    if not widths:
+        return rows.select(F.col("id").alias(id_column), F.lit(0).cast("long").alias("n_links"),
+                           F.col("id").alias("component_id"), F.lit(True).alias("kept"))
+    found = reduce(DataFrame.union, [_linked(good, w["w"], w["count"], similarity) for w in widths])
     return rows.select("uid", "id").join(found, "uid", "left").select(
         F.col("id").alias(id_column), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
         F.coalesce("component_id", "id").alias("component_id"),
