@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vacantia.llm import dart, hosts, nnpu, packing, phrases, pieces, pivots, revisits, suffixes, tokens
+from vacantia.llm import codes, containment, dart, hosts, nnpu, packing, phrases, pieces, pivots, revisits, suffixes, tokens, whitening
 from vacantia.session import scratch_path
 
 QUERIES: dict = {}
@@ -130,3 +130,91 @@ def op7_suffix_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return pieces.encode_pieces(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op11_feast_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    white = whitening.whiten(read(spark, sf_dir, "embeddings"))
+    return white.withColumn("deviation", F.col("deviation").cast("long"))
+
+
+@query
+def op12_adaptive_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.encode_vectors(read(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = containment.contaminated_words(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return out.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        containment.digest_of_items(F.col("items")).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+ORACLES["op13_prefix_join"] = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS uid, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM documents
+), items AS (
+  SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM benchmark
+), item_windows AS (
+  SELECT DISTINCT item, size, array_to_string(words[s:s + size - 1], ' ') AS win
+  FROM (SELECT item, words, least(10, len(words)) AS size FROM items WHERE len(words) > 0), unnest(range(1, len(words) - size + 2)) AS t(s)
+), doc_windows AS (
+  SELECT uid, s, size, array_to_string(words[s:s + size - 1], ' ') AS win
+  FROM docs, (SELECT DISTINCT size FROM item_windows), unnest(range(1, len(words) - size + 2)) AS t(s)
+), found AS (
+  SELECT uid, s, w.size, item FROM doc_windows w JOIN item_windows i ON w.win = i.win AND w.size = i.size
+), hits AS (
+  SELECT uid, count(DISTINCT word) AS n_hit FROM (SELECT DISTINCT uid, s, size FROM found), unnest(range(s, s + size)) AS t(word) GROUP BY uid
+), owners AS (
+  SELECT uid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names FROM (SELECT DISTINCT uid, item FROM found) GROUP BY uid
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hits USING (uid) LEFT JOIN owners USING (uid)
+"""
+
+
+def _codes_sql(rounds: int = codes.ROUNDS, entries: int = codes.ENTRIES) -> str:
+    """Every round of the codebooks by comparing all parts with all entries."""
+    nearest = """
+SELECT uid, p, min({{'d': square - 2 * list_inner_product(x, e) + list_inner_product(e, e), 'entry': entry}}) AS best
+FROM parts JOIN book{r} USING (p) GROUP BY uid, p"""
+    means = """
+SELECT p, entry, list(mean ORDER BY i) AS e FROM (
+  SELECT p, best.entry AS entry, i, floor(sum(x[i]) / count(*)) AS mean
+  FROM near{r} JOIN parts USING (uid, p), unnest(range(1, len(x) + 1)) AS t(i) GROUP BY ALL) GROUP BY p, entry"""
+    steps = []
+    for r in range(rounds):
+        steps += [
+            f"near{r} AS MATERIALIZED ({nearest.format(r=r)})", f"mean{r} AS MATERIALIZED ({means.format(r=r)})",
+            f"book{r + 1} AS MATERIALIZED (SELECT b.p, b.entry, coalesce(m.e, b.e) AS e FROM book{r} b LEFT JOIN mean{r} m USING (p, entry))",
+        ]
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id, embedding) AS uid, vec_id, label,
+         list_transform(embedding, lambda c: floor(1024 * CAST(c AS DOUBLE))) AS v
+  FROM embeddings WHERE len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0 AND len(embedding) > 0
+), parts AS MATERIALIZED (
+  SELECT uid, p, x, list_inner_product(x, x) AS square
+  FROM (SELECT uid, p, v[p * len(v) // 4 + 1:(p + 1) * len(v) // 4] AS x FROM kept, unnest(range(4)) AS t(p))
+), book0 AS MATERIALIZED (SELECT p, uid - 1 AS entry, x AS e FROM parts WHERE uid <= {entries}),
+{', '.join(steps)},
+near{rounds} AS MATERIALIZED ({nearest.format(r=rounds)}),
+coded AS (SELECT uid, string_agg(printf('%02x', best.entry), '' ORDER BY p) AS code, CAST(sum(best.d) AS BIGINT) AS error FROM near{rounds} GROUP BY uid),
+sealed AS (
+  SELECT sha256(string_agg(CAST(CAST(c AS BIGINT) AS VARCHAR), ',' ORDER BY p, entry, i)) AS codebooks_sha256
+  FROM (SELECT p, entry, unnest(e) AS c, unnest(range(len(e))) AS i FROM book{rounds}))
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM kept JOIN coded USING (uid), sealed
+"""
+
+
+ORACLES["op12_adaptive_codes"] = _codes_sql()
