@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from vacantia.catalogue import load_queries, page_queries, rank_queries, star_queries, text_queries
+from vacantia.catalogue import load_queries, mart_queries, page_queries, rank_queries, star_queries, text_queries
 
-TOPICS = [star_queries, load_queries, text_queries, rank_queries, page_queries]
+TOPICS = [star_queries, load_queries, mart_queries, text_queries, rank_queries, page_queries]
 
 QUERIES: dict = {}
 ORACLES: dict = {}

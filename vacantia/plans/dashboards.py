@@ -5,6 +5,8 @@ Every ranking breaks ties by name, so a top list is the same on every run.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from vacantia.operators.warehouse import check_constraints
@@ -156,7 +158,10 @@ def job_search(
     return jobs.select("job_id", "job_title", "job_title_normalized", "source", "publish_date")
 
 
-def job_listing(star: Star) -> DataFrame:
+def job_listing(star: Star, since: Column | None = None) -> DataFrame:
+    """All jobs, latest first, or those published ``since`` a day (a fact stored by month is pruned by it)."""
+    if since is not None:
+        star = replace(star, jobs=vw.published_since(star.jobs, since))
     counts = star.links.groupBy("job_id").agg(F.count("*").alias("n"))
     return (
         star.jobs.join(counts, "job_id", "left")
@@ -267,8 +272,8 @@ def m_most_common_title(star: Star) -> DataFrame:
 
 
 def m_jobs_this_month(star: Star, as_of: Column) -> DataFrame:
-    inside = (F.col("publish_date") >= F.trunc(as_of, "month")) & (F.col("publish_date") <= as_of)
-    return star.jobs.filter(inside).agg(F.countDistinct("job_id").alias("value"))
+    inside = vw.published_since(star.jobs, F.trunc(as_of, "month")).filter(F.col("publish_date") <= as_of)
+    return inside.agg(F.countDistinct("job_id").alias("value"))
 
 
 def m_top_skill(star: Star) -> DataFrame:

@@ -213,6 +213,53 @@ records AS (
 """
 
 
+# ------------------------------------------------------- states of the market over time
+
+def open_postings(spark: SparkSession, sf_dir: str, day: str) -> DataFrame:
+    """The postings that are open on a day as records: ordered by then, and not yet shipped in full.
+
+    What is paid is the range of prices of the items still to ship, and the size of a company follows
+    its open postings, so both change from day to day.
+    """
+    at = F.lit(day).cast("date")
+    left = table(spark, sf_dir, "lineitem").filter(F.col("l_shipdate").cast("date") > at).groupBy("l_orderkey").agg(
+        F.min("l_extendedprice").alias("salary_min"), F.max("l_extendedprice").alias("salary_max"))
+    orders = table(spark, sf_dir, "orders").filter(F.col("o_orderdate").cast("date") <= at)
+    live = orders.join(left, F.col("o_orderkey") == F.col("l_orderkey"))
+    sizes = live.groupBy(F.col("o_custkey").alias("_c")).agg(F.count("*").alias("_n"))
+    place = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"), "left")
+    full = live.join(sizes, F.col("o_custkey") == F.col("_c")).join(
+        table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")).join(
+        place, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    return full.select(
+        F.col("o_orderkey").cast("string").alias("external_job_id"), F.col("o_orderpriority").alias("job_title"),
+        F.concat("o_orderstatus", F.lit(" "), "o_orderpriority").alias("job_description"), F.col("c_name").alias("company_name"),
+        F.concat(F.lit("https://jobs.example/c"), F.col("c_custkey").cast("string")).alias("company_url"),
+        F.when(F.col("_n") >= 8, "large").when(F.col("_n") >= 4, "medium").otherwise("small").alias("company_size"),
+        F.col("c_mktsegment").alias("industry"), F.col("n_name").alias("location"),
+        F.concat("n_name", F.lit(" city")).alias("city"), F.col("n_name").alias("country"), F.col("r_name").alias("region"),
+        (F.col("n_nationkey") * 3.0 - 36).alias("latitude"), (F.col("n_nationkey") * 12.5 - 150).alias("longitude"),
+        F.col("o_orderstatus").alias("source"), F.lit("board").alias("source_type"),
+        F.concat(F.lit("https://"), "o_orderstatus", F.lit(".example")).alias("base_url"),
+        F.lit(None).cast("string").alias("experience_level"), F.col("o_orderstatus").alias("contract_type"),
+        "salary_min", "salary_max", F.lit("USD").alias("salary_currency"),
+        F.concat(F.lit("https://jobs.example/"), F.col("o_orderkey").cast("string")).alias("job_url"),
+        F.col("o_orderdate").cast("date").alias("published_at"),
+    )
+
+
+def open_postings_sql(day: str, name: str) -> str:
+    return f"""{name} AS MATERIALIZED (
+  SELECT CAST(o_orderkey AS VARCHAR) AS external_job_id, o_orderpriority AS job_title, c_name AS company_name,
+         CASE WHEN n >= 8 THEN 'large' WHEN n >= 4 THEN 'medium' ELSE 'small' END AS company_size,
+         'https://jobs.example/c' || c_custkey AS company_url, n_name AS location, o_orderstatus AS source, salary_min, salary_max
+  FROM (SELECT *, count(*) OVER (PARTITION BY o_custkey) AS n FROM orders JOIN (
+          SELECT l_orderkey, min(l_extendedprice) AS salary_min, max(l_extendedprice) AS salary_max
+          FROM lineitem WHERE CAST(l_shipdate AS DATE) > DATE '{day}' GROUP BY l_orderkey) ON o_orderkey = l_orderkey
+        WHERE CAST(o_orderdate AS DATE) <= DATE '{day}')
+  JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey)"""
+
+
 # ----------------------------------------------------------------- stored pages
 
 def _escaped(c: Column) -> Column:

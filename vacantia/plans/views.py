@@ -66,6 +66,14 @@ def _links_with(star: Star, *columns: str, how: str = "inner") -> DataFrame:
     )
 
 
+def published_since(jobs: DataFrame, day: Column) -> DataFrame:
+    """Jobs from ``day`` on; where the fact is stored by month, older partitions are not read."""
+    since = F.col("publish_date") >= day
+    if "publish_month" in jobs.columns:
+        since = since & (F.col("publish_month") >= F.date_format(day, "yyyy-MM"))
+    return jobs.filter(since)
+
+
 def _job_total(star: Star) -> Column:
     return star.jobs.agg(F.countDistinct("job_id").alias("n")).scalar()
 
@@ -282,7 +290,7 @@ def vw_trending_skills(star: Star, as_of: Column) -> DataFrame:
 
     A skill without such a job is not in the result, so older jobs are filtered in the scan.
     """
-    recent = star.jobs.filter(F.col("publish_date") >= F.date_sub(as_of, 30)).select(
+    recent = published_since(star.jobs, F.date_sub(as_of, 30)).select(
         "job_id", (F.col("publish_date") >= F.date_sub(as_of, 7)).alias("this_week")
     ).groupBy("job_id").agg(F.max("this_week").alias("this_week"))
     counted = _pairs(star).join(recent, "job_id").groupBy("skill_id").agg(

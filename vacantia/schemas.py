@@ -77,6 +77,22 @@ STAR = {
     "fact_job_skills": FACT_JOB_SKILLS,
 }
 
+# The wider, declared model: every table is a log of versions.
+_VERSION = (
+    ("row_digest", _S), ("change", _S), ("is_active", T.BooleanType()), ("created_at", _TS), ("updated_at", _TS), ("load_no", _L),
+)
+VERSION = [c for c, _ in _VERSION]
+EXTENDED = {
+    "companies": _struct(("company_id", _L), ("company_name", _S), ("company_url", _S), ("company_size", _S), ("industry", _S), *_VERSION),
+    "locations": _struct(
+        ("location_id", _L), ("location_name", _S), ("city", _S), ("country", _S), ("region", _S), ("latitude", _D), ("longitude", _D), *_VERSION),
+    "sources": _struct(("source_id", _L), ("source_name", _S), ("source_type", _S), ("base_url", _S), *_VERSION),
+    "jobs": _struct(
+        ("job_key", _S), ("external_job_id", _S), ("job_title", _S), ("job_description", _S), ("company_id", _L), ("location_id", _L),
+        ("source_id", _L), ("experience_level", _S), ("contract_type", _S), ("salary_min", _D), ("salary_max", _D),
+        ("salary_currency", _S), ("job_url", _S), ("published_at", _DATE), *_VERSION),
+}
+
 # Declared keys of the star: (table, columns) and (table, column, parent, parent column).
 PRIMARY_KEYS = {
     "dim_companies": ["company_id"], "dim_locations": ["location_id"], "dim_skills": ["skill_id"],

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from vacantia import schemas
-from vacantia.operators import warehouse as wh
-from vacantia.operators.rows import keep_first, number_rows, table_counts
-from vacantia.session import stage
+from vacantia.operators.rows import table_counts
+from vacantia.sources.mart import Mart, aligned, load_star
+
+COUNTED = ["dim_companies", "dim_locations", "dim_skills", "fact_jobs", "fact_job_skills"]
 
 
 def create_star_schema(
@@ -50,16 +51,7 @@ def append_table(df: DataFrame, table: str, if_exists: str = "append") -> None:
         df.write.mode("append").saveAsTable(table)
         return
 
-    def fill(field: T.StructField) -> Column:
-        if field.name in df.columns:
-            value = F.col(field.name)
-        elif field.name in ("created_at", "updated_at"):
-            value = F.current_timestamp()
-        else:
-            value = F.lit(None)
-        return value.cast(field.dataType).alias(field.name)
-
-    rows = df.select(*[fill(f) for f in spark.table(table).schema.fields])
+    rows = aligned(df, spark.table(table).schema)
     buckets = _bucket_count(spark, table)
     if buckets:  # one writing task, and so one file, per bucket
         rows = rows.repartition(buckets, "job_id")
@@ -80,19 +72,17 @@ def read_row_store(spark: SparkSession, url: str, query: str, **options: str) ->
 
 
 def verify_row_counts(spark: SparkSession, database: str) -> DataFrame:
-    names = ["dim_companies", "dim_locations", "dim_skills", "fact_jobs", "fact_job_skills"]
-    return table_counts({n: spark.table(f"{database}.{n}") for n in names})
+    return table_counts({n: spark.table(f"{database}.{n}") for n in COUNTED})
 
 
 def load_warehouse(
     spark: SparkSession, jobs: DataFrame, job_skills: DataFrame, database: str, location: str,
-    as_of: Column, dry_run: bool = False, buckets: int | None = None,
+    as_of: Column, dry_run: bool = False, buckets: int | None = None, batch: str | None = None,
 ) -> DataFrame | None:
-    """Dimensions, then facts, then row counts; stops at the first failure.
+    """Dimensions, then facts, then checks, then one step that makes them visible, then row counts.
 
-    Each table is written before the next one reads its keys, so a rerun after a failure
-    adds no dimension member and no job twice; of repeats inside one load the first by its other values is
-    stored.  ``dry_run`` only checks the inputs.
+    A load that stops leaves the mart as it was (see :mod:`vacantia.sources.mart`); a rerun adds no
+    member and no job twice, and a ``batch`` that was published does nothing.  ``dry_run`` only checks the inputs.
     """
     wanted = {"jobs": schemas.CLEAN_COLUMNS, "job_skills": schemas.JOB_SKILLS.fieldNames()}
     for name, df in (("jobs", jobs), ("job_skills", job_skills)):
@@ -101,31 +91,9 @@ def load_warehouse(
             raise ValueError(f"{name} lacks {sorted(missing)}")
     if dry_run:
         return None
-    create_star_schema(spark, database, location, buckets)
-
-    def stored(table: str) -> DataFrame:
-        return spark.table(f"{database}.{table}")
-
-    dims = [
-        ("dim_companies", wh.dim_companies(jobs, keep_unknown=True), "company_id", "company_name"),
-        ("dim_locations", wh.dim_locations(jobs, keep_unknown=True), "location_id", "location_name"),
-        ("dim_skills", wh.dim_skills(job_skills), "skill_id", "skill_name"),
-    ]
-    for table, members, key, name in dims:
-        append_table(wh.surrogate_key(members, key, name, stored(table)), f"{database}.{table}")
-
-    facts = wh.fact_jobs(jobs, stored("dim_companies"), stored("dim_locations"), as_of)
-    new_jobs = facts.join(stored("fact_jobs").select("job_id"), "job_id", "left_anti")
-    others = [c for c in new_jobs.columns if c not in ("job_id", "description")]
-    append_table(keep_first(new_jobs, ["job_id"], [*others, "description"]), f"{database}.fact_jobs")
-    links = wh.fact_job_skills(job_skills, stored("dim_skills"))
-    known = stored("fact_job_skills").select("job_id", "skill_id")
-    fresh = links.join(known, ["job_id", "skill_id"], "left_anti")
-    fresh = keep_first(fresh, ["job_id", "skill_id"], [F.desc("confidence_score"), "position_in_description", "extracted_method"])
-    top = stored("fact_job_skills").agg(F.coalesce(F.max("job_skill_id"), F.lit(0))).first()[0]
-    keyed = number_rows(stage(fresh, "links"), ["job_id", "skill_id"], name="job_skill_id")
-    append_table(keyed.withColumn("job_skill_id", F.col("job_skill_id") + top), f"{database}.fact_job_skills")
-    return verify_row_counts(spark, database)
+    mart = Mart(spark, database, location, buckets=buckets, months={"fact_jobs": "publish_date"})
+    load_star(mart, jobs, job_skills, as_of, batch or f"load-{len(mart.history()) + 1}")
+    return mart.row_counts(COUNTED)
 
 
 def load_summary(tables: dict[str, DataFrame]) -> DataFrame:
