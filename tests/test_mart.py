@@ -99,7 +99,9 @@ def test_months_are_partitions_and_prune(spark, tmp_path):
     assert sorted(r[0] or "" for r in stored.select("publish_month").distinct().collect()) == ["", "2023-12", "2024-01"]
     assert len(stored.filter("publish_month = '2024-01'").inputFiles()) < len(stored.inputFiles())
     star = views.Star(m.read("dim_companies"), m.read("dim_locations"), m.read("dim_skills"), stored, m.read("fact_job_skills"))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
     plan = views.vw_trending_skills(star, F.lit("2024-02-01").cast("date"))._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
     assert any("publish_month" in part.split("]")[0] and ">= 2024-01" in part for part in plan.split("PartitionFilters: [")[1:])
     assert [r["skill_name"] for r in views.vw_trending_skills(star, F.lit("2024-01-05").cast("date")).collect()] == ["sql"]
 

@@ -1,10 +1,12 @@
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from vacantia.operators import recommend as rc
 from vacantia.operators import vectors as vc
+from vacantia.session import stage
 
 JOBS = "job_id string, title string, company string, location string, source string, description string, embedding array<float>"
 CANDS = "name string, skills array<string>, experience string, interests string, embedding array<float>, location string"
@@ -58,9 +60,10 @@ def test_match_candidates_equals_brute_force(spark):
     assert got == brute(jobs, cands, 5)
 
 
-def test_blocks_and_batches_do_not_change_the_result(spark, monkeypatch):
+@pytest.mark.parametrize("size,tile", [(1, 90), (4, 1000), (7, 40), (2000, 50)])
+def test_blocks_and_batches_do_not_change_the_result(spark, monkeypatch, size, tile):
     jobs, cands = fixture(spark, seed=5)
-    monkeypatch.setattr(vc.over_blocks, "__defaults__", (4,))
+    monkeypatch.setattr(vc.over_blocks, "__defaults__", (size, tile))
     monkeypatch.setattr(rc, "CELLS", 60)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "20")
     try:
@@ -128,3 +131,15 @@ def test_weights_of_zero_and_repeated_names(spark):
     rows = rc.multi_factor_score(*frames, weights=only, threshold=0.0, top_n=1).collect()
     assert [(r["job_id"], r["match_score"]) for r in sorted(rows, key=lambda r: -r["match_score"])] == [("a", 1.0), ("a", 0.0)]
     assert rc.match_candidates(*frames, top_k=2, min_skill_match=0.0).filter("semantic_similarity_score = 1").count() == 2
+
+
+def test_both_sides_are_scanned_once(spark, monkeypatch, tmp_path):
+    """More candidates than a block: one plan over written tables, no driver loop."""
+    jobs, cands = fixture(spark, 60, 9)
+    monkeypatch.setattr(vc.over_blocks, "__defaults__", (2, 25))
+    seen = []
+    monkeypatch.setattr(vc, "stage", lambda df, name="stage": seen.append(name) or stage(df, name))
+    kernel = lambda block: (lambda batches: (b[["job_id"]].assign(n=len(block)) for b in batches))
+    out = vc.over_blocks(spark.createDataFrame(jobs, JOBS), spark.createDataFrame(cands, CANDS), "name", kernel, "job_id string, n int")
+    assert seen == ["rows"] and out._jdf.queryExecution().executedPlan().toString().count("FlatMapCoGroupsInPandas") == 1
+    assert out.groupBy("job_id").agg(F.count("*").alias("c"), F.sum("n").alias("n")).select("c", "n").distinct().collect() == [(5, 9)]

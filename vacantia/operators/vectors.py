@@ -9,10 +9,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from vacantia.operators.rows import number_rows
-from vacantia.session import scratch_path
+from vacantia.session import stage
 
-# Largest number of rows that is ever sent to every task at once.
+# Largest number of rows that is ever sent to every task at once, and rows of the other side that meet a block in one task.
 BLOCK_ROWS = 2000
+TILE_ROWS = 20_000
 
 
 def unit_rows(cells: pd.Series, width: int | None = None) -> np.ndarray:
@@ -36,14 +37,14 @@ def over_blocks(
     make_kernel: Callable[[pd.DataFrame], Callable],
     schema: str,
     size: int = BLOCK_ROWS,
+    tile_rows: int = TILE_ROWS,
 ) -> DataFrame:
-    """Run ``df`` past every row of ``small``, at most ``size`` rows of it at a time.
+    """Run ``df`` past every row of ``small`` in one job, at most ``size`` rows of it at a time.
 
-    ``make_kernel(block)`` returns a ``mapInPandas`` function.  The number of rows is
-    checked first: a table that fits goes to the tasks in one piece.  A larger one is
-    numbered and taken block by block, each block's result being appended to a table in
-    the shared folder, so neither the driver nor a task holds more than one block and no
-    row is left out.
+    ``make_kernel(block)`` returns a ``mapInPandas`` function.  The number of rows is checked first: a
+    table of one block goes to the tasks in one piece, and ``df`` stays where it is.  Otherwise both sides are
+    numbered and cut, ``small`` into blocks and ``df`` into tiles of about ``tile_rows``, and every tile meets every
+    block in a task of its own; a task holds one tile and one block, whatever the size of the two tables.
     """
     spark = df.sparkSession
     size_of = F.size("embedding") if "embedding" in small.columns else F.lit(None)
@@ -53,14 +54,23 @@ def over_blocks(
     if total == 0:
         return spark.createDataFrame([], schema)
     if total <= size:
-        return df.mapInPandas(make_kernel(small.orderBy(key).toPandas()), schema)
-    path = scratch_path(spark, "blocks")
+        block = small.orderBy(key).limit(size).toArrow()  # bounded by ``size``
+        return df.mapInPandas(make_kernel(block.to_pandas()), schema)
+    # Written with their numbers, so that a lost executor cannot deal them anew.
+    rows = stage(df.withColumn("_uid", F.monotonically_increasing_id()), "rows")
+    tiles, blocks = max(1, -(-rows.count() // tile_rows)), -(-total // size)
     numbered = number_rows(small, [key], name="_no")
-    for start in range(0, total, size):
-        part = numbered.filter((F.col("_no") > start) & (F.col("_no") <= start + size))
-        block = part.drop("_no").orderBy(key).toPandas()
-        df.mapInPandas(make_kernel(block), schema).write.mode("append").parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = rows.withColumns({"_tile": F.pmod("_uid", F.lit(tiles)).cast("int"), "_block": every(blocks)})
+    right = numbered.withColumns({"_block": F.floor((F.col("_no") - 1) / size).cast("int"), "_tile": every(tiles)})
+
+    def meet(tile: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
+        work = make_kernel(block.drop(columns=["_no", "_block", "_tile"]).sort_values(key, kind="stable").reset_index(drop=True))
+        found = [out for out in work(iter([tile.drop(columns=["_uid", "_block", "_tile"])] if len(tile) else []))]
+        return pd.concat(found, ignore_index=True) if found else pd.DataFrame(columns=names)
+
+    names = spark.createDataFrame([], schema).columns
+    return left.groupBy("_tile", "_block").cogroup(right.groupBy("_tile", "_block")).applyInPandas(meet, schema)
 
 
 def norm(vector: Column) -> Column:
