@@ -114,7 +114,9 @@ def test_audit(spark):
     df = spark.createDataFrame([("a", True), ("a", None), ("b", False)], "source string, ok boolean")
     log = failed_source(ingestion_audit(df, F.col("ok")), "c", "timeout", F.lit("2024-01-01").cast("timestamp"))
     got = {r["source_name"]: (r["status"], r["jobs_count"], r["errors_count"]) for r in log.collect()}
-    assert got == {"a": ("success", 1, 1), "b": ("success", 0, 1), "c": ("error", 0, 1)}
+    assert got == {"a": ("success", 1, 1), "b": ("error", 0, 1), "c": ("error", 0, 1)}
+    assert {r["source_name"]: r["error_message"] for r in log.collect()} == {
+        "a": "1 of 2 rows were rejected", "b": "1 of 1 rows were rejected", "c": "timeout"}
 
 
 def test_bucketed_facts_join_without_a_shuffle(spark, tmp_path):

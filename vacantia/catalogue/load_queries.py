@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from vacantia.catalogue import sqltext as sq
+from vacantia.catalogue.text_queries import ORACLES as TEXT_ORACLES
 from vacantia.catalogue.text_queries import GROUPS, WORDS, _CATEGORY, _CLEAN_SQL, _cleaned, _lexicon_sql
 from vacantia.operators import clean as cl
 from vacantia.operators import skills as sk
@@ -15,8 +16,8 @@ from vacantia.plans.standin import (
     RAW_SQL, RECORDS_SQL, boards, raw_jobs, records, star, table, vectors,
 )
 from vacantia.session import scratch_path, stage
-from vacantia.sources import files, tables
-from vacantia.sources.audit import ingestion_audit
+from vacantia.sources import files, runs, tables
+from vacantia.sources.audit import failed_source, ingestion_audit
 
 NOW = "2024-02-01 12:00:00"
 
@@ -230,7 +231,47 @@ def _extended(spark, sf_dir):
     )
 
 
+def _checked_rows(spark, sf_dir):
+    """Lines of three fields: English ones fit, others lack a field, have one too many, or text for a number."""
+    line = F.concat_ws(",", "doc_id", "source")
+    rows = table(spark, sf_dir, "documents").select(
+        F.when(F.col("lang") == "en", F.concat_ws(",", line, "n_chars")).when(F.col("lang") == "fr", line)
+        .when(F.col("lang") == "de", F.concat_ws(",", line, "n_chars", F.lit("more"))).otherwise(F.concat_ws(",", line, F.lit("many"))))
+    path = scratch_path(spark, "lines")
+    rows.write.text(path)
+    kinds = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("source", T.StringType()), T.StructField("n_chars", T.LongType())])
+    return files.read_csv_checked(spark, path, kinds, header=False)
+
+
+def _failed_source(spark, sf_dir):
+    seen = table(spark, sf_dir, "events")
+    log = failed_source(ingestion_audit(seen, F.col("value") > 5, "event_type", "ts"), "unreachable", "timeout", _now())
+    return log.select("source_name", "status", "jobs_count", "errors_count")
+
+
+def _ingestion(spark, sf_dir):
+    """Every kind of event as a source of its own, and one that cannot be read."""
+    seen = table(spark, sf_dir, "events")
+    kinds = sorted(r[0] for r in seen.select("event_type").distinct().collect())  # a handful of sources
+    sources = {k: (lambda k=k: seen.filter(F.col("event_type") == k)) for k in kinds}
+    sources["unreachable"] = lambda: spark.read.parquet(f"{sf_dir}/no_such_table.parquet")
+    stored, log = runs.ingest(spark, sources, F.col("value") > 5, scratch_path(spark, "ingested"))
+    counts = tables.load_summary(stored).select(F.col("table_name").alias("source_name"), F.col("row_count").alias("stored"))
+    return log.join(counts, "source_name", "left").select(
+        "source_name", "status", "jobs_count", "errors_count", "error_message", F.coalesce("stored", F.lit(0)).alias("stored"))
+
+
+def _counted_clean(spark, sf_dir):
+    return runs.write_clean_jobs(boards(spark, sf_dir), scratch_path(spark, "clean"))[1].drop("rows_after_url")
+
+
 QUERIES = {
+    "rejected_rows": lambda s, d: _checked_rows(s, d)[1].drop("file"),
+    "accepted_rows": lambda s, d: _checked_rows(s, d)[0],
+    "failed_source": _failed_source,
+    "ingestion_run": _ingestion,
+    "clean_jobs_counted": _counted_clean,
+    "normalize_counted": lambda s, d: runs.write_normalized(records(s, d), ["doc_id"], scratch_path(s, "normal"))[1],
     "read_raw_jobs": _read_raw,
     "read_clean_jobs": _read_clean,
     "read_job_skills": _read_skills,
@@ -382,10 +423,29 @@ FROM documents WHERE doc_id % 4 <> 2""",
         skills="SELECT count(DISTINCT skill_name) FROM rows", jobs="SELECT count(*) FROM cleaned",
         job_skill_links="SELECT count(*) FROM rows",
     ),
-    "ingestion_audit": """SELECT event_type AS source_name, 'success' AS status, count(*) FILTER (WHERE value > 5) AS jobs_count,
+    "ingestion_audit": """SELECT event_type AS source_name,
+  CASE WHEN count(*) FILTER (WHERE value > 5) = 0 THEN 'error' ELSE 'success' END AS status, count(*) FILTER (WHERE value > 5) AS jobs_count,
   count(*) FILTER (WHERE NOT coalesce(value > 5, false)) AS errors_count,
   strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS started_at, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS ended_at,
-  CAST(NULL AS VARCHAR) AS error_message FROM events GROUP BY 1""",
+  CASE WHEN count(*) FILTER (WHERE NOT coalesce(value > 5, false)) > 0 THEN
+    count(*) FILTER (WHERE NOT coalesce(value > 5, false)) || ' of ' || count(*) || ' rows were rejected' END AS error_message
+FROM events GROUP BY 1""",
+    "failed_source": """SELECT event_type AS source_name, CASE WHEN count(*) FILTER (WHERE value > 5) = 0 THEN 'error' ELSE 'success' END AS status,
+  count(*) FILTER (WHERE value > 5) AS jobs_count, count(*) FILTER (WHERE NOT coalesce(value > 5, false)) AS errors_count FROM events GROUP BY 1
+UNION ALL SELECT 'unreachable', 'error', 0, 1""",
+    "ingestion_run": """SELECT event_type AS source_name, count(*) FILTER (WHERE value > 5) AS jobs_count,
+  count(*) FILTER (WHERE NOT coalesce(value > 5, false)) AS errors_count, CASE WHEN count(*) FILTER (WHERE value > 5) = 0 THEN 'error' ELSE 'success' END AS status,
+  CASE WHEN count(*) FILTER (WHERE NOT coalesce(value > 5, false)) > 0 THEN
+    count(*) FILTER (WHERE NOT coalesce(value > 5, false)) || ' of ' || count(*) || ' rows were rejected' END AS error_message,
+  count(*) FILTER (WHERE value > 5) AS stored FROM events GROUP BY 1
+UNION ALL SELECT 'unreachable', 0, 1, 'error', 'PATH_NOT_FOUND', 0""",
+    "clean_jobs_counted": f"""{_CLEAN} SELECT (SELECT count(*) FROM raw) AS rows_in, count(*) AS rows_out,
+(SELECT count(*) FROM raw) - count(*) AS rows_removed FROM cleaned""",
+    "normalize_counted": TEXT_ORACLES["normalize_report"],
+    "rejected_rows": """SELECT CASE lang WHEN 'fr' THEN 'short' WHEN 'de' THEN 'long' ELSE 'type' END AS reason, CAST(1 AS INTEGER) AS n_lines,
+  CASE lang WHEN 'fr' THEN doc_id || ',' || source WHEN 'de' THEN doc_id || ',' || source || ',' || n_chars || ',more' ELSE doc_id || ',' || source || ',many' END AS record
+FROM documents WHERE lang <> 'en'""",
+    "accepted_rows": "SELECT doc_id, source, n_chars FROM documents WHERE lang = 'en'",
     "persist_embeddings": """SELECT CAST(vec_id AS VARCHAR) AS job_id, CAST(len(embedding) AS INTEGER) AS width,
   round(sqrt(list_sum(list_transform(CAST(embedding AS DOUBLE[]), lambda x: x * x))), 6) AS norm FROM embeddings""",
     "dim_companies": f"""{_CLEAN} SELECT DISTINCT {sq.strip('company')} AS company_name FROM cleaned

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from vacantia.operators import recommend as rc
+from vacantia.operators import textvectors as tv
 from vacantia.operators.vectors import cosine, norm
-from vacantia.plans.standin import RANK_SQL, candidates, ranked_jobs, star, table, vectors
+from vacantia.plans.standin import RANK_SQL, candidates, ranked_jobs, raw_jobs, star, table, vectors
+from vacantia.session import stage
 
 PROFILE = ["The", "of", "que", "Data"]
 MIN_MATCH = 0.5
@@ -82,9 +84,29 @@ def _model(spark, sf_dir):
         F.lower("industry").alias("target_job_title"), F.length("company_name").alias("years_experience"),
     )
     owned = s.links.join(s.jobs.select("job_id", "company_id"), "job_id").select(
-        F.col("company_id").alias("candidate_id"), "skill_id"
+        F.col("company_id").alias("candidate_id"), "skill_id", F.col("position_in_description").alias("years_of_experience"),
+        F.when(F.col("confidence_score") >= 7, "expert").when(F.col("confidence_score") >= 3, "regular").alias("proficiency_level"),
     )
-    return rc.candidates_from_model(profiles, owned, s.skills).withColumn("skills", F.array_join("skills", ", "))
+    told = F.transform("skill_levels", lambda e: F.format_string("%s: %s, %d years", e["skill_name"], F.coalesce(e["level"], F.lit("none")), e["years"]))
+    return rc.candidates_from_model(profiles, owned, s.skills).withColumns({
+        "skills": F.array_join("skills", ", "), "skill_levels": F.array_join(told, "; ")})
+
+
+def _text_vectors(spark, sf_dir):
+    """All non-zero weights; a posting without words has one row of nulls."""
+    jobs = raw_jobs(spark, sf_dir).select("job_id", "description")
+    weighed = tv.term_weights(jobs, tv.document_frequency(jobs))
+    return weighed.select("job_id", F.explode_outer("terms").alias("t")).select("job_id", "t.bucket", F.round("t.weight", 9).alias("weight"))
+
+
+def _text_ranking(spark, sf_dir):
+    """Ranking without stored vectors: descriptions and profiles get vectors of their words."""
+    jobs = ranked_jobs(spark, sf_dir).drop("embedding")
+    frequency = stage(tv.document_frequency(jobs), "frequency")
+    asked = candidates(spark, sf_dir).drop("embedding").withColumn(
+        "profile", rc.profile_text(F.col("skills"), F.col("experience"), F.col("interests")))
+    vector = lambda df, c: tv.term_weights(df, frequency, c).withColumn("embedding", tv.dense(F.col("terms"))).drop("terms")
+    return _rounded(rc.match_candidates(vector(jobs, "description"), vector(asked, "profile").drop("profile")))
 
 
 QUERIES = {
@@ -98,6 +120,8 @@ QUERIES = {
     "job_vectors": _job_vectors,
     "multi_factor_score": _multi,
     "candidate_skill_model": _model,
+    "text_vectors": _text_vectors,
+    "match_candidates_text": _text_ranking,
 }
 
 
@@ -135,13 +159,40 @@ FROM scored WHERE score > 0.1
 QUALIFY row_number() OVER (PARTITION BY candidate_name ORDER BY score DESC, job_id) <= 5"""
 
 
+def _terms(name: str, source: str, key: str, text: str) -> str:
+    """Hashed term counts of a text column, weighed by the frequencies over all descriptions, at unit length."""
+    return f"""{name}_terms AS (
+  SELECT {key}, CAST('0x' || substr(md5(w), 1, 8) AS BIGINT) % {tv.DIMENSIONS} AS bucket, count(*) AS n
+  FROM (SELECT {key}, unnest(regexp_extract_all(lower(coalesce({text}, '')), '[\\p{{L}}\\p{{N}}_]+')) AS w FROM {source}) GROUP BY ALL)"""
+
+
+_UNIT = """{name} AS (
+  SELECT {key}, bucket, raw / sqrt(sum(raw * raw) OVER (PARTITION BY {key})) AS weight
+  FROM (SELECT {key}, bucket, n * idf AS raw FROM {terms} JOIN frequency USING (bucket) WHERE idf > 0))"""
+_TERMS = f"""{_terms("job", "jobs", "job_id", "description")},
+frequency AS (SELECT bucket, ln(((SELECT count(*) FROM jobs) + 1.0::DOUBLE) / (count(*) + 1)) AS idf FROM job_terms GROUP BY bucket),
+{_UNIT.format(name="weighed", key="job_id", terms="job_terms")}"""
+_TEXT_PAIRS = f"""{_terms("asked", "candidates", "name", "array_to_string(skills, ' ') || ' ' || experience || ' ' || coalesce(interests, '')")},
+{_UNIT.format(name="asked", key="name", terms="asked_terms")},
+cosines AS (SELECT name, job_id, sum(a.weight * w.weight) AS cosine FROM asked a JOIN weighed w USING (bucket) GROUP BY 1, 2),
+pairs AS (
+  SELECT c.name AS candidate_name, c.location AS candidate_location, j.job_id, j.title, j.company, j.location, j.source,
+         list_filter(c.skills, lambda s: contains(lower(coalesce(j.description, '')), s)) AS matched, len(c.skills) AS n_skills,
+         (coalesce(cosine, 0) + 1) / 2 AS semantic
+  FROM candidates c CROSS JOIN jobs j LEFT JOIN cosines ON cosines.name = c.name AND cosines.job_id = j.job_id),
+rated AS (SELECT *, CAST(len(matched) AS DOUBLE) / n_skills AS ratio FROM pairs)"""
+
+
 def _model_sql() -> str:
     from vacantia.catalogue.star_queries import on_star
 
-    return on_star("""+ owned AS (SELECT DISTINCT company_id, skill_name FROM fact_job_skills js
-  JOIN fact_jobs j ON js.job_id = j.job_id JOIN dim_skills s ON js.skill_id = s.skill_id)
+    return on_star("""+ owned AS (SELECT company_id, skill_name, max(years) AS years, max(level) FILTER (WHERE years = most) AS level FROM (
+  SELECT company_id, skill_name, position_in_description AS years, max(position_in_description) OVER (PARTITION BY company_id, skill_name) AS most,
+    CASE WHEN confidence_score >= 7 THEN 'expert' WHEN confidence_score >= 3 THEN 'regular' END AS level FROM fact_job_skills js
+  JOIN fact_jobs j ON js.job_id = j.job_id JOIN dim_skills s ON js.skill_id = s.skill_id) GROUP BY 1, 2)
 SELECT c.company_id AS candidate_id, c.company_name AS name,
   coalesce(string_agg(skill_name, ', ' ORDER BY skill_name), '') AS skills,
+  coalesce(string_agg(skill_name || ': ' || coalesce(level, 'none') || ', ' || years || ' years', '; ' ORDER BY skill_name), '') AS skill_levels,
   lower(c.industry) || ' ' || length(c.company_name) || ' years' AS experience
 FROM dim_companies c LEFT JOIN owned o ON c.company_id = o.company_id GROUP BY ALL""")
 
@@ -170,4 +221,6 @@ SELECT candidate_name, job_id, round(score, 6) AS match_score, round(semantic, 6
 FROM scored WHERE score >= 0.5
 QUALIFY row_number() OVER (PARTITION BY candidate_name ORDER BY score DESC, job_id) <= 10""",
     "candidate_skill_model": _model_sql(),
+    "text_vectors": f"""{_RANK}, {_TERMS} SELECT job_id, bucket, round(weight, 9) AS weight FROM jobs LEFT JOIN weighed USING (job_id)""",
+    "match_candidates_text": _CAND.replace(_PAIRS, f"""{_TERMS}, {_TEXT_PAIRS}"""),
 }

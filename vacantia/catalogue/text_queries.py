@@ -67,7 +67,7 @@ def _lexical_joined(spark, sf_dir):
     texts = raw_jobs(spark, sf_dir).filter(~tx.blank(F.col("description"))).select(
         "job_id", F.lower("description").alias("low")
     )
-    return sk._match_by_join(texts, sk.lexicon_rows(WORDS))
+    return sk._match_by_join(texts, sk.lexicon_rows(WORDS), sk.lexicon_words(WORDS))
 
 
 def _sentences(spark, sf_dir):

@@ -125,3 +125,21 @@ def head_token(alias: str) -> str | None:
     """Leading whole word of an alias; None if the alias need not start with one token."""
     found = _WHOLE.match(alias)
     return found.group(1).lower() if found else None
+
+
+_SEPARATOR = re.compile(r"\\s\+|[ \-/#]")
+
+
+def whole_tokens(alias: str, right_boundary: bool = True) -> list[str]:
+    """Words that every text with the alias has as whole tokens; at least the leading one where there is one.
+
+    Without a boundary behind the alias its last word may go on in the text and is left out.
+    """
+    head = head_token(alias)
+    body = re.sub(r"^(?:\\b)+|(?:\\b)+$", "", alias)
+    words = _SEPARATOR.split(body)
+    if head is None or not all(re.fullmatch(r"\w+", w) for w in words):
+        return [head] if head else []
+    closed = right_boundary or alias.endswith(r"\b")
+    return [w.lower() for w in (words if closed else words[:-1])] or [head]
+

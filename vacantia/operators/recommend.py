@@ -285,16 +285,30 @@ def multi_factor_score(
     )
 
 
-def candidates_from_model(profiles: DataFrame, skills: DataFrame, dim_skills: DataFrame) -> DataFrame:
-    """Candidate and candidate-skill tables folded to one row per candidate."""
+def candidate_levels(skills: DataFrame, dim_skills: DataFrame) -> DataFrame:
+    """One row per candidate and skill name: the most years, and the level held with them."""
     names = skills.join(dim_skills.select("skill_id", "skill_name"), "skill_id")
-    listed = names.groupBy("candidate_id").agg(
-        F.array_sort(F.collect_set("skill_name")).alias("skills")
-    )
+    most = F.max(F.struct(F.coalesce("years_of_experience", F.lit(-1)).alias("years"), F.col("proficiency_level").alias("level")))
+    return names.groupBy("candidate_id", "skill_name").agg(most.alias("_most")).select(
+        "candidate_id", "skill_name", F.col("_most.level").alias("proficiency_level"),
+        F.when(F.col("_most.years") >= 0, F.col("_most.years")).alias("years_of_experience"))
+
+
+def candidates_from_model(profiles: DataFrame, skills: DataFrame, dim_skills: DataFrame) -> DataFrame:
+    """Candidate and candidate-skill tables folded to one row per candidate.
+
+    ``skills`` are the names, ``skill_levels`` the same with level and years (null where the table has none).
+    """
+    for column, kind in (("proficiency_level", "string"), ("years_of_experience", "int")):
+        if column not in skills.columns:
+            skills = skills.withColumn(column, F.lit(None).cast(kind))
+    entry = F.struct("skill_name", F.col("proficiency_level").alias("level"), F.col("years_of_experience").alias("years"))
+    listed = candidate_levels(skills, dim_skills).groupBy("candidate_id").agg(F.array_sort(F.collect_list(entry)).alias("skill_levels"))
     return profiles.join(
         listed, profiles["id"] == listed["candidate_id"], "left"
     ).select(
         profiles["id"].alias("candidate_id"), F.col("candidate_name").alias("name"),
-        F.coalesce("skills", F.array().cast("array<string>")).alias("skills"),
+        F.coalesce(F.col("skill_levels.skill_name"), F.array().cast("array<string>")).alias("skills"),
         F.concat_ws(" ", F.col("target_job_title"), F.format_string("%d years", "years_experience")).alias("experience"),
+        F.coalesce("skill_levels", F.array().cast(listed.schema["skill_levels"].dataType)).alias("skill_levels"),
     )

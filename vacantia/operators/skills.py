@@ -10,6 +10,7 @@ from vacantia.functions import lexicon as lx
 from vacantia.functions import text as tx
 from vacantia.operators.rows import value_counts
 from vacantia.operators.vectors import over_blocks, unit_rows
+from vacantia.session import stage
 
 # Up to this many skills the lexicon is a literal inside the row expression; the answer is the same on both ways.
 INLINE_SKILLS = 500
@@ -32,6 +33,11 @@ def lexicon_rows(
     ]
 
 
+def lexicon_words(skills: dict[str, list[str]], right_boundary: bool = True) -> list[list[str]]:
+    """The whole words of every alias, in the order of :func:`lexicon_rows`."""
+    return [lx.whole_tokens(alias, right_boundary) for aliases in skills.values() for alias in aliases]
+
+
 def _lowered(c: Column) -> Column:
     # The two letters are equal to "s" and "i" when case is ignored.
     return F.translate(F.lower(c), "ſı", "si")
@@ -56,7 +62,7 @@ def match_lexicon(
     Every alias begins with a known token, so a text's tokens are intersected with those
     heads first and patterns are tried only for the few skills that remain.  All of it
     happens inside the row: no join and no shuffle.  A lexicon too large for a literal is
-    joined on the head token instead.
+    joined on the rarest word of each alias instead.
     """
     skills = lx.SKILLS if skills is None else skills
     rows = lexicon_rows(skills, right_boundary)
@@ -65,7 +71,7 @@ def match_lexicon(
     )
     heads = sorted({head for _, _, head, _ in rows if head})
     if len(skills) > INLINE_SKILLS:
-        return _match_by_join(texts, rows)
+        return _match_by_join(texts, rows, lexicon_words(skills, right_boundary))
 
     by_skill: dict[str, list[tuple[str, str]]] = {}
     for skill, _, head, pattern in rows:
@@ -103,16 +109,33 @@ def match_lexicon(
     ).filter(F.col("position").isNotNull())
 
 
-def _match_by_join(texts: DataFrame, rows: list[tuple[str, int, str, str]]) -> DataFrame:
-    """The same for a large lexicon: only heads that occur in a text are exploded and joined."""
-    lexicon = texts.sparkSession.createDataFrame(
-        rows, "skill string, alias_no int, head string, pattern string"
-    )
-    heads = lexicon.agg(F.collect_set("head").alias("heads")).scalar()
-    found = F.array_intersect(heads, F.array_append(_tokens(F.col("low")), F.lit("")))
+def rarest_anchors(texts: DataFrame, rows: list[tuple[str, int, str, str]], words: list[list[str]]) -> DataFrame:
+    """``(skill, alias_no, anchor, pattern)``: of the whole words of an alias the one in the fewest texts."""
+    spark = texts.sparkSession
+    lexicon = spark.createDataFrame(
+        [(*row, own or [""]) for row, own in zip(rows, words)], "skill string, alias_no int, head string, pattern string, words array<string>")
+    spread = lexicon.select("skill", "alias_no", "pattern", F.explode("words").alias("word"))
+    known = lexicon.agg(F.array_distinct(F.flatten(F.collect_list("words"))).alias("words")).scalar()
+    seen = texts.select(F.explode(F.array_intersect(known, _tokens(F.col("low")))).alias("word"))
+    counts = seen.groupBy("word").agg(F.count("*").alias("n"))
+    rank = F.struct(F.coalesce("n", F.lit(0).cast("long")).alias("n"), "word")
+    return spread.join(counts, "word", "left").groupBy("skill", "alias_no", "pattern").agg(F.min(rank)["word"].alias("anchor"))
+
+
+def _match_by_join(
+    texts: DataFrame, rows: list[tuple[str, int, str, str]], words: list[list[str]] | None = None,
+) -> DataFrame:
+    """The same for a large lexicon: aliases are joined on a word that a text must have.
+
+    That is the rarest of their ``words`` over all texts (their heads where none are given), so aliases that share a
+    common first word do not meet every text with it.
+    """
+    lexicon = stage(rarest_anchors(texts, rows, words or [[head] for _, _, head, _ in rows]), "anchors")
+    anchors = lexicon.agg(F.collect_set("anchor").alias("anchors")).scalar()
+    found = F.array_intersect(anchors, F.array_append(_tokens(F.col("low")), F.lit("")))
     # Per posting, not per id: ids may be repeated or missing.
     numbered = texts.withColumn("posting", F.monotonically_increasing_id())
-    tried = numbered.withColumn("head", F.explode(found)).join(lexicon, "head")
+    tried = numbered.withColumn("anchor", F.explode(found)).join(lexicon, "anchor")
     placed = tried.select(
         "posting", "job_id", "skill", "alias_no", _found_at(F.col("low"), F.col("pattern")).alias("position")
     )

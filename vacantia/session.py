@@ -37,11 +37,15 @@ def build_session(
     }
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Send this package to the executors, for sessions where it is on the driver's path only."""
+    """Send this package to the executors, once a session: it may be on the driver's path only."""
+    if any(os.path.basename(f) == "vacantia.zip" for f in spark.sparkContext.listFiles):
+        return
     root = os.path.dirname(os.path.abspath(__file__))
     archive = shutil.make_archive(
         os.path.join(tempfile.mkdtemp(prefix="vacantia-ship-"), "vacantia"), "zip", os.path.dirname(root), os.path.basename(root))

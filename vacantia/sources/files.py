@@ -6,6 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from vacantia import schemas
+from vacantia.session import stage
 
 # Texts that count as missing in a CSV field (fixed values).
 NULL_WORDS = [
@@ -42,6 +43,53 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, must_exist: b
         return spark.createDataFrame([], schema)
 
 
+_QUOTED = r'"(?:[^"]|"")*"'
+
+
+def read_csv_checked(
+    spark: SparkSession, path: str, schema: T.StructType, header: bool = True,
+) -> tuple[DataFrame, DataFrame]:
+    """Rows that fit ``schema``, and the others as ``(file, reason, n_lines, record)``; no line is lost.
+
+    ``reason`` is "short" or "long" (number of fields), "type" (a field does not fit its type) or "unclosed" (a quote is
+    not closed, so the record runs to the end of its file).  A last text field that ends with a line break counts as
+    unclosed.  Files are parsed once, into a written table that both results read.
+    """
+    declared = T.StructType([*schema.fields, T.StructField("_record", T.StringType())])
+    parsed = (
+        spark.read.schema(declared).option("header", header).option("multiLine", True).option("quote", '"').option("escape", '"')
+        .option("encoding", "UTF-8").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_record").csv(path)
+    ).withColumn("_file", F.col("_metadata.file_name"))
+    last = schema.fields[-1]
+    if isinstance(last.dataType, T.StringType):
+        runs_on = F.col("_record").isNull() & F.endswith(F.col(last.name), F.lit("\n"))
+        fields = [F.coalesce(F.col(f.name).cast("string"), F.lit("")) for f in schema.fields]
+        parsed = parsed.withColumn("_record", F.when(runs_on, F.concat(F.concat_ws(",", *fields[:-1]), F.lit(',"'), fields[-1])).otherwise(F.col("_record")))
+    parsed = stage(parsed, "parsed")
+    record = F.col("_record")
+    bare = F.regexp_replace(record, _QUOTED, "")
+    count = F.size(F.split(bare, ",", -1))
+    reason = (
+        F.when(F.contains(bare, F.lit('"')), "unclosed").when(count < len(schema.fields), "short")
+        .when(count > len(schema.fields), "long").otherwise("type")
+    )
+    whole = F.regexp_replace(record, r"\n+$", "")
+    lines = F.length(whole) - F.length(F.replace(whole, F.lit("\n"), F.lit(""))) + 1
+    good = parsed.filter(record.isNull()).drop("_record", "_file")
+    bad = parsed.filter(record.isNotNull()).select(
+        F.col("_file").alias("file"), reason.alias("reason"), lines.alias("n_lines"), whole.alias("record"))
+    return _nulled(good), bad
+
+
+def read_raw_jobs_checked(
+    spark: SparkSession, with_date: str, without_date: str,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """:func:`read_raw_jobs` without the rows that do not fit, and those rows of both files."""
+    one, bad = read_csv_checked(spark, with_date, schemas.RAW_JOBS)
+    two, worse = read_csv_checked(spark, without_date, schemas.RAW_JOBS_WITHOUT_DATE)
+    return one, two, bad.unionByName(worse)
+
+
 def write_csv(df: DataFrame, path: str) -> str:
     """Header, no index, UTF-8; one file per partition."""
     (
