@@ -9,6 +9,7 @@ executor's attempt leaves nothing behind.
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from collections.abc import Iterator
@@ -16,6 +17,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
@@ -25,16 +27,43 @@ from vacantia.llm.dart import B_steps as steps
 from vacantia.session import stage
 
 CHUNK_IDS = 1 << 16
-CACHE_WORDS = 1 << 19
-CACHE_CHARS = 1 << 24
+CACHE_WORDS = 1 << 18
+CACHE_CHARS = 1 << 23
 END_ID = 1
+JOINED = 256  # pieces of one call of the library
+PLAIN = "\u0130"  # below it characters are composed and their small letters are single and undisputed
+
+
+def piece_pattern(path: str) -> regex.Pattern | None:
+    """The pattern by which a tokenizer file cuts texts into pieces that are encoded one by one; None for files of other kinds.
+
+    Known are files that compose, lower and merge spaces, keep the matches of one pattern that never holds a
+    space, map bytes, and mark the last token of a piece.
+    """
+    with open(path, encoding="utf-8") as file:
+        kind = json.load(file)
+    steps_ = (kind.get("normalizer") or {}).get("normalizers") or []
+    cuts = (kind.get("pre_tokenizer") or {}).get("pretokenizers") or []
+    normal = [s.get("type") for s in steps_] == ["NFC", "Replace", "Lowercase"] and steps_[1].get("content") == " "
+    if not (kind.get("model") or {}).get("end_of_word_suffix"):
+        return None
+    if not normal or [c.get("type") for c in cuts] != ["Split", "ByteLevel"]:
+        return None
+    split, bytes_ = cuts
+    kept = split.get("behavior") == "Removed" and split.get("invert") is True
+    pattern = split.get("pattern", {}).get("Regex")
+    if not kept or bytes_.get("add_prefix_space") or bytes_.get("use_regex") or not pattern:
+        return None
+    spaceless = not regex.search(pattern, " ") and " " not in "".join(regex.findall(pattern, "a b 1 2 . , 's  'd"))
+    return regex.compile(pattern) if spaceless else None
 
 
 class Encoder:
-    """Encodes texts word by word: no token of this kind of tokenizer crosses a space.
+    """Encodes texts word by word and words piece by piece, where the tokenizer file cuts at spaces; else whole texts.
 
-    Ids of words are kept and looked up again; the store is emptied when it grows beyond
-    ``CACHE_WORDS`` words or ``CACHE_CHARS`` characters, which changes no result.
+    Ids of words and of pieces are kept and looked up again.  A new word of plain letters and marks is put together from
+    its pieces; the library sees new pieces and unusual words only.  A store that is full forgets all but the words seen
+    most, which changes no result.
     """
 
     class _Numbers(dict):
@@ -48,6 +77,13 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.pattern = piece_pattern(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values(), default=0) + 1, bool)  # tokens that end a piece
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        for token, number in vocabulary.items():
+            self.last[number] = bool(suffix) and token.endswith(suffix)
+        self.pieces: dict[str, list[int]] = {}
         self._clear()
 
     def _clear(self) -> None:
@@ -55,11 +91,66 @@ class Encoder:
         self.number.fresh = []
         self.first, self.many = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.uint32)
+        self.seen = np.zeros(0, np.int64)
+
+    def _forget(self) -> None:
+        """Empty the store but for the words that were seen most, at most half of what it holds."""
+        words = list(self.number)
+        often = np.flatnonzero(self.seen > 1)
+        keep = np.sort(often[np.argsort(-self.seen[often], kind="stable")[: CACHE_WORDS // 2]])
+        if sum(len(words[i]) for i in keep.tolist()) > CACHE_CHARS // 2:
+            keep = keep[:0]
+        first, many, flat, seen = self.first[keep], self.many[keep], self.flat, self.seen[keep]
+        self._clear()
+        self.number.update((words[i], n) for n, i in enumerate(keep.tolist()))
+        self.chars = sum(map(len, self.number))
+        self.flat = flat[np.repeat(first, many) + steps(many)]
+        self.first, self.many, self.seen = np.cumsum(many) - many, many, seen // 2
+
+    def _library(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, new: list[str]) -> None:
+        """Ids of new pieces, many at a time: joined by spaces each stays a piece of its own."""
+        runs = [new[i : i + JOINED] for i in range(0, len(new), JOINED)]
+        for run, e in zip(runs, self.tokenizer.encode_batch_fast([" ".join(r) for r in runs], add_special_tokens=False)):
+            ids = e.ids
+            cut = [0, *(np.flatnonzero(self.last[ids]) + 1).tolist()] if ids else [0]
+            if len(cut) != len(run) + 1:
+                raise ValueError("the tokenizer does not end every piece with its mark")
+            self.pieces.update((piece, ids[a:b]) for piece, a, b in zip(run, cut, cut[1:]))
+
+    def _ids_of(self, words: list[str]) -> list[list[int]]:
+        """Ids of every new word."""
+        cut, odd, new = [None] * len(words), [], {}
+        find, pieces = self.pattern.findall, self.pieces
+        for i, word in enumerate(words):
+            if word and word.isprintable() and max(word) < PLAIN and "<|" not in word:
+                cut[i] = own = find(word.lower())
+                for piece in own:
+                    if piece not in pieces:
+                        new[piece] = None
+            else:
+                odd.append(i)
+        self._learn(list(new))
+        out = [
+            None if own is None else pieces[own[0]] if len(own) == 1 else [x for p in own for x in pieces[p]] for own in cut]
+        for i, ids in zip(odd, self._library([words[i] for i in odd])):
+            out[i] = ids
+        if len(pieces) > CACHE_WORDS:
+            pieces.clear()
+        return out
 
     def encode(self, texts: list[str | None], end_id: int | None = END_ID) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, and how many each text has; null counts as empty."""
+        if self.pattern is None:
+            ids_ = self._library([t or "" for t in texts])
+            many = np.fromiter(map(len, ids_), np.int64, len(ids_))
+            ids = np.fromiter((x for e in ids_ for x in e), np.uint32, int(many.sum()))
+            cut = np.concatenate([[0], np.cumsum(many)])
+            return (ids, many) if end_id is None else (np.insert(ids, cut[1:], end_id), many + 1)
         if len(self.number) > CACHE_WORDS or self.chars > CACHE_CHARS:
-            self._clear()
+            self._forget()
         found, words = [], np.zeros(len(texts), np.int64)
         look = self.number.__getitem__
         for i, text in enumerate(texts):
@@ -69,7 +160,7 @@ class Encoder:
                 found.extend(map(look, own))
         fresh = self.number.fresh
         if fresh:
-            ids = [e.ids for e in self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)]
+            ids = self._ids_of(fresh)
             many = np.fromiter(map(len, ids), np.int64, len(ids))
             flat = np.fromiter((x for e in ids for x in e), np.uint32, int(many.sum()))
             self.first = np.concatenate([self.first, len(self.flat) + np.cumsum(many) - many])
@@ -77,6 +168,7 @@ class Encoder:
             self.chars += sum(map(len, fresh))
             fresh.clear()
         found = np.array(found, np.int64)
+        self.seen = np.bincount(found, minlength=len(self.number)) + np.pad(self.seen, (0, len(self.number) - len(self.seen)))
         many = self.many[found]
         ids = self.flat[np.repeat(self.first[found], many) + steps(many)]
         cut = np.concatenate([[0], np.cumsum(many)])[np.concatenate([[0], np.cumsum(words)])]
@@ -186,7 +278,8 @@ def write_planes(
     spark = docs.sparkSession
     rows = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("string").alias("text"))
     parts = B.block_count(docs, F.col(text_column).cast("string"))
-    chunks = rows.repartitionByRange(parts, "id").sortWithinPartitions("id", "text")
+    # A hot id (or null) is spread over partitions by its texts; rows of one id and text are equal.
+    chunks = rows.repartitionByRange(parts, "id", "text").sortWithinPartitions("id", "text")
     chunks.mapInArrow(_write(tokenizer, end_id, chunk_ids, kind), _CHUNK_SQL).write.option(
         "compression", "none").parquet(f"{path}/chunks")
     index = spark.read.schema(_CHUNK_SQL).parquet(f"{path}/chunks").select("part", "chunk", "first", "n_ids", "docs")
