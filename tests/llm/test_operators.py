@@ -277,20 +277,92 @@ def test_host_rules_against_brute_force(docs, empty):
         lines = [x for x in t.split("\n") if WORD.search(x)]
         bad = len(w) < 50 or 100 * len(again) > 50 * len(w)
         want.append((k, len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t)), len(lines) - len(set(lines)), len(again), bad))
-    out = hosts.judge_hosts(docs, max_rate=1.0)
+    out = hosts.judge_hosts(docs)
     names = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
     assert collected(out, *names) == sorted(want, key=repr)
     assert out.filter("kept = base_failed").count() == 0
-    assert hosts.judge_hosts(docs, max_rate=0.0).filter("kept AND host_rate IS NOT NULL").count() == 0
     assert hosts.judge_hosts(empty).collect() == []
 
 
+def planted_hosts(spark):
+    """Good hosts, one with many texts of few words, one full of symbols, a tiny bad one, and rows without a host."""
+    rows, clean = [], prose(1, 60)
+    for h in range(12):
+        rows += [(f"good{h}", prose(h * 100 + i, 60) if i % 10 else "few words") for i in range(60)]
+    rows += [("short", prose(5000 + i, 60) if i % 3 == 0 else "few words") for i in range(90)]
+    rows += [("marks", prose(6000 + i, 60) + " #" * (20 if i % 4 else 0)) for i in range(80)]
+    rows += [("tiny", "few words"), ("tiny", clean), (None, clean), (None, "few"), (None, None)]
+    return spark.createDataFrame([(i, t, h) for i, (h, t) in enumerate(rows)], "doc_id long, text string, source string").repartition(3), rows
+
+
+def test_host_verdict_against_brute_force(spark):
+    table, rows = planted_hosts(spark)
+    rules = {
+        "words": lambda t, w: len(w) < 50, "symbols": lambda t, w: 10 * len(re.findall(r"[#*$%&|<>]", t)) > len(w), "repeats": lambda t, w: False,
+        "lines": lambda t, w: False}
+    want = {}
+    for name, rule in rules.items():
+        of: dict = {}
+        for h, t in rows:
+            if h is not None:
+                of.setdefault(h, []).append(rule(t or "", WORD.findall(t or "")))
+        rate = np.array([np.mean(v) for v in of.values()])
+        docs = np.array([len(v) for v in of.values()])
+        failed = np.array([sum(v) for v in of.values()])
+        mean, total = failed.sum() / docs.sum(), docs.sum()
+        noise = mean * (1 - mean)
+        between = rate.var(ddof=1) - noise * (1 / docs).mean()
+        weight = noise / between - 1 if noise > between > 0 else total
+        post = (failed + mean * weight) / (docs + weight)
+        low = post - hosts.CERTAIN * np.sqrt(post * (1 - post) / (docs + weight + 1))
+        for h, x in zip(of, low):
+            want.setdefault(h, set()).update({name} if x > mean + hosts.MARGIN else set())
+    assert want["short"] == {"words"} and want["marks"] == {"symbols"} and want["tiny"] == set()
+    out = hosts.judge_hosts(table).collect()
+    assert len(out) == len(rows)
+    for r in out:
+        h, t = rows[r["doc_id"]]
+        assert set(r["host_rules"]) == want.get(h, set()), h
+        assert r["kept"] == (not r["base_failed"] and not want.get(h))
+    kept = {rows[r["doc_id"]][0] for r in out if r["kept"]}
+    assert "tiny" in kept and None in kept and "short" not in kept and "good3" in kept
+
+
 def test_host_prior_shrinks_small_hosts(spark):
     rows = [("big", i < 100) for i in range(1000)] + [("odd", i < 450) for i in range(500)] + [("tiny", True)]
-    rate = {r["host"]: r["rate"] for r in hosts.host_rates(spark.createDataFrame(rows, "host string, base_failed boolean")).collect()}
+    df = spark.createDataFrame(rows, "host string, bad boolean")
+    rate = {r["host"]: r["rate_x"] for r in hosts.host_rates(df, rules={"x": "bad"}).collect()}
     assert abs(rate["big"] - 0.1) < 0.02 and rate["odd"] > 0.85 and 0.3 < rate["tiny"] < 1
 
 
+def test_one_id_on_many_rows_sends_one_text_to_the_fit(spark, monkeypatch):
+    rows = [(5, prose(i, 30)) for i in range(3000)] + [(i, prose(i, 30)) for i in range(100, 200)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(100, 200)] + [(5, 1)], "doc_id long, toxic int")
+    seen = []
+    monkeypatch.setattr(nnpu, "fit", lambda p, u, prior: seen.append((len(p), len(u))) or (np.zeros(0, np.uint64), np.zeros(0), 0.0))
+    nnpu.train(table, marks)
+    assert seen[0][0] <= 35 and seen[0][1] <= 101
+
+
+def test_words_of_a_long_text_are_bounded_in_the_fit(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(nnpu, "MAX_WORDS", 7)
+    letters = lambda i: "".join(chr(97 + int(d)) for d in str(i))
+    part = pa.record_batch({"positive": pa.array([True, False, False]), "text": pa.array([" ".join(letters(i) for i in range(100)), "a b", ""])})
+    words = [np.frombuffer(v.as_buffer(), np.uint64) for b in nnpu._features(iter([part])) for v in b["words"]]
+    assert [len(w) for w in words] == [7, 2, 0] and all((np.diff(w) > 0).all() for w in words[:1])
+
+
+def test_repeated_rows_keep_one_by_all_columns(spark):
+    text = prose(3, 40)
+    rows = [(1, text, c) for c in ("b", "a", "c")] + [(None, "", c) for c in ("x", "y")] + [(None, None, "z")]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    one, two = ({(r["doc_id"], r["lang"]) for r in dart.keep_one(table.repartition(n)).collect()} for n in (1, 3))
+    assert one == two and len([r for r in one if r[0] == 1]) == 1 and {r for r in one if r[0] is None} == {(None, "x"), (None, "y"), (None, "z")}
+
+
 def test_toxicity_learns_and_keeps_folds(spark, docs, empty):
     rng = np.random.default_rng(0)
     rows, labels = [(None, None), (5000, ""), (5000, "")], [(9999, 1), (None, 1), (1, None)]

@@ -139,7 +139,7 @@ def _digests(t: Texts) -> tuple[np.ndarray, np.ndarray]:
 
 def _describe(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in parts:
-        for t in texts_of(part["text"], 4 << 20):
+        for t in texts_of(part["text"]):
             doc, element, weight, n = shingles(t)
             sign = signatures(doc, element, weight, len(t))
             bands = mix(sign[:, ::ROWS])
@@ -222,11 +222,17 @@ def _crossed(threshold: float):
     return work
 
 
+def _alike_in_size(one: str, two: str, threshold: float) -> Column:
+    """False only where the numbers of words alone keep a pair below the threshold (a text has four shingles less than words)."""
+    low, high = F.least(one, two), F.greatest(one, two)
+    return (low < 5) | (low >= threshold * high)
+
+
 def _by_pairs(member: DataFrame, sets: DataFrame, tested: DataFrame | None, threshold: float) -> DataFrame:
     """(a, b, ok) for all pairs of different classes in small buckets that have not been tested."""
-    mine = member.filter(F.col("n") <= SMALL).select("band", "value", "uid", "root")
-    other = mine.select("band", "value", F.col("uid").alias("b"), F.col("root").alias("to"))
-    pairs = mine.join(other, ["band", "value"]).filter("uid < b AND root <> to").select(F.col("uid").alias("a"), "b").distinct()
+    mine = member.filter(F.col("n") <= SMALL).select("band", "value", "uid", "root", "n_words")
+    other = mine.select("band", "value", F.col("uid").alias("b"), F.col("root").alias("to"), F.col("n_words").alias("m_words"))
+    pairs = mine.join(other, ["band", "value"]).filter("uid < b AND root <> to").filter(_alike_in_size("n_words", "m_words", threshold)).select(F.col("uid").alias("a"), "b").distinct()
     return _tested(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), sets, threshold)
 
 
@@ -285,8 +291,9 @@ def _classes(bucket: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     member = bucket.withColumn("root", F.col("uid"))
     for turn in range(ROUNDS):
         use = member.filter(F.col("n") > BLOCK) if turn else member
-        pivot = _pivots(use, turn).select("band", "value", F.struct("uid", "root").alias("p"))
-        pairs = use.join(pivot, ["band", "value"]).filter("root <> p.root").select(
+        pivot = _pivots(use, turn).select("band", "value", F.struct("uid", "root", "n_words").alias("p"))
+        fits = _alike_in_size("n_words", "p.n_words", threshold)  # before any set is moved
+        pairs = use.join(pivot, ["band", "value"]).filter("root <> p.root").filter(fits).select(
             F.least("p.uid", "uid").alias("a"), F.greatest("p.uid", "uid").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
@@ -381,7 +388,8 @@ def keep_one(
     key, mark = F.col(id_column).cast("long"), print_of(text_column)
     rows = docs.select(*docs.columns, key.alias("dart_key"), mark.alias("dart_mark"))
     met = rows.join(found, F.col("dart_key").eqNullSafe(F.col("dart_id")) & (F.col("dart_mark") == F.col("dart_print")), "left_semi")
-    # Repeated rows agree in both; texts without a word are classes of their own, so all of them stay.
-    turn = F.row_number().over(Window.partitionBy("dart_key", "dart_mark").orderBy(F.lit(0)))
+    # Repeated rows agree in both: the first by a digest of all columns stays.  Texts without a word are classes of their own.
     wordless = F.length(F.translate(F.coalesce(F.col(text_column).cast("string"), F.lit("")), " \t\n\x0b\f\r", "")) == 0
-    return met.withColumn("dart_turn", turn).filter((F.col("dart_turn") == 1) | wordless).select(*docs.columns)
+    turn = F.row_number().over(Window.partitionBy("dart_key", "dart_mark").orderBy(F.xxhash64(*docs.columns), *docs.columns))
+    first = met.filter(~wordless).withColumn("dart_turn", turn).filter("dart_turn = 1").select(*docs.columns)
+    return first.unionByName(docs.filter(wordless))

@@ -1,7 +1,8 @@
 """Quality rules judged per host: DataFrame functions only.
 
-Base rules are computed per text inside its row.  Failures are summed per host, the rates are shrunk
-with a beta prior fitted to all hosts by moments, and the host's verdict is joined back.
+Base counts are computed per text inside its row.  Failures of every rule are summed per host, the rates of
+each rule are shrunk with a beta prior fitted to all hosts by moments, and a host is rejected when its rate
+lies above the common one by more than a margin with high posterior probability.  The verdict is joined back.
 """
 
 from __future__ import annotations
@@ -14,7 +15,13 @@ SPACE = "[\\x20\\x09-\\x0D]+"
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-MAX_HOST_RATE = 0.5
+# A host is rejected when the posterior of a rate lies above common rate + MARGIN by more than CERTAIN standard deviations.
+MARGIN = 0.2
+CERTAIN = 3.0
+RULES = {
+    "words": "n_words < 50", "repeats": "100 * n_repeat_words > 50 * n_words", "symbols": "10 * n_symbols > n_words",
+    "lines": "20 * n_dup_lines > n_words",
+}
 
 
 def words(text: Column) -> Column:
@@ -70,44 +77,56 @@ def base_rules(docs: DataFrame, text: Column, keep: list[Column]) -> DataFrame:
     )
 
 
-def host_rates(judged: DataFrame, host: str = "host") -> DataFrame:
-    """Documents, failures and shrunk failure rate of every host.
+def host_rates(judged: DataFrame, host: str = "host", rules: dict[str, str] = RULES) -> DataFrame:
+    """Documents of every host and, per rule, ``failed``, shrunk ``rate``, the spread of its posterior and the ``common`` rate.
 
-    The beta prior is fitted by the moments of the hosts' rates; if these do not vary more than
+    The beta prior of a rule is fitted by the moments of the hosts' rates; if these do not vary more than
     chance explains (or there is one host only) the prior weighs as much as all documents together, so
     every host gets the common rate.
     """
-    hosts = judged.groupBy(host).agg(F.count("*").alias("docs"), F.sum(F.col("base_failed").cast("long")).alias("failed"))
-    rate = F.col("failed") / F.col("docs")
-    mean, total, spread, inverse = hosts.agg(
-        F.sum("failed") / F.sum("docs"), F.sum("docs"), F.var_samp(rate), F.avg(1 / F.col("docs")),
-    ).first()
-    noise = (mean or 0.0) * (1 - (mean or 0.0))
-    between = (spread or 0.0) - noise * (inverse or 0.0)
-    weight = noise / between - 1 if noise > between > 0 else float(total or 1)
-    return hosts.select(
-        host, "docs", "failed",
-        ((F.col("failed") + F.lit((mean or 0.0) * weight)) / (F.col("docs") + F.lit(weight))).alias("rate"),
-    )
+    hosts = judged.groupBy(host).agg(
+        F.count("*").alias("docs"), *[F.count_if(F.expr(rule)).alias(f"failed_{name}") for name, rule in rules.items()])
+    wanted = [F.sum("docs"), F.avg(1 / F.col("docs"))]
+    for name in rules:
+        failed = F.col(f"failed_{name}")
+        wanted += [F.sum(failed) / F.sum("docs"), F.var_samp(failed / F.col("docs"))]
+    total, inverse, *moments = hosts.agg(*wanted).first()
+    columns = []
+    for i, name in enumerate(rules):
+        mean, spread = (v or 0.0 for v in moments[2 * i : 2 * i + 2])
+        noise = mean * (1 - mean)
+        between = spread - noise * (inverse or 0.0)
+        weight = noise / between - 1 if noise > between > 0 else float(total or 1)
+        rate = (F.col(f"failed_{name}") + F.lit(mean * weight)) / (F.col("docs") + F.lit(weight))
+        columns += [
+            F.col(f"failed_{name}"), rate.alias(f"rate_{name}"),
+            F.sqrt(rate * (1 - rate) / (F.col("docs") + F.lit(weight + 1))).alias(f"spread_{name}"), F.lit(mean).alias(f"common_{name}"),
+        ]
+    return hosts.select(host, "docs", *columns)
 
 
 def judge_hosts(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", host_column: str = "source",
-    max_rate: float = MAX_HOST_RATE, carry: tuple[str, ...] = (),
+    margin: float = MARGIN, certain: float = CERTAIN, carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Every row of ``docs`` with the base counts, ``base_failed``, ``host_rate`` and ``kept``.
+    """Every row of ``docs`` with the base counts, ``base_failed``, ``host_rules`` and ``kept``.
 
-    A document is kept if it passes the base rules and its host's shrunk failure rate is at most
-    ``max_rate``.  Null text has no words and fails.  Documents without a host are judged by the base rules
-    alone and count for no host.  Repeated rows count each.  An empty table gives an empty result.
+    ``host_rules`` are the rules for which the document's host is rejected: few words, repeated words, symbols, repeated
+    lines.  A document is kept if it passes the base rules and its host is rejected for none.  A small host is pulled to the common rate and
+    has a wide posterior, so it is not rejected for a few documents.  Null text has no words and fails.  Documents without a
+    host are judged by the base rules alone and count for no host.  Repeated rows count each.  An empty table gives an empty result.
     """
     keep = [F.col(id_column).alias("id"), F.col(host_column).cast("string").alias("host")]
     keep += [F.col(c).alias(f"carry_{i}") for i, c in enumerate(carry)]
     judged = stage(base_rules(docs, F.col(text_column), keep), "judged")
     rates = host_rates(judged.filter("host IS NOT NULL"))
-    out = judged.join(rates.select("host", F.col("rate").alias("host_rate")), "host", "left")
+    over = lambda r: F.col(f"rate_{r}") - certain * F.col(f"spread_{r}") > F.col(f"common_{r}") + margin
+    rejected = F.filter(F.array(*[F.when(over(r), F.lit(r)) for r in RULES]), lambda r: r.isNotNull())
+    out = judged.join(rates.select("host", rejected.alias("host_rules")), "host", "left")
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+    none = F.array().cast("array<string>")
     return out.select(
-        F.col("id").alias(id_column), *[F.col(f"carry_{i}").alias(c) for i, c in enumerate(carry)], *counts, "host_rate",
-        (~F.col("base_failed") & (F.coalesce("host_rate", F.lit(0.0)) <= max_rate)).alias("kept"),
+        F.col("id").alias(id_column), *[F.col(f"carry_{i}").alias(c) for i, c in enumerate(carry)], *counts,
+        F.coalesce("host_rules", none).alias("host_rules"),
+        (~F.col("base_failed") & (F.size(F.coalesce("host_rules", none)) == 0)).alias("kept"),
     )

@@ -7,7 +7,7 @@ numpy on the class-prior-corrected risk
     prior * E_P[loss(+)] + max(0, E_U[loss(-)] - prior * E_P[loss(-)])
 
 so that toxic texts among the unlabelled ones aren't held against the model.  Only the fit uses a
-bounded sample (``MAX_POSITIVE``, ``MAX_UNLABELLED`` texts); the prior comes from all usable labels and every text is scored whole.
+bounded sample (``MAX_POSITIVE``, ``MAX_UNLABELLED`` texts of ``MAX_WORDS`` words); the prior comes from all usable labels and every text is scored whole.
 """
 
 from __future__ import annotations
@@ -18,9 +18,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from vacantia.llm.rolling import BASE, CODES, prefix, spans, texts_of
+from vacantia.llm.rolling import BASE, CODES, mix, prefix, spans, texts_of
+from vacantia.operators.rows import keep_first
 
 MAX_POSITIVE, MAX_UNLABELLED = 6_000, 18_000
+MAX_WORDS = 1024  # distinct words of a text that the fit sees, chosen by their hashes
 THRESHOLD = 0.3
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -50,6 +52,10 @@ def _features(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in parts:
         for t in texts_of(part["text"]):
             doc, word = words_of(t)
+            order = np.lexsort((mix(word), doc))
+            first = np.searchsorted(doc, doc)
+            use = np.sort(order[np.arange(len(doc)) - first < MAX_WORDS])
+            doc, word = doc[use], word[use]
             raw, cut = word.tobytes(), 8 * np.searchsorted(doc, np.arange(len(t) + 1))
             yield pa.record_batch({
                 "positive": part["positive"].slice(t.first, len(t)),
@@ -129,6 +135,7 @@ def train(
 ) -> tuple[np.ndarray, np.ndarray, float]:
     """The model from rows outside the held-out fold.
 
+    One text of each id is used (the first by a digest of the text), with at most ``MAX_WORDS`` of its words.
     Positives are texts labelled 1, at most ``MAX_POSITIVE`` of them, chosen by a hash of the id; the
     unlabelled ones are drawn from all texts of the training folds, at most ``MAX_UNLABELLED``, so that they hold
     toxic texts in proportion to the prior, as the risk assumes.
@@ -144,7 +151,8 @@ def train(
     u = ids.orderBy(F.xxhash64("id", F.lit(1)), "id").limit(MAX_UNLABELLED).select("id", F.lit(False).alias("positive"))
     chosen = p.union(u)  # bounded by the two limits above
     texts = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("string").cast("binary").alias("text"))
-    sample = texts.join(F.broadcast(chosen), "id").select("positive", "text").mapInArrow(_features, "positive boolean, words binary").toArrow()
+    one = keep_first(texts.join(F.broadcast(chosen), "id"), ["id", "positive"], [F.xxhash64("text"), F.col("text")])
+    sample = one.select("positive", "text").mapInArrow(_features, "positive boolean, words binary").toArrow()
     positive = sample["positive"].to_numpy()
     words = [np.frombuffer(v.as_buffer(), np.uint64) for v in sample["words"]]
     return fit([w for w, k in zip(words, positive) if k], [w for w, k in zip(words, positive) if not k], prior)

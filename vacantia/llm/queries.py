@@ -51,7 +51,7 @@ def op6_nnpu_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op8_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return hosts.judge_hosts(read(spark, sf_dir, "documents"))
+    return hosts.judge_hosts(read(spark, sf_dir, "documents")).withColumn("host_rules", F.array_join("host_rules", ","))
 
 
 @query
@@ -218,3 +218,46 @@ FROM kept JOIN coded USING (uid), sealed
 
 
 ORACLES["op12_adaptive_codes"] = _codes_sql()
+
+
+def _hosts_sql() -> str:
+    rule = {
+        "words": "n_words < 50", "repeats": "100 * n_repeat_words > 50 * n_words", "symbols": "10 * n_symbols > n_words",
+        "lines": "20 * n_dup_lines > n_words"}
+    failed = ", ".join(f"count(*) FILTER (WHERE {r}) AS f_{n}" for n, r in rule.items())
+    mean = ", ".join(f"sum(f_{n}) / sum(docs) AS m_{n}, coalesce(var_samp(f_{n} / docs), 0) AS v_{n}" for n in rule)
+    weight = ", ".join(
+        f"CASE WHEN m_{n} * (1 - m_{n}) > v_{n} - m_{n} * (1 - m_{n}) * inverse AND v_{n} - m_{n} * (1 - m_{n}) * inverse > 0 "
+        f"THEN m_{n} * (1 - m_{n}) / (v_{n} - m_{n} * (1 - m_{n}) * inverse) - 1 ELSE total END AS w_{n}" for n in rule)
+    over = ", ".join(
+        f"CASE WHEN (f_{n} + m_{n} * w_{n}) / (docs + w_{n}) - {hosts.CERTAIN} * sqrt((f_{n} + m_{n} * w_{n}) / (docs + w_{n}) "
+        f"* (1 - (f_{n} + m_{n} * w_{n}) / (docs + w_{n})) / (docs + w_{n} + 1)) > m_{n} + {hosts.MARGIN} THEN '{n}' END" for n in rule)
+    return rf"""
+WITH texts AS (
+  SELECT row_number() OVER () AS uid, doc_id, source, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (
+  SELECT uid, i, count(*) OVER (PARTITION BY uid, w[i], w[i + 1], w[i + 2]) AS n FROM texts, unnest(range(1, len(w) - 1)) AS t(i)
+), repeated AS (
+  SELECT uid, count(DISTINCT place) AS n FROM (SELECT uid, unnest([i, i + 1, i + 2]) AS place FROM windows WHERE n > 1) GROUP BY uid
+), lines AS (
+  SELECT uid, count(*) - count(DISTINCT line) AS n FROM (SELECT uid, unnest(string_split(text, chr(10))) AS line FROM texts)
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY uid
+), base AS (
+  SELECT uid, doc_id, source, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+         CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(coalesce(lines.n, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(repeated.n, 0) AS BIGINT) AS n_repeat_words
+  FROM texts LEFT JOIN lines USING (uid) LEFT JOIN repeated USING (uid)
+), by_host AS (
+  SELECT source, CAST(count(*) AS DOUBLE) AS docs, {failed} FROM base WHERE source IS NOT NULL GROUP BY source
+), moments AS (SELECT sum(docs) AS total, avg(1 / docs) AS inverse, {mean} FROM by_host
+), priors AS (SELECT *, {weight} FROM moments
+), verdicts AS (SELECT source, array_to_string(list_filter([{over}], lambda r: r IS NOT NULL), ',') AS host_rules FROM by_host, priors)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, coalesce(host_rules, '') AS host_rules,
+       n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND coalesce(host_rules, '') = '' AS kept
+FROM base LEFT JOIN verdicts USING (source)
+"""
+
+
+ORACLES["op8_host_rules"] = _hosts_sql()

@@ -33,7 +33,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 CODES = mix(np.arange(1, 257, dtype=np.uint64))
 
 
-@lru_cache(maxsize=16)
+@lru_cache(maxsize=6)
 def _powers(base: int, n: int) -> np.ndarray:
     out = np.full(n + 1, base, np.uint64)
     out[0] = 1
