@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from vacantia.operators.rows import profile
 
@@ -126,17 +126,13 @@ def vw_jobs_full_context(star: Star) -> DataFrame:
 
 def vw_skills_demand(star: Star) -> DataFrame:
     """Per skill: jobs, share of all jobs, confidence, companies, places, sources."""
-    pairs = _pairs(star)
-    where = pairs.select("job_id", "skill_id").join(
-        star.jobs.select("job_id", "company_id", "location_id", "source"), "job_id")
+    pairs = _pairs(star).withColumn("jobs", F.when(F.col("job_id").isNotNull(), F.lit(1).cast("long")))
+    known = pairs.join(star.jobs.select("job_id", "company_id", "location_id", "source"), "job_id", "left")
     spread = profile(
-        where, "skill_id", {"companies": "company_id", "locations": "location_id"}, {"sources": "source"}, {})
-    totals = pairs.groupBy("skill_id").agg(
-        F.count("job_id").alias("jobs"), F.sum("score_sum").alias("score_sum"), F.sum("score_n").alias("score_n"))
+        known, "skill_id", {"companies": "company_id", "locations": "location_id"}, {"sources": "source"},
+        {"jobs": F.sum("jobs"), "score_sum": F.sum("score_sum"), "score_n": F.sum("score_n")})
     jobs = F.coalesce("jobs", F.lit(0))
-    return star.skills.select("skill_id", "skill_name", "skill_category").join(
-        totals, "skill_id", "left"
-    ).join(spread, "skill_id", "left").select(
+    return star.skills.select("skill_id", "skill_name", "skill_category").join(spread, "skill_id", "left").select(
         "skill_id", "skill_name", "skill_category",
         jobs.alias("jobs_requiring_skill"),
         F.round(F.try_divide(jobs * 100.0, _job_total(star)), 2).alias("demand_percentage"),
@@ -234,10 +230,13 @@ def vw_regional_analysis(star: Star) -> DataFrame:
     Rows are grouped by (place, job), (place, company) and (place, skill) first, so a place that
     holds most jobs is spread over many tasks.
     """
-    named = star.locations.select("location_id", F.struct("location_name", "region", "country").alias("place"))
+    place = ["location_name", "region", "country"]
+    number = F.min("location_id").over(Window.partitionBy(*place))  # one number for places of one name
+    named = star.locations.select("location_id", *place, number.alias("place"))
     known = star.companies.select("company_id", F.col("company_id").alias("known"))
     age = F.col("job_posting_days_old")
-    rows = _jobs_with_skills(star, "location_id", "company_id", "job_posting_days_old").join(named, "location_id")
+    rows = _jobs_with_skills(star, "location_id", "company_id", "job_posting_days_old").join(
+        named.select("location_id", "place"), "location_id")
     rows = rows.join(known, "company_id", "left").withColumns({
         "age_sum": age * F.col("w"), "age_n": F.when(age.isNotNull(), F.col("w")),
     })
@@ -247,15 +246,12 @@ def vw_regional_analysis(star: Star) -> DataFrame:
     )
     skills = rows.select("place", F.explode("skill_ids").alias("skill_id")).distinct().groupBy("place").agg(
         F.count("*").alias("unique_skills"))
-    places = named.select("place").distinct()
-
     return (
-        places.join(jobs.withColumnRenamed("place", "jobs_at"), F.col("place").eqNullSafe(F.col("jobs_at")), "left")
-        .join(skills.withColumnRenamed("place", "skills_at"), F.col("place").eqNullSafe(F.col("skills_at")), "left")
+        named.select("place", *place).distinct().join(jobs, "place", "left").join(skills, "place", "left")
         .select(
-            F.col("place.location_name").alias("location_name"),
-            F.coalesce("place.region", F.lit("Unknown")).alias("region"),
-            F.coalesce("place.country", F.lit("International")).alias("country"),
+            "location_name",
+            F.coalesce("region", F.lit("Unknown")).alias("region"),
+            F.coalesce("country", F.lit("International")).alias("country"),
             F.coalesce("job_count", F.lit(0)).alias("job_count"),
             F.coalesce("company_count", F.lit(0)).alias("company_count"),
             F.coalesce("unique_skills", F.lit(0)).alias("unique_skills"),
