@@ -4,12 +4,14 @@ against brute force where SQL has no form."""
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter
 
 import numpy as np
 import pytest
+from tokenizers import Tokenizer
 
 pytest.importorskip("vacantia.llm")
 public_tokenizers = pytest.importorskip("public_tokenizers")
@@ -463,3 +465,18 @@ def test_blocks_share_hashes():
         for row in blocks._shared(part).to_pylist():
             out.setdefault(row["block"], []).extend(np.frombuffer(row["hashes"], np.uint64).tolist())
     assert out == {0: [2, 1], 3: [1]}
+
+
+def test_encoder_equals_library_on_odd_characters():
+    """Pieces, unusual words and special tokens against whole texts in the library, also when the store forgets."""
+    library, own, draw = Tokenizer.from_file(BPE), tokens.Encoder(BPE), random.Random(7)
+    letters = [*"abcXYZ's'tre019.,|<>-_ \n\t\r\x00\x1c\x7f\x85\xa0\xad²½ªµßÀ×Āİı"]
+    letters += ["́", " ", "　", "中", "é", "Σς", "\U0001f600", "<|endoftext|>", "<|", "|>", "'LL"]
+    for turn in range(60):
+        texts = ["".join(draw.choices(letters, k=draw.randint(0, 60))) for _ in range(50)] + [None, ""]
+        ids, many = own.encode(texts)
+        cut = np.cumsum(many)
+        for text, a, b in zip(texts, cut - many, cut):
+            assert ids[a:b].tolist() == [*library.encode(text or "", add_special_tokens=False).ids, 1]
+        if turn % 20 == 10:
+            own._forget()

@@ -11,8 +11,9 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -31,7 +32,10 @@ CACHE_WORDS = 1 << 18
 CACHE_CHARS = 1 << 23
 END_ID = 1
 JOINED = 256  # pieces of one call of the library
-PLAIN = "\u0130"  # below it characters are composed and their small letters are single and undisputed
+# Below U+0130 characters are composed and their small letters are single and undisputed.
+PLAIN = "".join(c for c in map(chr, range(0x130)) if c.isprintable() or c == "\n")
+ODD = re.compile(f"[^{re.escape(PLAIN)}]|<[|]")
+PLAIN_BYTES = PLAIN.encode("latin-1", "ignore")
 
 
 def piece_pattern(path: str) -> regex.Pattern | None:
@@ -58,18 +62,26 @@ def piece_pattern(path: str) -> regex.Pattern | None:
     return regex.compile(pattern) if spaceless else None
 
 
+def plain_pattern(pattern: regex.Pattern) -> Callable[[str], list[str]]:
+    """``pattern.findall`` for plain texts: classes of letters, digits and other characters as lists, which are searched faster."""
+    text = pattern.pattern
+    for kind in (r"[^\s\p{L}\p{N}]", r"[\p{L}]", r"[\p{N}]"):
+        text = text.replace(kind, "[" + re.escape("".join(c for c in PLAIN if regex.fullmatch(kind, c))) + "]")
+    return pattern.findall if r"\p{" in text or r"\s" in text else re.compile(text).findall
+
+
 class Encoder:
-    """Encodes texts word by word and words piece by piece, where the tokenizer file cuts at spaces; else whole texts.
+    """Encodes texts piece by piece where the tokenizer file cuts at spaces; else whole texts.
 
-    Ids of words and of pieces are kept and looked up again.  A new word of plain letters and marks is put together from
-    its pieces; the library sees new pieces and unusual words only.  A store that is full forgets all but the words seen
-    most, which changes no result.
+    Stretches of plain characters are cut by the file's own pattern and their pieces numbered; the library sees each new
+    piece once, and every word with another character or a special token as a whole.  A store that is full forgets
+    all but the pieces seen most, which changes no result.
     """
 
     class _Numbers(dict):
-        def __missing__(self, word):
-            number = self[word] = len(self)
-            self.fresh.append(word)
+        def __missing__(self, piece):
+            number = self[piece] = len(self)
+            self.fresh.append(piece)
             return number
 
     def __init__(self, path: str):
@@ -77,13 +89,13 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.pattern = piece_pattern(path)
+        pattern = piece_pattern(path)
+        self.cut = pattern and plain_pattern(pattern)
         vocabulary = self.tokenizer.get_vocab()
         self.last = np.zeros(max(vocabulary.values(), default=0) + 1, bool)  # tokens that end a piece
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
         for token, number in vocabulary.items():
             self.last[number] = bool(suffix) and token.endswith(suffix)
-        self.pieces: dict[str, list[int]] = {}
         self._clear()
 
     def _clear(self) -> None:
@@ -94,15 +106,15 @@ class Encoder:
         self.seen = np.zeros(0, np.int64)
 
     def _forget(self) -> None:
-        """Empty the store but for the words that were seen most, at most half of what it holds."""
-        words = list(self.number)
+        """Empty the store but for the pieces that were seen most, at most half of what it holds."""
+        pieces = list(self.number)
         often = np.flatnonzero(self.seen > 1)
         keep = np.sort(often[np.argsort(-self.seen[often], kind="stable")[: CACHE_WORDS // 2]])
-        if sum(len(words[i]) for i in keep.tolist()) > CACHE_CHARS // 2:
+        if sum(len(pieces[i]) for i in keep.tolist()) > CACHE_CHARS // 2:
             keep = keep[:0]
         first, many, flat, seen = self.first[keep], self.many[keep], self.flat, self.seen[keep]
         self._clear()
-        self.number.update((words[i], n) for n, i in enumerate(keep.tolist()))
+        self.number.update((pieces[i], n) for n, i in enumerate(keep.tolist()))
         self.chars = sum(map(len, self.number))
         self.flat = flat[np.repeat(first, many) + steps(many)]
         self.first, self.many, self.seen = np.cumsum(many) - many, many, seen // 2
@@ -110,40 +122,48 @@ class Encoder:
     def _library(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, new: list[str]) -> None:
-        """Ids of new pieces, many at a time: joined by spaces each stays a piece of its own."""
-        runs = [new[i : i + JOINED] for i in range(0, len(new), JOINED)]
-        for run, e in zip(runs, self.tokenizer.encode_batch_fast([" ".join(r) for r in runs], add_special_tokens=False)):
-            ids = e.ids
-            cut = [0, *(np.flatnonzero(self.last[ids]) + 1).tolist()] if ids else [0]
-            if len(cut) != len(run) + 1:
-                raise ValueError("the tokenizer does not end every piece with its mark")
-            self.pieces.update((piece, ids[a:b]) for piece, a, b in zip(run, cut, cut[1:]))
-
-    def _ids_of(self, words: list[str]) -> list[list[int]]:
-        """Ids of every new word."""
-        cut, odd, new = [None] * len(words), [], {}
-        find, pieces = self.pattern.findall, self.pieces
-        for i, word in enumerate(words):
-            if word and word.isprintable() and max(word) < PLAIN and "<|" not in word:
-                cut[i] = own = find(word.lower())
-                for piece in own:
-                    if piece not in pieces:
-                        new[piece] = None
-            else:
-                odd.append(i)
-        self._learn(list(new))
-        out = [
-            None if own is None else pieces[own[0]] if len(own) == 1 else [x for p in own for x in pieces[p]] for own in cut]
-        for i, ids in zip(odd, self._library([words[i] for i in odd])):
-            out[i] = ids
-        if len(pieces) > CACHE_WORDS:
-            pieces.clear()
-        return out
+    def _pieces_of(self, text: str) -> list[str]:
+        """The pieces of a text in order; an unusual word is one entry that begins with a space."""
+        try:  # a quick look at the whole text
+            raw = text.encode("latin-1")
+        except UnicodeEncodeError:
+            raw = b"<|"
+        if b"<|" not in raw and not raw.translate(None, PLAIN_BYTES):
+            return self.cut(text.lower())
+        odd = ODD.search(text)
+        text = text.replace("\n", " ")
+        out, at = [], 0
+        while odd:
+            begin = max(at, text.rfind(" ", at, odd.start()) + 1)
+            end = text.find(" ", odd.end())
+            end = len(text) if end < 0 else end
+            out += self.cut(text[at:begin].lower())
+            out.append(" " + text[begin:end])
+            at, odd = end, ODD.search(text, end)
+        return out + self.cut(text[at:].lower())
+
+    def _learn(self, fresh: list[str]) -> None:
+        """Add the ids of new pieces, many at a time: joined by spaces each stays a piece of its own."""
+        plain = np.array([piece[0] != " " for piece in fresh])
+        news = [piece for piece in fresh if piece[0] != " "]
+        runs = [news[i : i + JOINED] for i in range(0, len(news), JOINED)]
+        ids = np.array([x for own in self._library([" ".join(r) for r in runs]) for x in own], np.uint32)
+        end = np.flatnonzero(self.last[ids]) + 1
+        if len(end) != len(news):
+            raise ValueError("the tokenizer does not end every piece with its mark")
+        odd = self._library([piece[1:] for piece in fresh if piece[0] == " "])
+        many, first = np.zeros(len(fresh), np.int64), np.zeros(len(fresh), np.int64)
+        many[plain] = np.diff(end, prepend=0)
+        first[plain] = len(self.flat) + end - many[plain]
+        many[~plain] = sizes = np.fromiter(map(len, odd), np.int64, len(odd))
+        first[~plain] = len(self.flat) + len(ids) + np.cumsum(sizes) - sizes
+        self.first, self.many = np.concatenate([self.first, first]), np.concatenate([self.many, many])
+        self.flat = np.concatenate([self.flat, ids, np.array([x for own in odd for x in own], np.uint32)])
+        self.chars += sum(map(len, fresh))
 
     def encode(self, texts: list[str | None], end_id: int | None = END_ID) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, and how many each text has; null counts as empty."""
-        if self.pattern is None:
+        if self.cut is None:
             ids_ = self._library([t or "" for t in texts])
             many = np.fromiter(map(len, ids_), np.int64, len(ids_))
             ids = np.fromiter((x for e in ids_ for x in e), np.uint32, int(many.sum()))
@@ -151,27 +171,21 @@ class Encoder:
             return (ids, many) if end_id is None else (np.insert(ids, cut[1:], end_id), many + 1)
         if len(self.number) > CACHE_WORDS or self.chars > CACHE_CHARS:
             self._forget()
-        found, words = [], np.zeros(len(texts), np.int64)
+        found, pieces = [], np.zeros(len(texts), np.int64)
         look = self.number.__getitem__
         for i, text in enumerate(texts):
             if text:
-                own = text.replace("\n", " ").split(" ")
-                words[i] = len(own)
-                found.extend(map(look, own))
-        fresh = self.number.fresh
-        if fresh:
-            ids = self._ids_of(fresh)
-            many = np.fromiter(map(len, ids), np.int64, len(ids))
-            flat = np.fromiter((x for e in ids for x in e), np.uint32, int(many.sum()))
-            self.first = np.concatenate([self.first, len(self.flat) + np.cumsum(many) - many])
-            self.many, self.flat = np.concatenate([self.many, many]), np.concatenate([self.flat, flat])
-            self.chars += sum(map(len, fresh))
-            fresh.clear()
-        found = np.array(found, np.int64)
+                own = self._pieces_of(text)
+                pieces[i] = len(own)
+                found.append(np.fromiter(map(look, own), np.int64, len(own)))
+        if self.number.fresh:
+            self._learn(self.number.fresh)
+            self.number.fresh.clear()
+        found = np.concatenate(found) if found else np.zeros(0, np.int64)
         self.seen = np.bincount(found, minlength=len(self.number)) + np.pad(self.seen, (0, len(self.number) - len(self.seen)))
         many = self.many[found]
         ids = self.flat[np.repeat(self.first[found], many) + steps(many)]
-        cut = np.concatenate([[0], np.cumsum(many)])[np.concatenate([[0], np.cumsum(words)])]
+        cut = np.concatenate([[0], np.cumsum(many)])[np.concatenate([[0], np.cumsum(pieces)])]
         if end_id is None:
             return ids, np.diff(cut)
         return np.insert(ids, cut[1:], end_id), np.diff(cut) + 1
