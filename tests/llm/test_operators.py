@@ -10,6 +10,8 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from tokenizers import Tokenizer
 
@@ -90,6 +92,32 @@ def test_phrases_against_brute_force(docs, empty):
     assert phrases.remove_repeated_phrases(empty, carry=["source"]).collect() == []
 
 
+def test_phrases_when_window_hashes_collide(monkeypatch):
+    """Seven hashes for all windows: the second hash alone tells them apart."""
+    plain = phrases.equal_spans
+    monkeypatch.setattr(phrases, "equal_spans", lambda sums, size, base: (
+        plain(sums, size, base) % np.uint64(7) if size == phrases.WINDOW else plain(sums, size, base)))
+    draw = random.Random(3)
+    passages = [" ".join(f"p{i}x{draw.randint(0, 999)}" for _ in range(20)) for i in range(12)]
+    rows = [" ".join([prose(100 + k, 15), *draw.sample(passages, 3), prose(500 + k, 15)]) for k in range(30)]
+    first: dict = {}
+    for k, w in enumerate(map(WORD.findall, rows)):
+        for i in range(len(w) - 12):
+            first.setdefault(tuple(w[i : i + 13]), k)
+    want = []
+    for k, w in enumerate(map(WORD.findall, rows)):
+        gone = {j for i in range(len(w) - 12) if first[tuple(w[i : i + 13])] < k for j in range(i, i + 13)}
+        want.append(len(gone))
+    docs = pa.table({
+        "block": pa.array([0] * len(rows), pa.int64()), "key": pa.array(range(len(rows)), pa.int64()),
+        "text": pa.array([r.encode() for r in rows], pa.binary())})
+    seeds = np.concatenate([phrases.Words(t).least for t in rolling.texts_of(docs["text"])])
+    claims = phrases._claim_windows(3)(docs, pa.table({"hashes": pa.array([seeds.tobytes()], pa.binary())}))
+    owners = pa.concat_tables([phrases._owners(claims.filter(pc.equal(claims["shard"], i))) for i in range(3)])
+    out = phrases._scan(["key"], False)(docs, phrases._cut_passages(docs, owners))
+    assert sum(want) > 500 and out["n_removed"].to_pylist() == want
+
+
 @pytest.mark.parametrize("per_shard", [64, 1])
 def test_suffixes_against_brute_force(docs, empty, per_shard):
     raw = [(k, (t or "").encode()) for k, t in ROWS]

@@ -12,7 +12,8 @@ also starts in a document with a smaller id.  Equal windows share the same least
    their size is bounded by the block) and streams all its documents through them; every hit
    of a run is extended to both sides in the passage, and 13 equal words or more are covered.
 
-Nothing is sampled or capped.  Words are compared by 64-bit hashes of their bytes.
+Nothing is sampled or capped.  Words are compared by 64-bit hashes of their bytes, windows by two such hashes of their
+words.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from vacantia.llm import blocks as B
 from vacantia.llm.rolling import (
-    WORD_BASE, Texts, equal_spans, prefix, texts_of, window_min,
+    BASE, WORD_BASE, Texts, equal_spans, mix, prefix, spans, texts_of, window_min,
 )
 from vacantia.session import stage
 
@@ -52,6 +53,10 @@ class Words:
         n = len(self.least)
         self.whole = self.doc[:n] == self.doc[WINDOW - 1 :][:n]
 
+    def seconds(self, at: np.ndarray) -> np.ndarray:
+        """A second hash of the windows at ``at``, independent of ``windows``."""
+        return spans(prefix(mix(self.hash), BASE), at, at + WINDOW, BASE)
+
 
 def _offer_seeds(shards: int):
     def work(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -78,68 +83,76 @@ def _keys(part: pa.Table) -> np.ndarray:
     return part["key"].to_numpy()
 
 
+def _differ(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """Where a run of equal windows begins."""
+    new = np.ones(len(one), bool)
+    new[1:] = (one[1:] != one[:-1]) | (two[1:] != two[:-1])
+    return new
+
+
 def _claim_windows(shards: int):
-    """Windows around recurring seeds of a block: their hash, and its smallest document."""
+    """Windows around recurring seeds of a block: their two hashes, and the smallest document."""
     def work(docs: pa.Table, known: pa.Table) -> pa.Table:
         wanted = np.unique(B.numbers(known["hashes"]))
-        hashes, keys, key = [], [], _keys(docs)
+        hashes, twos, keys, key = [], [], [], _keys(docs)
         if len(wanted):
             for t in texts_of(docs["text"]):
                 w = Words(t)
                 at = np.flatnonzero(w.whole & B.among(w.least, wanted))
                 hashes.append(w.windows[at])
+                twos.append(w.seconds(at))
                 keys.append(key[t.first + w.doc[at]])
-        hash_, key = (np.concatenate(v) if v else np.zeros(0, k) for v, k in ((hashes, np.uint64), (keys, np.int64)))
-        order = np.lexsort((key, hash_))
-        hash_, key = hash_[order], key[order]
-        new = np.ones(len(hash_), bool)
-        new[1:] = hash_[1:] != hash_[:-1]
+        hash_, two, key = (
+            np.concatenate(v) if v else np.zeros(0, k) for v, k in ((hashes, np.uint64), (twos, np.uint64), (keys, np.int64)))
+        order = np.lexsort((key, two, hash_))
+        hash_, two, key = hash_[order], two[order], key[order]
+        new = _differ(hash_, two)
         at = np.flatnonzero(new)
         last = np.append(at[1:], len(hash_)) - 1 if len(at) else at
-        hash_, several, key = hash_[at], key[last] > key[at], key[at]
+        hash_, two, several, key = hash_[at], two[at], key[last] > key[at], key[at]
         block = docs["block"][0].as_py() if docs.num_rows else 0
         shard = (hash_ % np.uint64(shards)).astype(np.int64)
         return B.table(
-            [(s, block, h, k, m) for s, h, k, m in B.pieces(shard, hash_, key, several)],
-            shard=pa.int64(), block=pa.int64(), hashes=pa.binary(), keys=pa.binary(), several=pa.binary(),
+            [(s, block, *lists) for s, *lists in B.pieces(shard, hash_, two, key, several)],
+            shard=pa.int64(), block=pa.int64(), hashes=pa.binary(), twos=pa.binary(), keys=pa.binary(), several=pa.binary(),
         )
     return work
 
 
 def _owners(part: pa.Table) -> pa.Table:
     """For each recurring window: its smallest document, that one's block, and who needs it."""
-    hash_ = B.numbers(part["hashes"])
+    hash_, two = B.numbers(part["hashes"]), B.numbers(part["twos"])
     key = B.numbers(part["keys"], np.int64)
     several = B.numbers(part["several"], np.bool_)
     block = np.repeat(part["block"].to_numpy(), B.sizes(part["hashes"]))
-    order = np.lexsort((key, hash_))
-    hash_, key, several, block = hash_[order], key[order], several[order], block[order]
-    new = np.ones(len(hash_), bool)
-    new[1:] = hash_[1:] != hash_[:-1]
+    order = np.lexsort((key, two, hash_))
+    hash_, two, key, several, block = hash_[order], two[order], key[order], several[order], block[order]
+    new = _differ(hash_, two)
     first = np.flatnonzero(new)[np.cumsum(new) - 1]
     need = np.flatnonzero((key > key[first]) | several)
     own = first[need]
     return B.table(
-        list(B.pieces(block[own], hash_[need], key[own], block[need])),
-        block=pa.int64(), hashes=pa.binary(), keys=pa.binary(), targets=pa.binary(),
+        list(B.pieces(block[own], hash_[need], two[need], key[own], block[need])),
+        block=pa.int64(), hashes=pa.binary(), twos=pa.binary(), keys=pa.binary(), targets=pa.binary(),
     )
 
 
 def _cut_passages(docs: pa.Table, tasks: pa.Table) -> pa.Table:
     """The owner's words of the windows that each other block needs, in runs."""
-    hash_ = B.numbers(tasks["hashes"])
+    hash_, two = B.numbers(tasks["hashes"]), B.numbers(tasks["twos"])
     owner, target = (B.numbers(tasks[c], np.int64) for c in ("keys", "targets"))
     order = np.argsort(hash_, kind="stable")
-    hash_, owner, target = hash_[order], owner[order], target[order]
+    hash_, two, owner, target = hash_[order], two[order], owner[order], target[order]
     key, rows = _keys(docs), []
     for t in texts_of(docs["text"]) if len(hash_) else ():
         w = Words(t)
         at = np.flatnonzero(w.whole & B.among(w.windows[: len(w.least)], hash_))
         low = np.searchsorted(hash_, w.windows[at], "left")
         many = np.searchsorted(hash_, w.windows[at], "right") - low
+        second = np.repeat(w.seconds(at), many)
         at, step = np.repeat(at, many), _steps(many)
         task = np.repeat(low, many) + step
-        mine = owner[task] == key[t.first + w.doc[at]]
+        mine = (owner[task] == key[t.first + w.doc[at]]) & (two[task] == second)
         at, task = at[mine], task[mine]
         _, one = np.unique(task * len(t) + w.doc[at], return_index=True)
         at, task = at[one], task[one]
@@ -320,10 +333,10 @@ def remove_repeated_phrases(
     docs_only = held.select("block", "key", "text")
     seeds = stage(B.shared_hashes(docs_only.select("block", "text").mapInArrow(_offer_seeds(n), B.OFFER)), "seeds")
     claims = B.meet(
-        docs_only, seeds, _claim_windows(n), "shard long, block long, hashes binary, keys binary, several binary"
+        docs_only, seeds, _claim_windows(n), "shard long, block long, hashes binary, twos binary, keys binary, several binary"
     )
     owners = stage(claims.groupBy("shard").applyInArrow(
-        _owners, "block long, hashes binary, keys binary, targets binary"), "owners")
+        _owners, "block long, hashes binary, twos binary, keys binary, targets binary"), "owners")
     passages = stage(B.meet(docs_only, owners, _cut_passages, "block long, owner long, passage binary"), "passages")
     kinds = dict(held.dtypes)
     names = ["id", *(f"carry_{i}" for i in range(len(carry)))]
