@@ -137,3 +137,34 @@ def test_canonical_defaults(spark):
     row = ex.canonicalize_record(df, "src", F.lit("2024-01-01").cast("date")).first().asDict()
     assert row["job_title"] == "A" and row["external_job_id"] == "src_7" and str(row["published_at"]) == "2024-01-01"
     assert row["skills"] == [] and row["salary_currency"] is None and len(row) == 13
+
+
+def test_pages_stay_out_of_python(spark):
+    """Only the references of a text are decoded in Python, and as the standard library does."""
+    import html
+
+    from vacantia.functions import markup as mk
+
+    texts = ["a &amp; b", "&lt;p&gt;&amp;amp;", "&notit; &eacute &#233;&#xE9 &#0; &#x110000; &;& &nosuch; x&", "", None, "plain", "&copy&copy;"]
+    rows = spark.createDataFrame([(i, t, [t or "", "&lt;"]) for i, t in enumerate(texts)], "i int, t string, xs array<string>")
+    got = rows.select("i", mk.decode_entities(F.col("t")).alias("t"), mk.decode_each(F.col("xs")).alias("xs")).orderBy("i").collect()
+    assert [r["t"] for r in got] == [None if t is None else html.unescape(t) for t in texts]
+    assert [r["xs"] for r in got] == [[html.unescape(t or ""), "<"] for t in texts]
+    pages = rows.select(F.col("t").alias("page"))
+    for found in (mk.decode_entities(F.col("page")), mk.marked_texts(F.col("page"), ex.MARKS)):
+        plan = pages.select(found.alias("found"))._jdf.queryExecution().optimizedPlan().toString()
+        sent = plan.split("ArrowEvalPython [")[1:]
+        assert sent and all(s.startswith("_characters(array_distinct(") for s in sent)
+
+
+def test_marked_elements(spark):
+    from vacantia.functions import markup as mk
+
+    pages = [
+        '<div id="m"><div>a</div>b<DIV/>c</div>d</div>e', '<p ID="m"></p>x', '<b x="1" id="m">open &amp; <i>on</i> ', "none", None,
+        '<div id="m"> t <divan>u</divan>&nbsp;</div>v', '<i id="m"><i><i></i></i></i>z', '<i id="k"></i><s id="m">y</s >q',
+    ]
+    rows = spark.createDataFrame(list(enumerate(pages)), "i int, p string")
+    got = rows.select("i", mk.marked_texts(F.col("p"), [r'id\s*=\s*"m"', r'id\s*=\s*"k"']).alias("m")).orderBy("i").collect()
+    assert [r["m"] for r in got] == [
+        ["abcd", None], ["", None], ["open & on", None], [None, None], None, ["t u", None], ["", None], ["y", ""]]
