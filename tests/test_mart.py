@@ -218,3 +218,45 @@ def test_views_from_partials_of_two_loads(spark, tmp_path):
     assert pt.market_overview_v1(pt.partials_of(none), skills).first()["total_jobs"] == 0
     with pytest.raises(ValueError):
         pt.partials_of(replace(whole, jobs=jobs.filter("job_id > 5")))
+
+
+def test_partials_read_links_once(spark):
+    """What a load adds is computed from rows that were written once, not from the links again for every grouping."""
+    from vacantia.plans import partials as pt
+
+    jobs = spark.createDataFrame(
+        [(1, 1, 1, "a", None, None, 3)],
+        "job_id long, company_id long, location_id long, source string, publish_date date, scrape_date date, job_posting_days_old int")
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(row):
+        read.add(1)
+        return row
+
+    links = spark.createDataFrame(
+        spark.sparkContext.parallelize([(1, 7, 0.5), (1, 8, None)], 1).map(counted), "job_id long, skill_id long, confidence_score double")
+    companies = spark.createDataFrame([(1,)], "company_id long")
+    skills = spark.createDataFrame([(7, "x"), (8, "y")], "skill_id long, skill_name string")
+    rows = pt.partials_of(views.Star(companies, None, skills, jobs, links)).collect()
+    assert read.value == 2
+    assert {(r["key"], r["score_sum"], r["score_n"]) for r in rows if r["grouped"] == "skill" and r["kind"] == ""} == {(7, 0.5, 1), (8, None, 0)}
+    assert [(r["age_sum"], r["age_n"]) for r in rows if r["grouped"] == "company" and r["kind"] == ""] == [(6, 2)]
+
+
+def test_open_postings_read_items_once(spark, tmp_path):
+    from vacantia.plans.standin import TABLES, open_postings
+
+    rows = {
+        "region": [(0, "r")], "nation": [(1, "n", 0)], "customer": [(5, "c", 1, 0.0, "m")],
+        "orders": "SELECT CAST(o AS BIGINT), CAST(c AS BIGINT), 'F', 1.0D, timestamp_ntz'1997-01-01 00:00:00', 'p' FROM VALUES (1, 5), (2, 5), (3, NULL), (4, 9) t(o, c)",
+        "lineitem": "SELECT CAST(o AS BIGINT), 1L, 1L, 1, 1.0D, CAST(x AS DOUBLE), 0.0D, 0.0D, 'r', 's', timestamp_ntz'1999-01-01 00:00:00' "
+                    "FROM VALUES (1, 3), (1, 2), (2, 4), (3, 1), (4, 1) t(o, x)",
+    }
+    for name, made in rows.items():
+        df = spark.sql(made) if isinstance(made, str) else spark.createDataFrame(made, TABLES[name])
+        names = [c.split()[0] for c in TABLES[name].split(", ")]
+        df.toDF(*names).write.parquet(f"{tmp_path}/{name}.parquet")
+    found = open_postings(spark, str(tmp_path), "1998-01-01")
+    assert "l_extendedprice" not in found._jdf.queryExecution().optimizedPlan().toString()
+    got = sorted((r["external_job_id"], r["company_size"], r["salary_min"], r["salary_max"]) for r in found.collect())
+    assert got == [("1", "small", 2.0, 3.0), ("2", "small", 4.0, 4.0)]

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from vacantia.plans import views as vw
 from vacantia.plans.views import Star
+from vacantia.session import stage
 
 # One table for all groupings; ``kind`` tells what a row carries ("" for sums and extremes).
 PARTIALS = T.StructType([
@@ -72,19 +73,26 @@ def merged(
 
 def partials_of(load: Star) -> DataFrame:
     """What one load adds: ``load`` has its new jobs and links, and all dimensions; keys are whole numbers."""
-    strangers = load.links.select("job_id").distinct().join(load.jobs.select("job_id"), "job_id", "left_anti")
+    # Links and jobs are computed once and written narrow; every grouping below reads what was written.
+    pairs = stage(load.links.groupBy("job_id", "skill_id").agg(
+        F.sum("confidence_score").alias("score_sum"), F.count("confidence_score").alias("score_n"),
+        F.count("*").alias("rows")), "pairs")
+    jobs = stage(load.jobs.select(
+        "job_id", "company_id", "location_id", "source", "publish_date", "scrape_date", "job_posting_days_old"), "jobs")
+    strangers = pairs.select("job_id").join(jobs.select("job_id"), "job_id", "left_anti")
     if not strangers.isEmpty():
         raise ValueError("a load must bring the jobs of its links")
-    jobs = load.jobs.select("job_id", "company_id", "location_id", "source", "publish_date", "scrape_date", "job_posting_days_old")
-    with_skills = vw._jobs_with_skills(load, *[c for c in jobs.columns if c != "job_id"])
+    per_job = pairs.groupBy("job_id").agg(F.sum("rows").alias("w"), F.collect_set("skill_id").alias("skill_ids"))
+    with_skills = jobs.join(per_job, "job_id", "left").withColumn("w", F.coalesce("w", F.lit(1)))
     age = F.col("job_posting_days_old").cast("long")
     weighted = with_skills.withColumns({
         "age_sum": age * F.col("w"), "age_n": F.when(age.isNotNull(), F.col("w")), "lo": F.col("publish_date"), "hi": F.col("publish_date")})
     known = load.companies.select("company_id", F.col("company_id").alias("known_company"))
-    weighted = weighted.join(known, "company_id", "left")
+    weighted = stage(weighted.join(known, "company_id", "left").select(
+        "job_id", "company_id", "location_id", "known_company", "source", "age_sum", "age_n", "lo", "hi", "skill_ids"), "weighted")
     skilled = weighted.select("company_id", "location_id", F.explode("skill_ids").alias("skill_id")).distinct()
     named = skilled.join(load.skills.select("skill_id", "skill_name"), "skill_id", "left")
-    demanded = vw._pairs(load).join(jobs, "job_id")
+    demanded = stage(pairs.join(jobs.select("job_id", "company_id", "location_id", "source"), "job_id"), "demanded")
     plain = jobs.withColumns({
         "age_sum": age, "age_n": F.when(age.isNotNull(), F.lit(1).cast("long")), "scraped": F.col("scrape_date").cast("timestamp")})
     skill, company, place = F.col("skill_id"), F.col("company_id"), F.col("location_id")
