@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from vacantia.functions import text as tx
 from vacantia.plans.views import Star
-from vacantia.session import spread
+from vacantia.session import spread, stage
 
 AS_OF = "2001-08-01"
 SCRAPED_AT = "2024-01-31T00:00:00"
@@ -225,7 +225,8 @@ def open_postings(spark: SparkSession, sf_dir: str, day: str) -> DataFrame:
     left = table(spark, sf_dir, "lineitem").filter(F.col("l_shipdate").cast("date") > at).groupBy("l_orderkey").agg(
         F.min("l_extendedprice").alias("salary_min"), F.max("l_extendedprice").alias("salary_max"))
     orders = table(spark, sf_dir, "orders").filter(F.col("o_orderdate").cast("date") <= at)
-    live = orders.join(left, F.col("o_orderkey") == F.col("l_orderkey"))
+    # Written once: the sizes and the postings both read it.
+    live = stage(orders.join(left, F.col("o_orderkey") == F.col("l_orderkey")).drop("l_orderkey", "o_totalprice"), "live")
     sizes = live.groupBy(F.col("o_custkey").alias("_c")).agg(F.count("*").alias("_n"))
     place = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"), "left")
     full = live.join(sizes, F.col("o_custkey") == F.col("_c")).join(

@@ -250,7 +250,7 @@ def load_extended(mart: Mart, records: DataFrame, at: Column, batch: str) -> boo
     for table, (name, key, columns) in _DESCRIBED.items():
         stored_name = {"location": "location_name", "source": "source_name"}.get(name, name)
         members = vs.described(newest, name, {c: c for c in columns}, ["_age", "job_url", "external_job_id"])
-        members = members.withColumnRenamed(name, stored_name)
+        members = stage(members.withColumnRenamed(name, stored_name), "described")
         changes = vs.changed_rows(before[table], members, [stored_name], columns, at, number, close_missing=False)
         mart.write(table, vs.with_keys(changes, before[table], stored_name, key), load, at)
         now = mart.read(table, *mart.published(), load)
@@ -259,7 +259,7 @@ def load_extended(mart: Mart, records: DataFrame, at: Column, batch: str) -> boo
     known_by = F.coalesce(
         F.concat(F.lit("id:"), F.nullif("external_job_id", F.lit(""))), F.concat(F.lit("url:"), F.nullif("job_url", F.lit(""))),
         F.concat(F.lit("row:"), vs.row_digest(values)))
-    keyed = keyed.withColumn("job_key", known_by)
+    keyed = stage(keyed.withColumn("job_key", known_by).select("job_key", *values), "keyed")
     mart.write("jobs", vs.changed_rows(before["jobs"], keyed, ["job_key"], values, at, number), load, at)
     mart.publish(batch, load)
     return True
