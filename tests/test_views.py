@@ -1,9 +1,11 @@
 import datetime
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
-from vacantia.plans import dashboards as db, views as vw
+from vacantia import session
+from vacantia.plans import dashboards as db, standin, views as vw
 from vacantia.plans.views import Star
 
 AS_OF = datetime.date(2024, 3, 31)
@@ -115,3 +117,26 @@ def test_hot_filters_reach_the_scan(spark, tmp_path, small):
     star = Star(small.companies, small.locations, small.skills, spark.read.parquet(path), small.links)
     plan = vw.vw_trending_skills(star, F.lit(AS_OF))._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(publish_date" in plan
+
+
+def test_many_links_meet_by_job_in_parts_of_their_own(spark, small):
+    many = [(f"J{i % 50}", i % 7, 0.5) for i in range(400)]
+    jobs = [(f"J{i}", 1 + i % 2, 1, "dev", i, "x", 100) for i in range(50)]
+    plain = make(spark, jobs, many)
+    dealt = replace(plain, parts=lambda: 11)
+    assert vw._pairs(dealt).rdd.getNumPartitions() == 11  # adaptive execution would merge what it made itself
+    joined = vw._pairs(dealt).join(dealt.jobs.hint("merge").select("job_id", "source"), "job_id")
+    assert joined.rdd.getNumPartitions() == 11
+    for view in (vw.vw_skills_demand, vw.vw_skill_specialization, vw.vw_job_skills_aggregated,
+                 lambda s: vw.vw_trending_skills(s, F.lit(AS_OF)), lambda s: db.role_top_skills(s, "dev")):
+        assert sorted(map(str, view(dealt).collect())) == sorted(map(str, view(plain).collect()))
+
+
+def test_parts_follow_the_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "TASK_ROWS", 10)
+    assert [session.parts_of(spark, n) for n in (0, 40, 41, 1000)] == [None, None, 5, 100]
+    for name in ("region", "nation", "customer", "part", "orders"):
+        spark.createDataFrame([], standin.TABLES[name]).write.parquet(f"{tmp_path}/{name}.parquet")
+    lines = spark.range(130).selectExpr("id AS l_orderkey", "id AS l_partkey", "0.5D AS l_discount", "1 AS l_linenumber")
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    assert standin.star(spark, str(tmp_path)).parts() == 13

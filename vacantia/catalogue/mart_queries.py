@@ -79,11 +79,13 @@ def _stored_star(spark, sf_dir):
     """The stand-in star in a mart whose jobs are stored by month of publication."""
     mart = _mart(spark, schemas.STAR, months={"fact_jobs": "publish_date"})
     load = mart.begin("all")
-    for name, rows in star(spark, sf_dir).tables().items():
+    whole = star(spark, sf_dir)
+    for name, rows in whole.tables().items():
         mart.write(name, rows, load)
     mart.publish("all", load)
     at = mart.tables_at()
-    return vw.Star(at["dim_companies"], at["dim_locations"], at["dim_skills"], at["fact_jobs"], at["fact_job_skills"])
+    return vw.Star(
+        at["dim_companies"], at["dim_locations"], at["dim_skills"], at["fact_jobs"], at["fact_job_skills"], whole.parts)
 
 
 def _recent_listing(spark, sf_dir):

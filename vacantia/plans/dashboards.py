@@ -213,7 +213,7 @@ def _role(star: Star, title: str | None) -> DataFrame:
     if title is None:
         return vw.vw_skill_specialization(star)
     jobs = star.jobs.filter(F.col("job_title_normalized") == title)
-    return vw.vw_skill_specialization(Star(star.companies, star.locations, star.skills, jobs, star.links))
+    return vw.vw_skill_specialization(replace(star, jobs=jobs))
 
 
 def role_top_skills(star: Star, title: str) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from vacantia.functions import text as tx
 from vacantia.plans.views import Star
-from vacantia.session import spread, stage
+from vacantia.session import parts_of, spread, stage
 
 AS_OF = "2001-08-01"
 SCRAPED_AT = "2024-01-31T00:00:00"
@@ -88,7 +88,7 @@ def star(spark: SparkSession, sf_dir: str) -> Star:
         F.max(F.round(F.col("l_discount") * 100).cast("int")).alias("confidence_score"),
         F.min("l_linenumber").alias("position_in_description"),
     )
-    return Star(companies, locations, skills, jobs, links)
+    return Star(companies, locations, skills, jobs, links, lambda: parts_of(spark, t("lineitem").count()))
 
 
 STAR_SQL = f"""

@@ -13,6 +13,7 @@ Conventions:
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -27,6 +28,7 @@ class Star:
     skills: DataFrame
     jobs: DataFrame
     links: DataFrame
+    parts: Callable[[], int | None] | None = None  # partitions for links that meet by job; asked for when they do
 
     def tables(self) -> dict[str, DataFrame]:
         return {
@@ -79,8 +81,14 @@ def _job_total(star: Star) -> Column:
 
 
 def _pairs(star: Star) -> DataFrame:
-    """One row per (job, skill) with the score sum and count of the links that it stands for."""
-    return star.links.groupBy("job_id", "skill_id").agg(
+    """One row per (job, skill) with the score sum and count of the links that it stands for.
+
+    Many links are dealt by job into a number of partitions that follows their number, which what
+    is grouped or joined by job after them keeps.
+    """
+    parts = star.parts() if star.parts else None
+    links = star.links.repartition(parts, "job_id") if parts else star.links
+    return links.groupBy("job_id", "skill_id").agg(
         F.sum("confidence_score").alias("score_sum"), F.count("confidence_score").alias("score_n")
     )
 

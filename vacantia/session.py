@@ -9,6 +9,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+TASK_ROWS = 250_000  # narrow rows that a task groups or joins, some 50 MB for each of its hash maps and sorts
+
 
 def build_session(
     app: str = "vacantia", master: str | None = None, start_partitions: int | None = None,
@@ -105,3 +107,15 @@ def spread(scan: DataFrame) -> DataFrame:
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
     return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
+def parts_of(spark: SparkSession, rows: int) -> int | None:
+    """Partitions in which a task meets about ``TASK_ROWS`` of ``rows`` narrow rows, None where one per core will do.
+
+    Adaptive execution merges partitions, down to one per core, by their compressed bytes, and so puts
+    millions of narrow rows in one task; it leaves alone what is repartitioned by a number.
+    """
+    parts = -(-rows // TASK_ROWS)
+    if parts <= spark.sparkContext.defaultParallelism:
+        return None
+    return max(parts, int(spark.conf.get("spark.sql.shuffle.partitions")))
