@@ -221,6 +221,30 @@ def test_wanted_texts_of_one_id_do_not_all_meet(spark):
     assert collected(dart._texts_of(rows, rows.drop("text")), "uid", "d1") == sorted(((i, i) for i in range(40)), key=repr)
 
 
+def test_texts_that_are_not_wanted_are_not_moved(spark):
+    text = prose(1, 3000).encode()
+    rows = spark.createDataFrame([(i, None if i % 5 == 0 else i, i, i, i, text) for i in range(400)], "uid long, key long, print long, d1 long, d2 long, text binary")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        found = dart._texts_of(rows, rows.filter("uid < 20").drop("text"))
+        assert sorted(r["uid"] for r in found.collect()) == list(range(20))
+        plan = found._jdf.queryExecution().executedPlan().finalPhysicalPlan()
+        moved = []
+
+        def walk(node):
+            if node.nodeName() == "Exchange":
+                moved.append(node.metrics().apply("dataSize").value())
+            for k in range(node.children().size()):
+                walk(node.children().apply(k))
+            if "QueryStage" in node.nodeName():
+                walk(node.plan())
+
+        walk(plan)
+        assert moved and max(moved) < 100 * len(text)  # of 400 texts
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_signatures_estimate_weighted_similarity():
     rng = np.random.default_rng(3)
     one = rng.integers(1, 9, 300)

@@ -19,11 +19,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from vacantia.llm import blocks as B
 from vacantia.llm.components import components
+from vacantia.llm.containment import bitmap_of
 from vacantia.llm.rolling import WORD_BASE, Texts, equal_spans, mix, prefix, spans, texts_of
 from vacantia.session import stage
 
@@ -317,11 +319,28 @@ def _rooted(bucket: DataFrame, classes: DataFrame) -> DataFrame:
     return stage(bucket.join(named, "uid", "left").withColumn("root", F.coalesce("root", "uid")), "members")
 
 
+def _may_be(known):
+    """Whether a number may be in a broadcast bitmap; only the numbers go to Python."""
+    @F.pandas_udf("boolean")
+    def test(spot: pd.Series) -> pd.Series:
+        found = np.zeros(len(spot), bool)
+        found[known.value.among(spot.to_numpy())] = True
+        return pd.Series(found)
+    return test
+
+
 def _texts_of(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(uid, d1, d2, text) of the wanted rows, met by id and print, so that rows of one id (or none) do not all meet."""
+    """(uid, d1, d2, text) of the wanted rows, met by id and print, so that rows of one id (or none) do not all meet.
+
+    A bitmap of what is wanted (16 MB at most) keeps the other texts from being moved; it never loses one,
+    and the join removes what it lets through.
+    """
+    spot = F.xxhash64("key", "print")
+    known = rows.sparkSession.sparkContext.broadcast(bitmap_of(wanted.select(spot.alias("key")).distinct()))
+    rows = rows.select("key", "print", "text").filter(_may_be(known)(spot))
     named = wanted.select(F.col("key").alias("want"), F.col("print").alias("mark"), "uid", "d1", "d2")
     same = F.col("key").eqNullSafe(F.col("want")) & (F.col("print") == F.col("mark"))
-    return rows.select("key", "print", "text").join(named, same).select("uid", "d1", "d2", "text")
+    return rows.join(named, same).select("uid", "d1", "d2", "text")
 
 
 def near_duplicates(
