@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from vacantia.llm.workers import give_back
 from vacantia.session import scratch_path
 
 BLOCK_BYTES = 16 << 20
@@ -49,7 +50,12 @@ def meet(
     left: DataFrame, right: DataFrame, work: Callable[[pa.Table, pa.Table], pa.Table], schema: str
 ) -> DataFrame:
     """``work(rows of left, rows of right)`` for every block."""
-    return left.groupBy("block").cogroup(right.groupBy("block")).applyInArrow(work, schema)
+    def run(one: pa.Table, two: pa.Table) -> pa.Table:
+        try:
+            return work(one, two)
+        finally:
+            give_back()
+    return left.groupBy("block").cogroup(right.groupBy("block")).applyInArrow(run, schema)
 
 
 def numbers(column: pa.ChunkedArray, kind=np.uint64) -> np.ndarray:

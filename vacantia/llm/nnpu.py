@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from vacantia.llm.rolling import BASE, CODES, mix, prefix, spans, texts_of
+from vacantia.llm.workers import tidy
 from vacantia.operators.rows import keep_first
 
 MAX_POSITIVE, MAX_UNLABELLED = 6_000, 18_000
@@ -110,17 +111,18 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
     return words, weight, float(bias)
 
 
-def _scores(words: np.ndarray, weights: np.ndarray, bias: float):
+def _scores(words: np.ndarray, weights: np.ndarray, bias: float, text: str = "text"):
     def work(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             z = np.zeros(part.num_rows)
-            for t in texts_of(part["text"]):
+            for t in texts_of(part[text]):
                 doc, word = words_of(t)
                 if len(words):
                     at = np.minimum(np.searchsorted(words, word), len(words) - 1)
                     z[t.first : t.first + len(t)] = np.bincount(doc, np.where(words[at] == word, weights[at], 0), len(t))
             score = 1 / (1 + np.exp(-np.clip(z + bias, -30, 30)))
-            yield part.drop_columns(["text"]).append_column("score", pa.array(score))
+            kept = part.drop_columns(["text"]) if text == "text" else part
+            yield kept.append_column("score", pa.array(score))
     return work
 
 
@@ -152,7 +154,7 @@ def train(
     chosen = p.union(u)  # bounded by the two limits above
     texts = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("string").cast("binary").alias("text"))
     one = keep_first(texts.join(F.broadcast(chosen), "id"), ["id", "positive"], [F.xxhash64("text"), F.col("text")])
-    sample = one.select("positive", "text").mapInArrow(_features, "positive boolean, words binary").toArrow()
+    sample = one.select("positive", "text").mapInArrow(tidy(_features), "positive boolean, words binary").toArrow()
     positive = sample["positive"].to_numpy()
     words = [np.frombuffer(v.as_buffer(), np.uint64) for v in sample["words"]]
     return fit([w for w, k in zip(words, positive) if k], [w for w, k in zip(words, positive) if not k], prior)
@@ -175,8 +177,11 @@ def score_toxicity(
         F.col(text_column).cast("string").cast("binary").alias("text"),
     )
     kinds = dict(rows.dtypes)
+    scored = "text"
+    if kinds.get("keep_text") == "string":  # the text that is kept is scored, so that no text is sent twice
+        rows, scored = rows.drop("text"), "keep_text"
     schema = ", ".join([f"{c} {kinds[c]}" for c in ["id", *names]] + ["score double"])
-    out = rows.mapInArrow(_scores(*model), schema)
+    out = rows.mapInArrow(tidy(_scores(*model, scored)), schema)
     return out.select(
         F.col("id").alias(id_column), *[F.col(n).alias(c) for c, n in zip([*carry, text_column], names)],
         F.coalesce(fold(F.col("id")) == held_out, F.lit(False)).alias("held_out"), "score",
