@@ -27,6 +27,7 @@ from vacantia.llm import blocks as B
 from vacantia.llm.components import components
 from vacantia.llm.containment import bitmap_of
 from vacantia.llm.rolling import WORD_BASE, Texts, equal_spans, mix, prefix, spans, texts_of
+from vacantia.llm.workers import tidy
 from vacantia.session import stage
 
 SHINGLE = 5
@@ -271,7 +272,7 @@ def _tested(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     of = sets.join(pairs.select(F.col("a").alias("uid")).union(pairs.select("b")).distinct(), "uid", "left_semi")
     both = pairs.join(of.select(F.col("uid").alias("a"), F.col("items").alias("x")), "a")
     both = both.join(of.select(F.col("uid").alias("b"), F.col("items").alias("y")), "b").select("a", "b", "x", "y")
-    return stage(both.mapInArrow(_verified(threshold), "a long, b long, ok boolean"), "checked")
+    return stage(both.mapInArrow(tidy(_verified(threshold)), "a long, b long, ok boolean"), "checked")
 
 
 def _pivots(member: DataFrame, turn: int) -> DataFrame:
@@ -333,14 +334,15 @@ def _texts_of(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     """(uid, d1, d2, text) of the wanted rows, met by id and print, so that rows of one id (or none) do not all meet.
 
     A bitmap of what is wanted (16 MB at most) keeps the other texts from being moved; it never loses one,
-    and the join removes what it lets through.
+    and the join removes what it lets through.  The join is by shuffle at any size: with a broadcast a task would test
+    texts and make their sets at once and hold two Python workers.
     """
     spot = F.xxhash64("key", "print")
     known = rows.sparkSession.sparkContext.broadcast(bitmap_of(wanted.select(spot.alias("key")).distinct()))
     rows = rows.select("key", "print", "text").filter(_may_be(known)(spot))
     named = wanted.select(F.col("key").alias("want"), F.col("print").alias("mark"), "uid", "d1", "d2")
     same = F.col("key").eqNullSafe(F.col("want")) & (F.col("print") == F.col("mark"))
-    return rows.join(named, same).select("uid", "d1", "d2", "text")
+    return rows.join(named.hint("merge"), same).select("uid", "d1", "d2", "text")
 
 
 def near_duplicates(
@@ -363,7 +365,7 @@ def near_duplicates(
         F.col(text_column).cast("string").cast("binary").alias("text"), print_of(text_column).alias("print"),
     )
     told = stage(rows.mapInArrow(
-        _describe, "uid long, key long, print long, d1 long, d2 long, n_words long, bands array<long>"), "signatures")
+        tidy(_describe), "uid long, key long, print long, d1 long, d2 long, n_words long, bands array<long>"), "signatures")
     lowest = F.min(F.struct(F.col("key").isNull().alias("none"), "key", "uid"))
     copies = stage(told.filter("n_words > 0").groupBy("d1", "d2").agg(
         lowest.alias("low"), F.count("*").alias("copies"),
@@ -376,7 +378,7 @@ def near_duplicates(
     if not bucket.isEmpty():
         wanted = stage(single.join(bucket.select("uid").distinct(), "uid", "left_semi").select("uid", "key", "print", "d1", "d2"), "wanted")
         sets = stage(
-            _texts_of(rows, wanted).mapInArrow(_sets, "uid long, items binary").dropDuplicates(["uid"]), "sets")
+            _texts_of(rows, wanted).mapInArrow(tidy(_sets), "uid long, items binary").dropDuplicates(["uid"]), "sets")
         classes = _classes(bucket, sets, similarity)
     if classes is None:
         classes = spark.createDataFrame([], "id long, root long")
