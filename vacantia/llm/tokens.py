@@ -18,6 +18,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import zstandard
 from pyspark import TaskContext
@@ -25,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from vacantia.llm import blocks as B
 from vacantia.llm.dart import B_steps as steps
+from vacantia.llm.workers import tidy
 from vacantia.session import stage
 
 CHUNK_IDS = 1 << 16
@@ -209,6 +211,17 @@ def text_runs(texts: list[str | None], limit: int = 1 << 20) -> Iterator[tuple[i
         yield first, len(texts)
 
 
+def column_runs(column: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, int, list[str | None]]]:
+    """Ranges of a text column of about ``limit`` bytes with their texts, so that a batch is never one list of Python texts."""
+    ends = np.cumsum(pc.binary_length(column).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    first = 0
+    while first < len(column):
+        before = int(ends[first - 1]) if first else 0
+        end = min(len(column), int(np.searchsorted(ends, before + limit, "right")) + 1)
+        yield first, end, column.slice(first, end - first).to_pylist()
+        first = end
+
+
 # --- Planes -------------------------------------------------------------------------------
 
 
@@ -266,9 +279,9 @@ def _write(path: str, end_id: int, size: int, kind: str):
             return pa.RecordBatch.from_pylist([row], _CHUNK)
 
         for batch in parts:
-            names, texts = batch["id"].to_pylist(), batch["text"].to_pylist()
-            for a, b in text_runs(texts):
-                flat, many = encoder(path).encode(texts[a:b], end_id)
+            names = batch["id"].to_pylist()
+            for a, b, texts in column_runs(batch["text"]):
+                flat, many = encoder(path).encode(texts, end_id)
                 at = first + held + np.cumsum(many) - many
                 docs += zip(names[a:b], at.tolist(), many.tolist())
                 ids.append(flat)
@@ -294,7 +307,7 @@ def write_planes(
     parts = B.block_count(docs, F.col(text_column).cast("string"))
     # A hot id (or null) is spread over partitions by its texts; rows of one id and text are equal.
     chunks = rows.repartitionByRange(parts, "id", "text").sortWithinPartitions("id", "text")
-    chunks.mapInArrow(_write(tokenizer, end_id, chunk_ids, kind), _CHUNK_SQL).write.option(
+    chunks.mapInArrow(tidy(_write(tokenizer, end_id, chunk_ids, kind)), _CHUNK_SQL).write.option(
         "compression", "none").parquet(f"{path}/chunks")
     index = spark.read.schema(_CHUNK_SQL).parquet(f"{path}/chunks").select("part", "chunk", "first", "n_ids", "docs")
     base = index.groupBy("part").agg(F.sum("n_ids").alias("n")).withColumn(
@@ -343,7 +356,7 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """(id, start, n_tokens, ids_crc32) of every document, computed from the files."""
     index = spark.read.parquet(f"{path}/index").select("part", "base").distinct()
     pieces = stage(read_chunks(spark, path).mapInArrow(
-        _pieces, "part int, id long, first long, n long, at long, many long, crc long"), "pieces")
+        tidy(_pieces), "part int, id long, first long, n long, at long, many long, crc long"), "pieces")
     whole = pieces.filter("many = n").select("part", "id", "first", "n", "crc")
     cut = pieces.filter("many < n").groupBy("part", "first").applyInArrow(
         _whole_crc, "part int, id long, first long, n long, crc long")
