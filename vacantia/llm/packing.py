@@ -18,6 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from vacantia.llm import tokens
+from vacantia.llm.workers import tidy
 from vacantia.session import stage
 
 LENGTH = 2048
@@ -137,9 +138,8 @@ def _cut(path: str, end_id: int, length: int, bounds: np.ndarray):
     def work(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seen = TaskContext.get().partitionId(), np.zeros(len(bounds), np.int64)
         for batch in parts:
-            texts = batch["text"].to_pylist()
-            for a, b in tokens.text_runs(texts):
-                ids, many = tokens.encoder(path).encode(texts[a:b], end_id)
+            for a, b, texts in tokens.column_runs(batch["text"]):
+                ids, many = tokens.encoder(path).encode(texts, end_id)
                 raw = memoryview(ids.astype("<u4").tobytes())
                 pieces = -(-many // length)
                 doc = np.repeat(np.arange(b - a), pieces)
@@ -190,7 +190,7 @@ def pack(
     sizes, unit = length_classes(length)
     rows = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("string").alias("text"))
     pieces = stage(rows.mapInArrow(
-        _cut(tokenizer, end_id, length, sizes * unit), _PIECE + ", part long, kind long, rank long"), "pieces")
+        tidy(_cut(tokenizer, end_id, length, sizes * unit)), _PIECE + ", part long, kind long, rank long"), "pieces")
     counts = pieces.groupBy("part", "kind").agg(F.count("*").alias("n"))
     before = Window.partitionBy("kind").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     shift = counts.select("part", "kind", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("shift"))
@@ -200,7 +200,7 @@ def pack(
     table = slots(plan(demand, sizes, int(sizes[-1])))
     ranked = pieces.join(shift, ["part", "kind"]).select(
         *[c.split()[0] for c in _PIECE.split(", ")], "kind", (F.col("rank") + F.col("shift")).alias("rank"))
-    placed = ranked.mapInArrow(_place(table), _PIECE + ", sequence_id long, place long")
+    placed = ranked.mapInArrow(tidy(_place(table)), _PIECE + ", sequence_id long, place long")
     within = Window.partitionBy("sequence_id").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
     return placed.select(
         F.col("id").alias(id_column), "start", "length", "ids_crc32", "doc_tokens", "sequence_id",
